@@ -1,8 +1,8 @@
 """Quality rules by weak supervision.
 
 Rules vote good or junk on each document, or abstain. Expectation-maximisation over the counts of vote patterns
-(at most 3 ** number of rules rows) estimates how each rule votes on good and on junk documents, and the
-posterior probability of good replaces a conjunction of filters.
+(at most 3 ** number of rules rows) estimates how often each rule is right, and the posterior probability of good
+replaces a conjunction of filters.
 """
 
 from __future__ import annotations
@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 from cytoflux.llm.common import cut, space_words
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Rule: measure, and the bounds beyond which it votes junk (first) or good (second); between them it abstains.
-#: A measure that must be small has junk > good, one that must be large junk < good.
-RULES: dict[str, tuple[float, float]] = {
-    "symbols": (0.06, 0.02),  # symbols per character of a word
-    "exclaims": (0.05, 0.02),  # exclamation marks per character of a word
-    "capitals": (0.5, 0.2),  # capitals per character of a word
-    "letters": (0.6, 0.75),  # letters per character of a word
-    "dup_lines": (0.5, 0.2),  # repeated lines per word line
-    "repeats": (0.3, 0.15),  # words in repeated windows per word
-    "short_words": (2.0, 3.0),  # characters per word
-    "long_words": (15.0, 10.0),  # characters per word
+#: Rule: the bound beyond which its measure votes junk, and the one up to which it votes good (None: it never does);
+#: otherwise it abstains. A measure that must be small has junk > good, one that must be large junk < good.
+RULES: dict[str, tuple[float, float | None]] = {
+    "letters": (0.88, 0.92),  # letters per character of a word
+    "symbols": (0.05, None),  # symbols per character of a word
+    "symbol_words": (0.2, None),  # symbols per word
+    "exclaims": (0.05, None),  # exclamation marks per character of a word
+    "capitals": (0.5, None),  # capitals per character of a word
+    "dup_lines": (0.5, None),  # repeated lines per word line
+    "repeats": (0.3, None),  # words in repeated windows per word
+    "long_words": (15.0, None),  # characters per word
 }
-STEPS, PRIOR, ACCURACY, PSEUDO = 50, 0.85, 0.8, 10.0
+STEPS, PRIOR, ACCURACY, PSEUDO = 50, 0.85, 0.8, 20.0
 
 
 def _windows(words: Column) -> Column:
@@ -73,52 +73,52 @@ def measure(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def votes(rules: dict[str, tuple[float, float]] = RULES) -> dict[str, Column]:
+def votes(rules: dict[str, tuple[float, float | None]] = RULES) -> dict[str, Column]:
     """Of each rule 1 (good), -1 (junk) or 0 (abstains; also where there is nothing to measure)."""
     per_char = lambda c: F.col(c) / F.nullif(F.col("word_chars"), F.lit(0))
-    length = F.col("word_chars") / F.nullif(F.col("n_words"), F.lit(0))
     measures = {
         "symbols": per_char("n_symbols"), "exclaims": per_char("n_exclaims"), "capitals": per_char("n_capitals"), "letters": per_char("n_letters"),
         "dup_lines": F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0)), "repeats": F.col("n_repeat_words") / F.nullif(F.col("n_words"), F.lit(0)),
-        "short_words": length, "long_words": length,
+        "symbol_words": F.col("n_symbols") / F.nullif(F.col("n_words"), F.lit(0)),
+        "long_words": F.col("word_chars") / F.nullif(F.col("n_words"), F.lit(0)),
     }
     out = {}
     for name, (junk, good) in rules.items():
         x = measures[name]
-        is_junk, is_good = (x > junk, x <= good) if junk > good else (x < junk, x >= good)
-        out[name] = F.when(is_junk, -1).when(is_good, 1).otherwise(0)
+        if good is None:
+            out[name] = F.when(x > junk, -1).otherwise(0)
+        else:
+            is_junk, is_good = (x > junk, x <= good) if junk > good else (x < junk, x >= good)
+            out[name] = F.when(is_junk, -1).when(is_good, 1).otherwise(0)
     return out
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """EM for two classes with independent votes: the share of good, and of each rule P(vote | good), P(vote | junk).
+def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[float]]:
+    """EM for two classes: the share of good, and of each rule how often its votes are right. Abstaining says nothing.
 
-    Every rule starts, and is held by `PSEUDO` made-up votes, at `ACCURACY`, so that the classes keep their names.
+    Every accuracy starts, and is held by `PSEUDO` made-up votes, at `ACCURACY`, so that the classes keep their names.
     """
-    start = {1: (ACCURACY, 1 - ACCURACY), -1: (1 - ACCURACY, ACCURACY), 0: (0.5, 0.5)}
-    prior, rates = PRIOR, [{v: (a / 1.5, b / 1.5) for v, (a, b) in start.items()} for _ in range(n_rules)]
+    prior, accuracies = PRIOR, [ACCURACY] * n_rules
     for _ in range(STEPS):
-        weights = [(p, n, posterior(p, prior, rates)) for p, n in patterns]
-        good, total = sum(n * q for _, n, q in weights), sum(n for _, n, _ in weights)
-        prior = (good + PSEUDO * PRIOR) / (total + PSEUDO)
-        new = []
-        for k in range(n_rules):
-            counts = {v: [PSEUDO * a / 1.5, PSEUDO * b / 1.5] for v, (a, b) in start.items()}
-            for p, n, q in weights:
-                counts[p[k]][0] += n * q
-                counts[p[k]][1] += n * (1 - q)
-            sums = [sum(c[y] for c in counts.values()) for y in (0, 1)]
-            new.append({v: (c[0] / sums[0], c[1] / sums[1]) for v, c in counts.items()})
-        rates = new
-    return prior, rates
-
-
-def posterior(pattern: tuple[int, ...], prior: float, rates: list[dict[int, tuple[float, float]]]) -> float:
-    logit = math.log(prior / (1 - prior)) + sum(math.log(r[v][0] / r[v][1]) for v, r in zip(pattern, rates, strict=True))
+        weights = [(p, n, posterior(p, prior, accuracies)) for p, n in patterns]
+        prior = (sum(n * q for _, n, q in weights) + PSEUDO * PRIOR) / (sum(n for _, n, _ in weights) + PSEUDO)
+        right = [sum(n * (q if p[k] > 0 else 1 - q) for p, n, q in weights if p[k]) for k in range(n_rules)]
+        cast = [sum(n for p, n, _ in weights if p[k]) for k in range(n_rules)]
+        accuracies = [(r + PSEUDO * ACCURACY) / (c + PSEUDO) for r, c in zip(right, cast, strict=True)]
+    return prior, accuracies
+
+
+def log_odds(p: float) -> float:
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return math.log(p / (1 - p))
+
+
+def posterior(pattern: tuple[int, ...], prior: float, accuracies: list[float]) -> float:
+    logit = log_odds(prior) + sum(v * log_odds(a) for v, a in zip(pattern, accuracies, strict=True))
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, logit))))
 
 
-def score_quality(measured: DataFrame, threshold: float = 0.5, rules: dict[str, tuple[float, float]] = RULES) -> DataFrame:
+def score_quality(measured: DataFrame, threshold: float = 0.5, rules: dict[str, tuple[float, float | None]] = RULES) -> DataFrame:
     """measured (from `measure`, materialised) plus each vote, quality (posterior of good), base_failed and kept.
 
     An empty table gives no rows; the model then stays at its start.
@@ -126,11 +126,10 @@ def score_quality(measured: DataFrame, threshold: float = 0.5, rules: dict[str,
     named = {f"vote_{k}": v for k, v in votes(rules).items()}
     voted = measured.withColumns(named)
     counts = voted.groupBy(*named).count().collect()  # 3 ** len(rules) rows at most
-    prior, rates = fit([(tuple(r[:-1]), r[-1]) for r in counts], len(named))
-    logit = F.lit(math.log(prior / (1 - prior)))
-    for name, rate in zip(named, rates, strict=True):
-        w = {v: math.log(g / j) for v, (g, j) in rate.items()}
-        logit = logit + F.when(F.col(name) == 1, w[1]).when(F.col(name) == -1, w[-1]).otherwise(w[0])
+    prior, accuracies = fit([(tuple(r[:-1]), r[-1]) for r in counts], len(named))
+    logit = F.lit(log_odds(prior))
+    for name, accuracy in zip(named, accuracies, strict=True):
+        logit = logit + F.col(name) * log_odds(accuracy)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = voted.withColumn("quality", 1 / (1 + F.exp(-logit))).withColumn("base_failed", failed)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))

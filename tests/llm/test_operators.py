@@ -153,10 +153,8 @@ def test_em_recovers_accuracies():
         y = 1 if rng.random() < 0.7 else -1
         p = tuple(0 if rng.random() < 0.2 else (y if rng.random() < a else -y) for a in truth)
         counts[p] = counts.get(p, 0) + 1
-    prior, rates = quality.fit(list(counts.items()), 4)
-    assert abs(prior - 0.7) < 0.05
-    for r, a in zip(rates, truth):
-        assert abs(r[1][0] / (r[1][0] + r[-1][0]) - a) < 0.06
+    prior, accuracies = quality.fit(list(counts.items()), 4)
+    assert abs(prior - 0.7) < 0.05 and all(abs(x - a) < 0.06 for x, a in zip(accuracies, truth))
 
 
 def test_secrets(spark, docs):
