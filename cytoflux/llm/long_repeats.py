@@ -132,7 +132,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     """
     rows = _stretches(docs, length)
     counted = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
-    repeated = counted.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal"))
+    # Written, so that the join below has an exchange of its own on either side and a frequent anchor's rows can be split.
+    repeated = cut(counted.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal")))
     hits = cut(rows.join(repeated, "anchor"))
     settled = hits.where("equal").select("key", "place")
     mixed = hits.where("NOT equal").select("anchor", "stretch", "key", "place")

@@ -18,7 +18,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Rule: the bound beyond which its measure votes junk, and the one up to which it votes good (None: it never does);
 #: otherwise it abstains. A measure that must be small has junk > good, one that must be large junk < good.
 RULES: dict[str, tuple[float, float | None]] = {
-    "letters": (0.88, 0.92),  # letters per character of a word
+    "letters": (0.88, 0.92),  # letters and digits per character of a word
     "symbols": (0.05, None),  # symbols per character of a word
     "symbol_words": (0.2, None),  # symbols per word
     "exclaims": (0.05, None),  # exclamation marks per character of a word
@@ -69,7 +69,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         _without(F.col("joined"), "!").cast("long").alias("n_exclaims"),
         _without(F.col("joined"), r"\p{Lu}+").cast("long").alias("n_capitals"),
-        _without(F.col("joined"), r"\p{L}+").cast("long").alias("n_letters"),
+        _without(F.col("joined"), r"[\p{L}\p{N}]+").cast("long").alias("n_letters"),
     )
 
 
