@@ -15,6 +15,8 @@ from cytoflux.llm.common import SPACES, cut, fresh
 
 #: Bits of the hash that each of the two histograms looks at.
 BITS = 15
+#: Tables of one row per source are broadcast up to this many sources (some 100 MB), so that documents don't travel.
+BROADCAST_SOURCES = 1_000_000
 WEIGHTS = (1, 2, 3)
 MOST = 3
 
@@ -60,10 +62,10 @@ def _boundary(histogram: DataFrame, by: str) -> DataFrame:
     return reached.groupBy("source").agg(F.min(F.struct(F.col(by), (F.col("upto") - F.col("words")).alias("below"), "words")).alias("edge"))
 
 
-def _own(df: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
-    """df with the row of other that has its source, null included."""
+def _own(df: DataFrame, other: DataFrame, how: str = "inner", small: bool = False) -> DataFrame:
+    """df with the row of other that has its source, null included. small: other's size has been checked."""
     other = other.withColumnRenamed("source", "of_source")
-    return df.join(other, F.col("source").eqNullSafe(F.col("of_source")), how).drop("of_source")
+    return df.join(F.broadcast(other) if small else other, F.col("source").eqNullSafe(F.col("of_source")), how).drop("of_source")
 
 
 def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -77,17 +79,19 @@ def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     targets = targets.withColumn("times", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     targets = cut(targets.withColumn("left", F.col("target") - F.col("times") * F.col("source_size")))
 
+    small = targets.count() <= BROADCAST_SOURCES
     budgets = targets.where("left > 0").select("source", "left")
     coarse = sizes.groupBy("source", F.floor(F.col("h") / half).alias("bucket")).agg(F.sum("size").alias("words"))
-    first = _boundary(_own(coarse, budgets), "bucket").select("source", F.col("edge.bucket").alias("bucket"), F.col("edge.below").alias("below"))
-    inside = _own(sizes.select("source", "size", "h"), first).where(F.floor(F.col("h") / half) == F.col("bucket"))
+    first = cut(_boundary(_own(coarse, budgets, small=small), "bucket").select("source", F.col("edge.bucket").alias("bucket"), F.col("edge.below").alias("below")))
+    inside = _own(sizes.select("source", "size", "h"), first, small=small).where(F.floor(F.col("h") / half) == F.col("bucket"))
     fine = inside.groupBy("source", "h").agg(F.sum("size").alias("words"), F.first("below").alias("below"))
     fine = _own(fine, budgets).withColumn("left", F.col("left") - F.col("below"))
     # The last hash value is taken if that brings the source nearer to its target.
     second = _own(_own(_boundary(fine, "h"), first), budgets)
     over, under = F.col("below") + F.col("edge.below") + F.col("edge.words") - F.col("left"), F.col("left") - F.col("below") - F.col("edge.below")
     second = second.select("source", F.when(over <= under, F.col("edge.h")).otherwise(F.col("edge.h") - 1).alias("last_h"))
-    return cut(_own(targets, second, "left").select("source", "source_size", "target", "times", "last_h"))
+    plan = cut(_own(targets, second, "left").select("source", "source_size", "target", "times", "last_h"))
+    return F.broadcast(plan) if small else plan
 
 
 def copies(times: Column, h: Column, last_h: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-from cytoflux.llm import chat, decontam, langid, long_repeats, mixing, near_dup, quality, secrets, url_filter
+from cytoflux.llm import chat, decontam, langid, licences, long_repeats, mixing, near_dup, quality, secrets, url_filter
 from cytoflux.llm.common import table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -19,6 +19,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.rules_frame(spark, RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame(PLANTED_TURNS, "conv_id long, turn long, role string, text string")
@@ -55,7 +59,7 @@ def op10_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op3_chat_format, op4_mixing, op5_quality_rules, op6_secret_scan, op7_decontaminate, op8_language_id, op9_near_duplicates, op10_long_repeats)
+    named = (op1_url_filter, op2_licence_scan, op3_chat_format, op4_mixing, op5_quality_rules, op6_secret_scan, op7_decontaminate, op8_language_id, op9_near_duplicates, op10_long_repeats)
     return {f.__name__: f for f in named}
 
 

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cytoflux.llm import chat, components, decontam, langid, long_repeats, mixing, near_dup, quality, queries, secrets, url_filter
+from cytoflux.llm import chat, components, decontam, langid, licences, long_repeats, mixing, near_dup, quality, queries, secrets, url_filter
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -273,3 +273,35 @@ def test_mixing_of_odd_rows(spark):
     df = odd(spark)
     rows = mixing.mix(df).collect()
     assert len(rows) == len(ODD_TEXTS) and mixing.mix(df.limit(0)).count() == 0 and mixing.mix_documents(df).columns == [*df.columns, "copies"]
+
+
+def test_licence_classifier():
+    model = licences.train()
+    rng = random.Random(4)
+    right = total = 0
+    for family, templates in licences.TEMPLATES.items():
+        for t in templates:
+            for _ in range(5):
+                w = t.split()
+                if len(w) > 6:
+                    w.pop(rng.randrange(len(w)))
+                total += 1
+                right += licences.classify(f"{words(rng, 3)} {' '.join(w).capitalize()}. {words(rng, 30)}", model)[0] == family
+    assert right >= 0.9 * total
+    assert all(licences.classify(x, model)[0] == licences.UNKNOWN for x in [*licences.OTHERS, "", words(rng, 200), "license " * 50])
+
+
+def test_licences(spark):
+    lines = [(t or "").split("\n") for t in ODD_TEXTS]
+    df = odd(spark, [*ODD_TEXTS, "x y\n\nReleased under the MIT License.\nz", "Licensed under CC BY-NC 4.0."])
+    out = licences.scan(df).orderBy("doc_id").collect()
+    assert [r.n_paragraphs for r in out[: len(lines)]] == [sum(bool(x.strip()) for x in s) for s in lines]
+    assert [r.families for r in out[-2:]] == ["mit", "cc-by-nc"] and out[-2].spans.startswith("2:mit:")
+    assert not any(r.n_licensed for r in out[:-2]) and licences.scan(df.limit(0)).count() == 0
+
+
+def test_licence_lines_in_documents(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    planted = {r.doc_id for r in docs.where("text like '%icensed under %' or text like '%the MIT License%'").collect()}
+    found = {r.doc_id for r in queries.op2_licence_scan(spark, "/root/testdata/sf0.01").collect() if r.n_licensed}
+    assert planted and len(planted & found) >= 0.95 * len(planted)
