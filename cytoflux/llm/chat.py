@@ -73,7 +73,7 @@ def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     # Each distance from the leaf is a sum of distinct powers of two, so each ancestor comes up once.
     for k, j in enumerate(jumps):
         up = paths.join(j.select(F.col("node").alias("j_node"), "up"), F.col("node") == F.col("j_node")).select("leaf", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"), "rank")
-        paths = paths.unionByName(up)
+        paths = cut(paths.unionByName(up))
     return paths
 
 
