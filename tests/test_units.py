@@ -241,3 +241,23 @@ def test_order_of_close_pairs(spark, strict):
     got = {(r.chrom, r.pos): r.close for r in df.withColumn("close", calling.close_pairs(df, 10, strict)).collect()}
     # As text 1001, 5000, 99, 999: 999 and 1001 are no neighbours.
     assert got["chr1", 999] is (not strict) and not got["chrM", 1]
+
+
+def test_chains_and_outputs(spark):
+    from cytoflux.functions import chains
+    from cytoflux.sources import outputs
+
+    assert abs(chains.psrf_cutoff(0.05) - 1.0000813) < 1e-6
+    assert chains.tree_edges("((a:1,b:2):0.5,c)r;") == [("n0", "a", 1.0), ("n0", "b", 2.0), ("r", "n0", 0.5), ("r", "c", 0.0)]
+    clusters = spark.createDataFrame([(2, 1), (1, 0), (3, 1)], "cell long, cluster int")
+    assert outputs.assignments(clusters).first().Assignment == "0 1 1"
+    genos = spark.createDataFrame([(0, 5, 0.25, 0), (1, 5, 0.75, 1)], "cluster int, mut long, theta double, called int")
+    assert {(r.cell, r.called) for r in outputs.genotypes_of_cells(clusters, genos).collect()} == {(1, 0), (2, 1), (3, 1)}
+    calls = site_of(spark, ("chr4", 1000, "A", "Cancer", 100, 60, (50, 50), (40, 30)), ("chr4", 1000, "A", "Non-Cancer", 50, 40, (50,), (40,)))
+    row = outputs.final_calls(calling.finalize_calls(calls, Final())).first()
+    assert (row.STEP3FILTER, row.INDEX, row.Bc) == ("PASS", "chr4:1000:C", "50")
+    packed = outputs.base_counts(counts(spark, ("chr1", 1, "A", "c", 9, 8, (9,), (8,)))).first()
+    assert packed.info.startswith("9|8|8:0:0:0:0:0|9:0:0:0:0:0")
+    g = spark.createDataFrame([("chr1", 1, "A", "C", "b", "t", 0, 0, None, None, "NoCoverage", None, "k")], "chrom string, pos long, ref string, alt string, cb string, cell_type string, dp long, n_alt long, vaf double, p double, status string, mutated int, key string")
+    assert (outputs.genotype_rows(g).first().VAF, outputs.genotype_rows(g).first().BinMutationStatus) == (".", 3)
+    assert outputs.panel_rows(spark.createDataFrame([("1", 2, 3, "a,b")], "chrom string, pos long, n_samples long, samples string")).columns[0] == "#CHROM"
