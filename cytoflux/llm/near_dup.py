@@ -30,7 +30,7 @@ REGISTERS, BASE, TOP = 252, 1.02, 1200
 MISS = 1e-8
 #: Standard deviations by which an estimate may lie below the threshold and still be verified.
 MARGIN = 4.0
-BLOCK = 1024
+BLOCK = 512
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32)
@@ -161,30 +161,44 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return full.select("a", "b", "text_a", "text_b").mapInPandas(run, "a binary, b binary")
 
 
-def _within_buckets(percent: int, rows: int):
-    """Compares left with right members of a block: pairs of different components that the estimate does not rule out."""
+def _shared(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a set with several others, all sorted."""
+    if not others:
+        return np.zeros(0, int)
+    flat = np.concatenate(others)
+    found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+    ends = np.cumsum([len(o) for o in others])
+    sums = np.concatenate([[0], np.cumsum(found)])
+    return sums[ends] - sums[ends - np.array([len(o) for o in others])]
+
+
+def _rest_of_block(k: int, percent: int, rows: int):
+    """Links between left and right members of a block that belong to different components, share a band, are not
+    ruled out by the estimate and reach the threshold on their full sets: one for each member and other component."""
     low, used = least_estimate(percent), REGISTERS // rows * rows
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
             x, y = _registers(left["sketch"]), _registers(right["sketch"])
-            n, nodes, roots, main = right["n"].to_numpy(float), right["node"].to_numpy(), right["root"].to_numpy(), right["main"].to_numpy()
-            band = int(left["band"].iloc[0])
+            n, nodes, roots = right["n"].to_numpy(float), right["node"].to_numpy(), right["root"].to_numpy()
+            inside = (right["root"] == right["main_root"]).to_numpy()
+            sets: dict[int, np.ndarray] = {}
             for i in range(len(left)):
                 node, root, own = left["node"].iloc[i], left["root"].iloc[i], float(left["n"].iloc[i])
                 # Two members outside the main component meet twice; one of the meetings counts.
-                ok = np.array([r != root and (m or node < o) for r, m, o in zip(roots, main, nodes, strict=True)], bool)
-                ok &= (100 * np.minimum(n, own) >= percent * np.maximum(n, own))
+                ok = (roots != root) & (inside | (nodes > node)) & (100 * np.minimum(n, own) >= percent * np.maximum(n, own))
                 at = np.flatnonzero(ok)
+                at = at[(x[i, :used] == y[at][:, :used]).reshape(len(at), used // rows, rows).all(2).any(1)]
                 if not len(at):
                     continue
-                z = y[at]
-                est = estimate((x[i] > z).sum(1), (x[i] < z).sum(1), np.full(len(at), own), n[at])
-                at = at[est >= low]
-                same = (x[i, :used] == y[at][:, :used]).reshape(len(at), used // rows, rows).all(2)
-                # Pairs come up in each band that they share; the first one counts.
-                found += [(min(node, nodes[j]), max(node, nodes[j])) for j, first in zip(at, same.argmax(1), strict=True) if first == band]
+                at = at[estimate((x[i] > y[at]).sum(1), (x[i] < y[at]).sum(1), np.full(len(at), own), n[at]) >= low]
+                for j in at:
+                    if j not in sets:
+                        sets[j] = shingles(right["text"].iloc[j], k)
+                both = _shared(shingles(left["text"].iloc[i], k), [sets[j] for j in at])
+                linked = at[100 * both >= percent * (own + n[at] - both)]
+                found += [(min(node, nodes[j]), max(node, nodes[j])) for j in {roots[j]: j for j in linked}.values()]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return run
@@ -204,11 +218,9 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
 
     width = 2 * rows
     hashes = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 1 + i * width, width)) for i in range(n_bands)])
-    members = nodes.select("node", F.posexplode(hashes).alias("band", "h"))
-    buckets = members.groupBy("h").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), F.first("band").alias("band")).where("size > 1")
-    buckets = cut(buckets)
-    met = members.select("h", "node").join(buckets.select("h", "low", "high", "size"), "h")
-    met = cut(met)
+    members = nodes.select("node", F.explode(hashes).alias("h"))
+    buckets = cut(members.groupBy("h").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")).where("size > 1"))
+    met = cut(members.join(buckets, "h"))
 
     def pairs_of(other: str) -> DataFrame:
         return met.where(F.col("node") != F.col(other)).select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b"))
@@ -220,31 +232,34 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
     sized = attach(attach(stars, "a"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     stars = cut(sized.where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"))
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """One text for each node of the pairs."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "key"), "node")
+    def texts_of(some: DataFrame) -> DataFrame:
+        """One text for each node."""
+        wanted = some.select("node").distinct().join(nodes.select("node", "key"), "node")
         return docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text")
 
-    links = cut(_verify(stars, texts_of(stars), k, percent))
+    ends = stars.select(F.col("a").alias("node")).union(stars.select("b"))
+    links = cut(_verify(stars, texts_of(ends), k, percent))
     roots = cut(components(links))
 
-    # Buckets in which several components are left, without pairs, which have been compared.
+    # Buckets in which several components are left, without pairs, which have been compared: their members, once for
+    # each component that is the largest of one of their buckets, and those of it that share such a bucket with others.
     labelled = met.where("size > 2").join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
     inside = labelled.groupBy("h", "root").agg(F.count("*").alias("n"))
-    open_ = inside.groupBy("h").agg(F.count("*").alias("n_roots"), F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size")).where("n_roots > 1")
-    open_ = open_.select("h", F.col("main.root").alias("main_root"), F.ceil(F.col("size") / block).cast("int").alias("rights"), F.ceil((F.col("size") - F.col("main.n")) / block).cast("int").alias("lefts"))
-    rest = labelled.join(open_, "h").join(nodes.select("node", "n", "sketch"), "node").join(buckets.select("h", "band"), "h")
-    rest = rest.withColumn("main", F.col("root") == F.col("main_root"))
-    dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
-    columns = ["h", "band", "node", "root", "n", "sketch", "main"]
-    left = rest.where("NOT main").select(*columns, dealt("lefts", 1).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"))
-    # New names for Spark, which else takes the two sides' columns for the same ones.
-    right = rest.select(*[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), dealt("rights", 2).alias("r"))
-    more = left.groupBy("h", "l", "r").cogroup(right.groupBy("h", "l", "r")).applyInPandas(_within_buckets(percent, rows), "a binary, b binary")
-    more = cut(more.distinct().join(stars, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = cut(links.unionByName(_verify(more, texts_of(more), k, percent)))
-        roots = cut(components(links))
+    open_ = inside.groupBy("h").agg(F.count("*").alias("n_roots"), F.max(F.struct("n", "root")).alias("main")).where("n_roots > 1").select("h", F.col("main.root").alias("main_root"))
+    rest = cut(labelled.join(open_, "h").select("main_root", "node", "root").distinct())
+    if not rest.isEmpty():
+        outside = F.count_if(F.col("root") != F.col("main_root"))
+        sizes = rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts"))
+        rest = cut(rest.join(sizes, "main_root").join(nodes.select("node", "n", "sketch"), "node")).join(texts_of(rest), "node")
+        dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+        columns = ["main_root", "node", "root", "n", "sketch", "text"]
+        left = rest.where("root <> main_root").select(*columns, dealt("lefts", 1).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"))
+        # New names for Spark, which else takes the two sides' columns for the same ones.
+        right = rest.select(*[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), dealt("rights", 2).alias("r"))
+        more = left.groupBy("main_root", "l", "r").cogroup(right.groupBy("main_root", "l", "r")).applyInPandas(_rest_of_block(k, percent, rows), "a binary, b binary")
+        more = cut(more.distinct())
+        if not more.isEmpty():
+            roots = cut(components(links.unionByName(more)))
 
     named = sketched.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
