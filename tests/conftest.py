@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -11,7 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[8]")).config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
