@@ -262,6 +262,7 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
             roots = cut(components(links.unionByName(more)))
 
     named = sketched.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join has an exchange of its own on either side and a large component's rows can be split.
+    ids = cut(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     out = named.join(ids, "root", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
