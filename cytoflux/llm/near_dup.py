@@ -249,7 +249,7 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
     rest = cut(labelled.join(open_, "h").select("main_root", "node", "root").distinct())
     if not rest.isEmpty():
         outside = F.count_if(F.col("root") != F.col("main_root"))
-        sizes = rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts"))
+        sizes = cut(rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts")))
         rest = cut(rest.join(sizes, "main_root").join(nodes.select("node", "n", "sketch"), "node")).join(texts_of(rest), "node")
         dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
         columns = ["main_root", "node", "root", "n", "sketch", "text"]
