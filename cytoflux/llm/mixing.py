@@ -1,7 +1,7 @@
 """Mixing sources to target weights with hash-threshold histograms.
 
 The words of each source are summed by hash bucket; the cumulated sums give the bucket in which a source's
-budget ends, only that bucket is split again by the next bits of the hash, and the documents below the
+budget ends, only that bucket is split again by the next bits of the hash, and so on; the documents below the
 threshold are taken. No document is sorted or sent to the driver.
 """
 
@@ -13,8 +13,8 @@ from pyspark.sql.window import Window
 
 from cytoflux.llm.common import SPACES, cut, fresh
 
-#: Bits of the hash that each of the two histograms looks at.
-BITS = 15
+#: Bits of the hash that each histogram looks at, and nested histograms.
+BITS, LEVELS = 10, 3
 #: Tables of one row per source are broadcast up to this many sources (some 100 MB), so that documents don't travel.
 BROADCAST_SOURCES = 1_000_000
 WEIGHTS = (1, 2, 3)
@@ -27,9 +27,9 @@ def word_count(text: Column) -> Column:
 
 
 def mix_key(doc_id: Column, text: Column) -> Column:
-    """The top 2 * BITS of an MD5 of id and text: the same in every run and on every cluster."""
+    """The top LEVELS * BITS bits of an MD5 of id and text: the same in every run and on every cluster."""
     md5 = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
-    return F.shiftright(F.conv(F.substring(md5, 1, 8), 16, 10).cast("long"), 32 - 2 * BITS)
+    return F.shiftright(F.conv(F.substring(md5, 1, 8), 16, 10).cast("long"), 32 - LEVELS * BITS)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -55,11 +55,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     )
 
 
-def _boundary(histogram: DataFrame, by: str) -> DataFrame:
-    """Per source the first bucket of the histogram at which the cumulated words reach what is left of the budget, with the words below it."""
-    so_far = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = histogram.withColumn("upto", F.sum("words").over(so_far)).where(F.col("upto") >= F.col("left"))
-    return reached.groupBy("source").agg(F.min(F.struct(F.col(by), (F.col("upto") - F.col("words")).alias("below"), "words")).alias("edge"))
+def _boundary(histogram: DataFrame) -> DataFrame:
+    """Per source the first bucket at which the cumulated words reach the budget (left), with the words below it. A
+    window holds 2 ** BITS rows at most, however large the source is."""
+    so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = histogram.withColumn("upto", F.col("below") + F.sum("words").over(so_far)).where(F.col("upto") >= F.col("left"))
+    edges = reached.groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("below"), "words", "left")).alias("edge"))
+    return edges.select("source", "edge.*")
 
 
 def _own(df: DataFrame, other: DataFrame, how: str = "inner", small: bool = False) -> DataFrame:
@@ -71,25 +73,22 @@ def _own(df: DataFrame, other: DataFrame, how: str = "inner", small: bool = Fals
 def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """Per source: source_size, target, times (how often all its documents go in) and last_h (up to it once more, or null).
 
-    sizes has source, size and h, and should be materialised: three passes read it.
+    sizes has source, size and h, and should be materialised: a pass for the targets and one for each level read it.
     """
-    half = 1 << BITS
     targets = source_targets(sizes, weights, most)
     # All documents are taken `times` times, and those below the threshold once more.
     targets = targets.withColumn("times", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     targets = cut(targets.withColumn("left", F.col("target") - F.col("times") * F.col("source_size")))
 
     small = targets.count() <= BROADCAST_SOURCES
-    budgets = targets.where("left > 0").select("source", "left")
-    coarse = sizes.groupBy("source", F.floor(F.col("h") / half).alias("bucket")).agg(F.sum("size").alias("words"))
-    first = cut(_boundary(_own(coarse, budgets, small=small), "bucket").select("source", F.col("edge.bucket").alias("bucket"), F.col("edge.below").alias("below")))
-    inside = _own(sizes.select("source", "size", "h"), first, small=small).where(F.floor(F.col("h") / half) == F.col("bucket"))
-    fine = inside.groupBy("source", "h").agg(F.sum("size").alias("words"), F.first("below").alias("below"))
-    fine = _own(fine, budgets).withColumn("left", F.col("left") - F.col("below"))
+    edges = targets.where("left > 0").select("source", F.lit(0).cast("long").alias("bucket"), F.lit(0).cast("long").alias("below"), "left")
+    for level in reversed(range(LEVELS)):
+        inside = _own(sizes.select("source", "size", "h"), edges, small=small).where(F.shiftright("h", BITS * (level + 1)) == F.col("bucket"))
+        histogram = inside.groupBy("source", F.shiftright("h", BITS * level).alias("bucket")).agg(F.sum("size").alias("words"), F.first("below").alias("below"), F.first("left").alias("left"))
+        edges = cut(_boundary(histogram))
     # The last hash value is taken if that brings the source nearer to its target.
-    second = _own(_own(_boundary(fine, "h"), first), budgets)
-    over, under = F.col("below") + F.col("edge.below") + F.col("edge.words") - F.col("left"), F.col("left") - F.col("below") - F.col("edge.below")
-    second = second.select("source", F.when(over <= under, F.col("edge.h")).otherwise(F.col("edge.h") - 1).alias("last_h"))
+    over, under = F.col("below") + F.col("words") - F.col("left"), F.col("left") - F.col("below")
+    second = edges.select("source", F.when(over <= under, F.col("bucket")).otherwise(F.col("bucket") - 1).alias("last_h"))
     plan = cut(_own(targets, second, "left").select("source", "source_size", "target", "times", "last_h"))
     return F.broadcast(plan) if small else plan
 
