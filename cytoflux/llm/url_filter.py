@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cytoflux.llm.common import LOWER, UPPER, fresh
+from cytoflux.llm.common import LOWER, UPPER, cut, fresh
 
 #: Rules up to this many rows are broadcast; more are joined by a shuffle, salted.
 BROADCAST_RULES = 200_000
@@ -89,7 +89,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     best = met.groupBy("host", "path").agg(
         F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")), F.struct(F.length("r_host") + F.length("r_path"), F.col("r_verdict") == "block", "r_host")).alias("best")
     )
-    best = best.select(F.col("host").alias("b_host"), F.col("path").alias("b_path"), F.col("best.rule").alias("b_rule"), F.col("best.verdict").alias("b_verdict"))
+    # Written, so that the join has an exchange of its own on either side and the pages of one very frequent url can be split.
+    best = cut(best.select(F.col("host").alias("b_host"), F.col("path").alias("b_path"), F.col("best.rule").alias("b_rule"), F.col("best.verdict").alias("b_verdict")))
     out = pages.join(best, (F.col(host) == F.col("b_host")) & (F.col(path) == F.col("b_path")), "left")
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", host.lower(), path.lower())]
     return out.select(*[F.col(f"`{c}`") for c in kept], F.col(host).alias("host"), F.col(path).alias("path"), F.col("b_rule").alias("rule"), F.coalesce("b_verdict", F.lit(default)).alias("verdict"))
