@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -57,14 +58,19 @@ def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     known = nodes.select(F.col("node").alias("known"))
     linked = nodes.join(known, F.col("parent") == F.col("known"), "left").select("node", F.col("known").alias("up"), "score")
     # up: the ancestor 2 ** k levels above, null beyond the root; levels and total: how many nodes, and their scores, below it.
-    jump = cut(linked.select("node", "up", F.lit(1).cast("long").alias("levels"), F.col("score").alias("total"), F.col("node").alias("root")))
-    root_of = lambda df: df.where(F.col("up").isNull())
-    jumps, n = [], nodes.count()
-    while (1 << len(jumps)) <= 2 * n and not jump.where(F.col("up").isNotNull()).isEmpty():
-        jumps.append(jump.where(F.col("up").isNotNull()).select("node", "up"))
-        above = jump.select(F.col("node").alias("a_node"), F.col("up").alias("a_up"), F.col("levels").alias("a_levels"), F.col("total").alias("a_total"), F.col("root").alias("a_root"))
-        jump = cut(jump.join(above, F.col("up") == F.col("a_node"), "left").select("node", F.col("a_up").alias("up"), (F.col("levels") + F.coalesce("a_levels", F.lit(0))).alias("levels"), (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"), F.coalesce("a_root", "root").alias("root")))
-    reached = root_of(jump)
+    active = cut(linked.select("node", "up", F.lit(1).cast("long").alias("levels"), F.col("score").alias("total"), F.col("node").alias("root")))
+    finished, jumps, n = [], [], nodes.count()
+    while True:
+        # Nodes that have met their root leave, so that a round handles the nodes of paths that are still longer.
+        finished.append(active.where(F.col("up").isNull()))
+        active = active.where(F.col("up").isNotNull())
+        if (1 << len(jumps)) > 2 * n or active.isEmpty():
+            break
+        jumps.append(active.select("node", "up"))
+        above = reduce(DataFrame.unionByName, [*finished, active])
+        above = above.select(F.col("node").alias("a_node"), F.col("up").alias("a_up"), F.col("levels").alias("a_levels"), F.col("total").alias("a_total"), F.col("root").alias("a_root"))
+        active = cut(active.join(above, F.col("up") == F.col("a_node")).select("node", F.col("a_up").alias("up"), (F.col("levels") + F.col("a_levels")).alias("levels"), (F.col("total") + F.col("a_total")).alias("total"), F.col("a_root").alias("root")))
+    reached = reduce(DataFrame.unionByName, finished)
     parents = linked.where(F.col("up").isNotNull()).select(F.col("up").alias("p")).distinct()
     leaves = reached.join(parents, F.col("node") == F.col("p"), "left_anti").select("node", "root", "levels", (F.col("total") / F.col("levels")).alias("mean"))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("mean"), "node"))
