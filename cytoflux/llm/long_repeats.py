@@ -134,15 +134,17 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     counted = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"))
     # Written, so that the join below has an exchange of its own on either side and a frequent anchor's rows can be split.
     repeated = cut(counted.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal")))
-    hits = cut(rows.join(repeated, "anchor"))
-    settled = hits.where("equal").select("key", "place")
-    mixed = hits.where("NOT equal").select("anchor", "stretch", "key", "place")
+    # stretch is null where all of an anchor's are equal.
+    hits = cut(rows.join(repeated, "anchor").select("anchor", F.when(~F.col("equal"), F.col("stretch")).alias("stretch"), "key", "place"))
+    settled = hits.where("stretch IS NULL").select("key", "place")
+    mixed = hits.where("stretch IS NOT NULL")
     kinds = cut(mixed.groupBy("anchor", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")))
     twice = mixed.join(kinds.where("n > 1").select("anchor", "stretch"), ["anchor", "stretch"]).select("key", "place")
 
     # One text for each stretch: its own where it occurs once.
-    sizes = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singles"))
-    wanted = kinds.join(sizes.where("singles > 0").select("anchor", (F.col("n_kinds") > block).alias("large")), "anchor")
+    sizes = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singles")).where("singles > 0")
+    any_large = not sizes.where(F.col("n_kinds") > block).isEmpty()
+    wanted = kinds.join(sizes.select("anchor", (F.col("n_kinds") > block).alias("large")), "anchor")
     wanted = wanted.select("anchor", "n", F.col("one.key").alias("key"), F.col("one.place").alias("place"), "large")
     by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "n", "place", "large")).alias("of"))  # as many as a text has anchors
 
@@ -155,14 +157,14 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
             yield pd.DataFrame(out, columns=["anchor", "n", "key", "place", "large", "bytes"])
 
     found = docs.join(by_text, "key").dropDuplicates(["key"]).select("key", "text", "of")
-    stretches = cut(found.mapInPandas(pick, "anchor long, n long, key long, place long, large boolean, bytes binary"))
+    stretches = found.mapInPandas(pick, "anchor long, n long, key long, place long, large boolean, bytes binary")
+    stretches = cut(stretches) if any_large else stretches  # blocks of either kind read them then
     small = stretches.where("NOT large").select("anchor", "n", "key", "place", "bytes")
     # Tasks take whole blocks, in order, and hold one block and a batch at a time.
     inside = small.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(length), "key long, place long")
     out = settled.unionByName(twice).unionByName(inside)
-    large = stretches.where("large")
-    if not large.isEmpty():
-        suffixes = large.mapInPandas(_each_suffix(length), "h long, key long, start long, n long")
+    if any_large:
+        suffixes = stretches.where("large").mapInPandas(_each_suffix(length), "h long, key long, start long, n long")
         seen = suffixes.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
         out = out.unionByName(suffixes.where("n = 1").join(seen, "h").select("key", (F.shiftleft("start", 32) + F.col("start") + length).alias("place")))
     return out
