@@ -56,9 +56,11 @@ def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     """
     nodes = cut(nodes.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")).where(F.col("node").isNotNull()))
     known = nodes.select(F.col("node").alias("known"))
-    linked = nodes.join(known, F.col("parent") == F.col("known"), "left").select("node", F.col("known").alias("up"), "score")
+    parents = nodes.where(F.col("parent").isNotNull()).select(F.col("parent").alias("p")).distinct()
+    linked = nodes.join(known, F.col("parent") == F.col("known"), "left").join(parents, F.col("node") == F.col("p"), "left")
+    linked = linked.select("node", F.col("known").alias("up"), "score", F.col("p").isNull().alias("leaf"))
     # up: the ancestor 2 ** k levels above, null beyond the root; levels and total: how many nodes, and their scores, below it.
-    active = cut(linked.select("node", "up", F.lit(1).cast("long").alias("levels"), F.col("score").alias("total"), F.col("node").alias("root")))
+    active = cut(linked.select("node", "up", F.lit(1).cast("long").alias("levels"), F.col("score").alias("total"), F.col("node").alias("root"), "leaf"))
     finished, jumps, n = [], [], nodes.count()
     while True:
         # Nodes that have met their root leave, so that a round handles the nodes of paths that are still longer.
@@ -69,13 +71,11 @@ def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
         jumps.append(active.select("node", "up"))
         above = reduce(DataFrame.unionByName, [*finished, active])
         above = above.select(F.col("node").alias("a_node"), F.col("up").alias("a_up"), F.col("levels").alias("a_levels"), F.col("total").alias("a_total"), F.col("root").alias("a_root"))
-        active = cut(active.join(above, F.col("up") == F.col("a_node")).select("node", F.col("a_up").alias("up"), (F.col("levels") + F.col("a_levels")).alias("levels"), (F.col("total") + F.col("a_total")).alias("total"), F.col("a_root").alias("root")))
-    reached = reduce(DataFrame.unionByName, finished)
-    parents = linked.where(F.col("up").isNotNull()).select(F.col("up").alias("p")).distinct()
-    leaves = reached.join(parents, F.col("node") == F.col("p"), "left_anti").select("node", "root", "levels", (F.col("total") / F.col("levels")).alias("mean"))
+        active = cut(active.join(above, F.col("up") == F.col("a_node")).select("node", F.col("a_up").alias("up"), (F.col("levels") + F.col("a_levels")).alias("levels"), (F.col("total") + F.col("a_total")).alias("total"), F.col("a_root").alias("root"), "leaf"))
+    leaves = reduce(DataFrame.unionByName, finished).where("leaf").select("node", "root", "levels", (F.col("total") / F.col("levels")).alias("mean"))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("mean"), "node"))
     chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= per_root)
-    paths = chosen.select(F.col("node").alias("leaf"), "node", (F.col("levels") - 1).alias("depth"), "rank")
+    paths = cut(chosen.select(F.col("node").alias("leaf"), "node", (F.col("levels") - 1).alias("depth"), "rank"))
     # Each distance from the leaf is a sum of distinct powers of two, so each ancestor comes up once.
     for k, j in enumerate(jumps):
         up = paths.join(j.select(F.col("node").alias("j_node"), "up"), F.col("node") == F.col("j_node")).select("leaf", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"), "rank")
