@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,10 @@ REANNOTATION = Reannotation(min_variants=2, min_fraction=0.3)
 MATRIX = Matrix(min_cells_per_mut=4, min_pos_cov=2)
 CELLS = [f"CB{i}" for i in range(1, 9)]
 REGISTRY: dict[str, Query] = {}
+#: The queries whose SQL fixes a few ids, over every part and supplier; named as those, with _all behind.
+WHOLE: dict[str, Query] = {}
+#: The sites of the queries with SQL, and all.
+FEW, ALL = "p_partkey % 50 = 5 OR p_partkey % 100 = 0", "true"
 
 
 def query(f: Query) -> Query:
@@ -31,6 +35,16 @@ def query(f: Query) -> Query:
     return f
 
 
+def whole(**conditions: str) -> Callable[[Query], Query]:
+    """Registers the query once more, with these conditions on ids in place of its own."""
+
+    def register(f: Query) -> Query:
+        WHOLE[f"{f.__name__}_all"] = partial(f, **conditions)
+        return f
+
+    return register
+
+
 def counts(spark, sf):
     return pileup.count_bases(adapter.read_bases(spark, sf), COUNTING)
 
@@ -216,8 +230,9 @@ def betabin_consistency(spark, sf):
 
 
 @query
-def clustered_snvs(spark, sf):
-    s = adapter.sites_where(spark, sf, "p_partkey % 3 = 0").withColumn("alt", F.lit("A"))
+@whole(sites=ALL)
+def clustered_snvs(spark, sf, sites="p_partkey % 3 = 0"):
+    s = adapter.sites_where(spark, sf, sites).withColumn("alt", F.lit("A"))
     return s.select("chrom", "pos", calling.close_pairs(s, 400).alias("close"), calling.close_pairs(s, 400, strict_compat=True).alias("close_text"))
 
 
@@ -263,14 +278,14 @@ def fusion_filter(spark, sf):
     return allf.select("fusion", "umi_cancer", "umi_noncancer", "bc_cancer", "bc_noncancer", F.round("mcf_cancer", 6).alias("mcf_cancer"), F.round("mcf_noncancer", 6).alias("mcf_noncancer"), "decision")
 
 
-def variants(spark, sf):
-    return adapter.sites_where(spark, sf, "p_partkey % 50 = 5 OR p_partkey % 100 = 0").join(
+def variants(spark, sf, sites=FEW):
+    return adapter.sites_where(spark, sf, sites).join(
         adapter.table(spark, sf, "part").select(adapter.chrom("p_partkey").alias("chrom"), adapter.pos("p_partkey").alias("pos"), adapter.letter("ACTG", F.col("p_partkey") % 4).alias("ref"), adapter.letter("CTGA", F.col("p_partkey") % 4).alias("alt")), ["chrom", "pos"]
     )
 
 
-def genotypes(spark, sf):
-    return genotype.genotype_cells(variants(spark, sf), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2))
+def genotypes(spark, sf, sites=FEW):
+    return genotype.genotype_cells(variants(spark, sf, sites), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2))
 
 
 def fusion_cells(spark, sf):
@@ -279,13 +294,15 @@ def fusion_cells(spark, sf):
 
 
 @query
-def genotype_grid(spark, sf):
-    return genotypes(spark, sf).select("key", "cb", F.col("dp").cast("long").alias("dp"), F.col("n_alt").cast("long").alias("n_alt"), "vaf")
+@whole(sites=ALL)
+def genotype_grid(spark, sf, sites=FEW):
+    return genotypes(spark, sf, sites).select("key", "cb", F.col("dp").cast("long").alias("dp"), F.col("n_alt").cast("long").alias("n_alt"), "vaf")
 
 
 @query
-def genotype_status(spark, sf):
-    return genotypes(spark, sf).select("key", "cb", "p", "status", F.col("mutated").cast("long").alias("mutated"))
+@whole(sites=ALL)
+def genotype_status(spark, sf, sites=FEW):
+    return genotypes(spark, sf, sites).select("key", "cb", "p", "status", F.col("mutated").cast("long").alias("mutated"))
 
 
 @query
@@ -293,26 +310,37 @@ def matrix_pivot(spark, sf):
     return genotype.to_matrix(genotypes(spark, sf), "mutated", CELLS).select("key", *[F.col(c).cast("long").alias(c) for c in CELLS])
 
 
+def matrix_pivot_all(spark, sf):
+    return genotype.to_rows(genotypes(spark, sf, ALL), "mutated")
+
+
+WHOLE["matrix_pivot_all"] = matrix_pivot_all
+
+
 @query
-def snv_fusion_union(spark, sf):
-    return genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).groupBy("key").agg(F.count("*").alias("n"), F.sum("dp").cast("long").alias("dp"), F.count("mutated").alias("n_known"), F.first("is_fusion").alias("is_fusion"))
+@whole(sites=ALL)
+def snv_fusion_union(spark, sf, sites=FEW):
+    return genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf)).groupBy("key").agg(F.count("*").alias("n"), F.sum("dp").cast("long").alias("dp"), F.count("mutated").alias("n_known"), F.first("is_fusion").alias("is_fusion"))
 
 
 @query
-def matrix_filter(spark, sf):
-    long = genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf))
+@whole(sites=ALL)
+def matrix_filter(spark, sf, sites=FEW):
+    long = genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf))
     return genotype.filter_matrix(long, MATRIX).select("key", "cb", F.col("mutated").cast("long").alias("mutated"))
 
 
 @query
-def natural_sort(spark, sf):
-    long = genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).select("key").distinct()
+@whole(sites=ALL)
+def natural_sort(spark, sf, sites=FEW):
+    long = genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf)).select("key").distinct()
     return long.select("key", F.row_number().over(Window.orderBy(*genotype.natural_order(F.col("key")))).cast("long").alias("place"))
 
 
 @query
-def reannotate_cells(spark, sf):
-    return hccv.reannotate(genotypes(spark, sf), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
+@whole(sites=ALL)
+def reannotate_cells(spark, sf, sites=FEW):
+    return hccv.reannotate(genotypes(spark, sf, sites), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
 
 
 @query
@@ -353,42 +381,50 @@ def fisher_strand(spark, sf):
 
 
 @query
-def range_neighbours(spark, sf):
-    left = adapter.sites_where(spark, sf, "p_partkey % 3 = 0")
-    return intervals.neighbours(left, adapter.sites_where(spark, sf, "p_partkey % 2 = 0"), 600)
+@whole(sites=ALL, others=ALL)
+def range_neighbours(spark, sf, sites="p_partkey % 3 = 0", others="p_partkey % 2 = 0"):
+    return intervals.neighbours(adapter.sites_where(spark, sf, sites), adapter.sites_where(spark, sf, others), 600)
+
+
+FIFTH, SEVENTH = "p_partkey % 5 = 0", "p_partkey % 7 = 0"
 
 
-def genes(spark, sf):
-    return adapter.intervals(spark, sf, "p_partkey % 5 = 0", "p_size * 37")
+def genes(spark, sf, parts=FIFTH):
+    return adapter.intervals(spark, sf, parts, "p_size * 37")
 
 
-def regions(spark, sf):
-    return adapter.intervals(spark, sf, "p_partkey % 7 = 0", "p_size * 11")
+def regions(spark, sf, parts=SEVENTH):
+    return adapter.intervals(spark, sf, parts, "p_size * 11")
 
 
 @query
-def interval_merge(spark, sf):
-    return intervals.merge(genes(spark, sf), 1)
+@whole(parts=ALL)
+def interval_merge(spark, sf, parts=FIFTH):
+    return intervals.merge(genes(spark, sf, parts), 1)
 
 
 @query
-def interval_overlaps(spark, sf):
-    return intervals.overlaps(genes(spark, sf), regions(spark, sf), 1000)
+@whole(parts=ALL, others=ALL)
+def interval_overlaps(spark, sf, parts=FIFTH, others=SEVENTH):
+    return intervals.overlaps(genes(spark, sf, parts), regions(spark, sf, others), 1000)
 
 
 @query
-def interval_overlap_count(spark, sf):
-    return intervals.overlap_counts(genes(spark, sf), regions(spark, sf), 1000)
+@whole(parts=ALL, others=ALL)
+def interval_overlap_count(spark, sf, parts=FIFTH, others=SEVENTH):
+    return intervals.overlap_counts(genes(spark, sf, parts), regions(spark, sf, others), 1000)
 
 
 @query
-def interval_subtract(spark, sf):
-    return intervals.subtract(genes(spark, sf), regions(spark, sf), 1000)
+@whole(parts=ALL, others=ALL)
+def interval_subtract(spark, sf, parts=FIFTH, others=SEVENTH):
+    return intervals.subtract(genes(spark, sf, parts), regions(spark, sf, others), 1000)
 
 
 @query
-def tile_windows(spark, sf):
-    return intervals.tile(genes(spark, sf), 500)
+@whole(parts=ALL)
+def tile_windows(spark, sf, parts=FIFTH):
+    return intervals.tile(genes(spark, sf, parts), 500)
 
 
 @query

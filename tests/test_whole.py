@@ -1,0 +1,44 @@
+"""The queries over every part and supplier, against the SQL of the thinned ones with its conditions on ids lifted."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from cytoflux.plans import oracles
+from cytoflux.plans.queries import FEW, FIFTH, SEVENTH, WHOLE
+from tests.compare import differences
+
+SF = "/root/testdata/sf0.001"
+OF_SITES = {"clustered_snvs": ["p_partkey % 3 = 0"], "range_neighbours": ["a.p_partkey % 3 = 0", "b.p_partkey % 2 = 0"]}
+NAMES = sorted(n.removesuffix("_all") for n in WHOLE)
+
+
+def lifted(name: str) -> str:
+    sql = oracles.oracle_sql()[name]
+    wanted = OF_SITES.get(name) or [c for c in (FEW, FIFTH, SEVENTH) if c in sql]
+    for condition in wanted:
+        assert condition in sql
+        sql = sql.replace(condition, "true")
+    assert wanted and "p_partkey % 7 = 0" not in sql
+    return sql
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n != "matrix_pivot"])
+def test_whole_query_matches_lifted_sql(spark, name):
+    assert not differences(spark, SF, f"{name}_all", WHOLE[f"{name}_all"], lifted(name))
+
+
+def test_whole_matrix(spark):
+    sql = oracles.oracle_sql()["genotype_status"].replace(FEW, "true")
+    con = duckdb.connect()
+    for t in ("lineitem", "part", "supplier"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want: dict = {}
+    for key, cb, mutated in con.execute(f"SELECT key, cb, mutated FROM ({sql})").fetchall():
+        want.setdefault(key, {})[cb] = mutated
+    rows = WHOLE["matrix_pivot_all"](spark, SF).collect()
+    parts, cells = (spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("part", "supplier"))
+    assert len(rows) == len(want) == parts and all(r.n_cells == cells for r in rows)
+    for r in rows:
+        assert dict(c.split("=") for c in r.cells.split(",") if c) == {c: str(v) for c, v in want[r.key].items() if v is not None}
