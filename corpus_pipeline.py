@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cytoflux.llm import decontam, langid, mixing, near_dup, secrets
 from cytoflux.llm.common import cut, table
@@ -16,9 +15,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the least id. Texts without a word stay."""
-    kept = near_dup.classes(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))).drop("kept_id")
+    """Keeps one row of each group: the one with the least id. Texts without a word stay."""
+    return near_dup.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cytoflux.llm.anchors import Hashes, mix
-from cytoflux.llm.common import cut
+from cytoflux.llm.common import cut, fresh
 from cytoflux.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -204,14 +204,8 @@ def _rest_of_block(k: int, percent: int, rows: int):
     return run
 
 
-def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the least doc_id that links reach) and kept.
-
-    Links join documents whose sets of k-word shingles have 100 * intersection >= percent * union; a text with
-    fewer words is one shingle; null texts and texts without a word are linked with nothing. Null ids: a component's
-    id is the least that is not null, and null if there is none; a row is kept if its id is its component's. Repeated
-    rows have equal sets and are linked. An empty table gives no rows.
-    """
+def _rooted(docs: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """doc_id, key (md5 of the text), n and root (the component; null without a word) of each row."""
     rows, n_bands = bands(percent)
     sketched = cut(sketch_documents(docs.select("doc_id", "text"), k))
     nodes = cut(sketched.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key")))
@@ -261,8 +255,42 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
         if not more.isEmpty():
             roots = cut(components(links.unionByName(more)))
 
-    named = sketched.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return sketched.select("doc_id", "key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the least doc_id that links reach) and kept.
+
+    Links join documents whose sets of k-word shingles have 100 * intersection >= percent * union; a text with
+    fewer words is one shingle; null texts and texts without a word are linked with nothing. Null ids: a component's
+    id is the least that is not null, and null if there is none; a row is kept if its id is its component's. Repeated
+    rows have equal sets and are linked. An empty table gives no rows.
+    """
+    named = _rooted(docs, k, percent, block).drop("key")
     # Written, so that the join has an exchange of its own on either side and a large component's rows can be split.
     ids = cut(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     out = named.join(ids, "root", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The rows of docs that stay: one of each component, and every row whose text has no word.
+
+    The row with the least id that is not null stays, then the one with the least md5 of its text; of rows with the
+    same id and text the one whose columns are least. Decided by row: other rows with its id don't come back.
+    """
+    rooted = _rooted(docs.select("doc_id", "text"), k, percent, block)
+    # n_rows: how many rows have the chosen id and text. Counted before the choice, so that repeated rows are few.
+    pairs = rooted.where("n > 0").groupBy("root", "doc_id", "key").agg(F.count("*").alias("n_rows"))
+    best = pairs.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n_rows")).alias("best"))
+    worded = best.select(F.col("best.doc_id").alias("doc_id"), F.col("best.key").alias("key"), F.col("best.n_rows").alias("n_rows"))
+    wordless = rooted.where("n = 0").select("doc_id", "key").distinct().withColumn("n_rows", F.lit(1).cast("long"))
+    kept_id, kept_key, n_rows, row = fresh(docs, "kept_id", "kept_key", "n_rows", "row")
+    chosen = cut(worded.unionByName(wordless).toDF(kept_id, kept_key, n_rows))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.md5(F.coalesce("text", F.lit(""))) == F.col(kept_key))
+    single = docs.join(chosen.where(F.col(n_rows) == 1), same, "left_semi")
+    repeated = chosen.where(F.col(n_rows) > 1)
+    if repeated.isEmpty():
+        return single
+    least = docs.join(repeated, same).groupBy(kept_id, kept_key).agg(F.min(F.struct(*docs.columns)).alias(row))
+    return single.unionByName(least.select(f"{row}.*"))

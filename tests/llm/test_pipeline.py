@@ -54,3 +54,17 @@ def test_stages(spark):
         assert 1 <= r.copies <= 3
     target = brute.targets(totals)
     assert all(abs(taken[s] - target[s]) <= max(sizes.values()) for s in totals)
+
+
+def test_near_duplicates_keep_rows(spark):
+    """Repeated rows, rows that share an id but not a text, and groups without an id."""
+    long = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d, e = (long(x) for x in "abcde")
+    rows = [(1, a, "s"), (1, a, "r"), (1, a, "s"), (2, f"{a} more", "s")]  # repeated: the least of three rows
+    rows += [(3, b, "s"), (9, b, "s"), (9, c, "s"), (10, c, "s")]  # 9 loses to 3 with b, and wins with c
+    rows += [(None, d, "s"), (None, d, "s"), (5, e, "s"), (None, e, "s")]  # a group without an id; e's null row loses
+    rows += [(7, "", "s"), (7, None, "s"), (None, None, "s"), (None, None, "s")]  # no word: all stay
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    want = [(1, a, "r"), (3, b, "s"), (9, c, "s"), (None, d, "s"), (5, e, "s"), (7, "", "s"), (7, None, "s"), (None, None, "s"), (None, None, "s")]
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
