@@ -1,6 +1,6 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs (lines) are sparse vectors of hashed word uni- and bigrams. Softmax regression over the licence families
+Paragraphs (lines between blank ones) are sparse vectors of hashed word uni- and bigrams. Softmax regression over the licence families
 and `unknown` is trained here, on noisy copies of the templates against other prose and against texts that only talk
 about licences; a temperature, fitted on held-out copies, calibrates the probabilities. A family is confirmed if
 enough of a template's words stand in the paragraph in order.
@@ -11,6 +11,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -117,48 +118,105 @@ def train(per_class: int = 120) -> Model:
     return Model(weights, bias, min(loss, key=loss.get), families)
 
 
-def in_order(template: list[str], tokens: list[str]) -> float:
-    """Share of the template's words in its longest common subsequence with the paragraph."""
-    row = [0] * (len(template) + 1)
+def in_order(template: list[str], tokens: list[str]) -> list[int]:
+    """Places of the tokens in the longest common subsequence of the template and the tokens: the first to end, as late as can be."""
+    rows = [[0] * (len(template) + 1)]
     for t in tokens:
-        before = 0
+        row = [0]
         for j, w in enumerate(template, 1):
-            before, row[j] = row[j], before + 1 if t == w else max(row[j], row[j - 1])
-    return row[-1] / len(template)
+            row.append(rows[-1][j - 1] + 1 if t == w else max(rows[-1][j], row[-1]))
+        rows.append(row)
+    i, j, places = next(i for i, row in enumerate(rows) if row[-1] == rows[-1][-1]), len(template), []
+    while i and j:
+        if tokens[i - 1] == template[j - 1]:
+            i, j = i - 1, j - 1
+            places.append(i)
+        elif rows[i][j] == rows[i - 1][j]:
+            i -= 1
+        else:
+            j -= 1
+    return places[::-1]
 
 
 #: Words that a paragraph must have one of to be anything but unknown: each template has at least one.
 NAMES = frozenset("licensed license licence permission redistribution redistributed released reserved reproduced unauthorized waived dedicated unless warranty redistribute copy".split())
 
 
-def classify(paragraph: str, model: Model) -> tuple[str, float]:
-    """Family and calibrated probability; unknown if no family is likely enough, or no template confirms it."""
-    tokens = words(paragraph)
-    near = [i for i, t in enumerate(tokens) if t in NAMES]
-    if not near:
-        return UNKNOWN, 1.0
-    # A long paragraph is judged by the stretches around such words.
-    best = (UNKNOWN, 0.0)
-    upto = -1
-    for i in near:
-        if i < upto:
-            continue
-        piece = tokens[max(0, i - 12) : i + 28]
-        upto = i + 16
-        p = model.probabilities(features(piece))
-        for k in np.argsort(-p)[:3]:
-            family = model.families[int(k)]
-            if family == UNKNOWN or p[k] < CONFIDENT:
+WORDED = [(family, t, Counter(t)) for family, some in TEMPLATES.items() for t in map(words, some)]
+
+
+def grants(tokens: list[str], model: Model) -> list[tuple[str, float, int, int]]:
+    """family, probability against unknown, first and last token of every template that is confirmed.
+
+    At each of NAMES a template is sought in a window that its whole length fits in on either side. A match within
+    the words of another family's longer match is that family's: cc by within cc by nc.
+    """
+    met: list[tuple[str, set[int]]] = []
+    upto = [0] * len(WORDED)
+    for i in (i for i, t in enumerate(tokens) if t in NAMES):
+        for k, (family, template, counted) in enumerate(WORDED):
+            if i < upto[k]:
                 continue
-            if max(in_order(words(t), piece) for t in TEMPLATES[family]) >= CONFIRMED and p[k] > best[1]:
-                best = (family, float(p[k]))
-    return best if best[1] else (UNKNOWN, 1.0)
+            n, first = len(template), max(upto[k], i - len(template) - 4)
+            piece = tokens[first : i + n + 4]
+            if sum((Counter(w for w in piece if w in counted) & counted).values()) < CONFIRMED * n:
+                continue
+            places = in_order(template, piece)
+            if len(places) >= CONFIRMED * n:
+                # Again from where the match begins: the window may have cut its end off.
+                first += places[0]
+                places = in_order(template, tokens[first : first + n + 8])
+                met.append((family, {first + x for x in places}))
+                upto[k] = first + places[-1] + 1
+    out = []
+    unknown = model.families.index(UNKNOWN)
+    for family, at in met:
+        if any(at < other for f, other in met if f != family):
+            continue
+        low, high = min(at), max(at)
+        p = model.probabilities(features(tokens[low : high + 1]))
+        share = float(p[model.families.index(family)] / (p[model.families.index(family)] + p[unknown]))
+        if share >= CONFIDENT:
+            out.append((family, share, low, high))
+    return sorted(out, key=lambda g: (g[2], g[0]))
+
+
+def classify(paragraph: str, model: Model) -> tuple[str, float]:
+    """The likeliest of the paragraph's families and its probability; unknown if no template is confirmed."""
+    return max(((f, p) for f, p, _, _ in grants(words(paragraph), model)), key=lambda g: g[1], default=(UNKNOWN, 1.0))
+
+
+def paragraphs(text: str | None) -> list[list[tuple[int, str]]]:
+    """Runs of lines that are not blank, each line with its number from 0."""
+    out: list[list[tuple[int, str]]] = [[]]
+    for i, line in enumerate((text or "").split("\n")):
+        if line.strip():
+            out[-1].append((i, line))
+        elif out[-1]:
+            out.append([])
+    return [p for p in out if p]
+
+
+def scan_text(text: str | None, model: Model) -> tuple[int, int, str, str]:
+    """n_paragraphs, n_licensed, families, spans."""
+    found, licensed, parts = [], 0, paragraphs(text)
+    for part in parts:
+        tokens = [(i, w) for i, line in part for w in words(line)]
+        best: dict[tuple[int, int, str], float] = {}
+        for family, p, low, high in grants([w for _, w in tokens], model):
+            at = tokens[low][0], tokens[high][0], family
+            best[at] = max(p, best.get(at, 0.0))
+        licensed += bool(best)
+        found += sorted((*at, p) for at, p in best.items())
+    spans = ",".join(f"{a if a == b else f'{a}-{b}'}:{f}:{p:.3f}" for a, b, f, p in found)
+    return len(parts), licensed, ",".join(sorted({x[2] for x in found})), spans
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per document: its id, n_paragraphs, n_licensed, families (sorted, comma-joined), spans (line:family:probability).
+    """One row per document: its id, n_paragraphs, n_licensed, families (sorted, comma-joined), spans
+    (line:family:probability, or first-last:family:probability of a grant over several lines).
 
-    A null or empty text has no paragraphs; blank lines are none. Row by row, without a shuffle; repeated rows each
+    A null or empty text has no paragraphs; blank lines part them. Row by row, without a shuffle; repeated rows each
     get the same result.
     """
 
@@ -169,10 +227,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         for texts in batches:
             rows = []
             for text in texts:
-                lines = [(i, x) for i, x in enumerate((text or "").split("\n")) if x.strip()]
-                hits = [(i, *classify(x, model)) for i, x in lines]
-                hits = [h for h in hits if h[1] != UNKNOWN]
-                rows.append((len(lines), len(hits), ",".join(sorted({h[1] for h in hits})), ",".join(f"{i}:{f}:{p:.3f}" for i, f, p in hits)))
+                rows.append(scan_text(text, model))
             yield pd.DataFrame(rows, columns=["n_paragraphs", "n_licensed", "families", "spans"])
 
     return docs.select(id_col, "text").withColumn("r", found("text")).select(id_col, "r.*")

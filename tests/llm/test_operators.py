@@ -300,6 +300,21 @@ def test_licences(spark):
     assert not any(r.n_licensed for r in out[:-2]) and licences.scan(df.limit(0)).count() == 0
 
 
+def test_licences_over_lines_and_several_at_once():
+    model = licences.train()
+    bsd = "Copyright (c) 2001 X\nAll rights reserved.\n\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:"
+    n, licensed, families, spans = licences.scan_text(bsd, model)
+    assert (n, licensed, families) == (2, 2, "bsd,proprietary") and "3-5:bsd:" in spans and "1:proprietary:" in spans
+    wrapped = {f: [t for t in some if len(t.split()) > 12] for f, some in licences.TEMPLATES.items()}
+    for family, t in ((f, t) for f, some in wrapped.items() for t in some):
+        w = t.split()
+        lines = "\n".join(" ".join(w[i : i + 6]) for i in range(0, len(w), 6))
+        assert family in licences.scan_text(f"Some words\n{lines}\nand others", model)[2].split(","), t
+    both = "Released under the MIT License or licensed under the Apache License, Version 2.0."
+    assert licences.scan_text(both, model)[2] == "apache-2.0,mit"
+    assert licences.scan_text("Licensed under the GNU Lesser General Public License version 2.1", model)[2] == "lgpl"
+
+
 def test_licence_lines_in_documents(spark):
     docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
     planted = {r.doc_id for r in docs.where("text like '%icensed under %' or text like '%the MIT License%'").collect()}
