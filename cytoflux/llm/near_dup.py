@@ -13,23 +13,23 @@ with the others, block by block, inside a task. Documents with equal sets are on
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cytoflux.llm.anchors import Hashes, mix
-from cytoflux.llm.common import cut, fresh
+from cytoflux.llm.common import Scratch, cut, fresh
 from cytoflux.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
 REGISTERS, BASE, TOP = 252, 1.02, 1200
-#: A pair that shares no band although it reaches the threshold is less likely than this.
+#: Either of these is less likely than this for a pair that reaches the threshold: it shares no band; its estimate
+#: rules it out.
 MISS = 1e-8
-#: Standard deviations by which an estimate may lie below the threshold and still be verified.
-MARGIN = 4.0
 BLOCK = 512
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -99,15 +99,24 @@ def bands(percent: int) -> tuple[int, int]:
 
 
 def least_estimate(percent: int) -> float:
-    t = percent / 100
-    return t - MARGIN * float(np.sqrt(t * (1 - t) / REGISTERS))
+    """Pairs with a lower estimate are ruled out. At the threshold t as many of the registers agree as in that many
+    draws with probability t; the bound is the count that fewer agree with less often than MISS."""
+    t, tail, count = percent / 100, 0.0, 0
+    while (tail := tail + math.comb(REGISTERS, count) * t**count * (1 - t) ** (REGISTERS - count)) < MISS:
+        count += 1
+    return count / REGISTERS
 
 
-SKETCHED = "doc_id {}, key string, n long, node binary, sketch binary"
+def text_key() -> Column:
+    """The 16 bytes of the text's MD5; null is as empty."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+SKETCHED = "doc_id {}, key binary, n long, node binary, sketch binary"
 
 
 def sketch_documents(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, key (md5 of the text), n (shingles), node (digest of the set; null for none) and sketch of each document."""
+    """doc_id, key (see `text_key`), n (shingles), node (digest of the set; null for none) and sketch of each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -120,7 +129,7 @@ def sketch_documents(docs: DataFrame, k: int) -> DataFrame:
             yield out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text").mapInPandas(run, SKETCHED.format(kind))
+    return docs.select("doc_id", text_key().alias("key"), "text").mapInPandas(run, SKETCHED.format(kind))
 
 
 def _registers(column: pd.Series) -> np.ndarray:
@@ -174,47 +183,50 @@ def _shared(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 def _rest_of_block(k: int, percent: int, rows: int):
     """Links between left and right members of a block that belong to different components, share a band, are not
-    ruled out by the estimate and reach the threshold on their full sets: one for each member and other component."""
+    ruled out by the estimate and reach the threshold on their full sets: roots of the components that these connect,
+    as few pairs as connect them."""
     low, used = least_estimate(percent), REGISTERS // rows * rows
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found: set[tuple[bytes, bytes]] = set()
         if len(left) and len(right):
             x, y = _registers(left["sketch"]), _registers(right["sketch"])
-            n, nodes, roots = right["n"].to_numpy(float), right["node"].to_numpy(), right["root"].to_numpy()
+            n, nodes = right["n"].to_numpy(float), right["node"].to_numpy()
+            names, labels = np.unique(np.concatenate([right["root"].to_numpy(), left["root"].to_numpy()]), return_inverse=True)
+            of_right, of_left = labels[: len(right)].copy(), labels[len(right) :].copy()
             inside = (right["root"] == right["main_root"]).to_numpy()
             sets: dict[int, np.ndarray] = {}
             for i in range(len(left)):
-                node, root, own = left["node"].iloc[i], left["root"].iloc[i], float(left["n"].iloc[i])
+                node, own = left["node"].iloc[i], float(left["n"].iloc[i])
                 # Two members outside the main component meet twice; one of the meetings counts.
-                ok = (roots != root) & (inside | (nodes > node)) & (100 * np.minimum(n, own) >= percent * np.maximum(n, own))
+                ok = (of_right != of_left[i]) & (inside | (nodes > node)) & (100 * np.minimum(n, own) >= percent * np.maximum(n, own))
                 at = np.flatnonzero(ok)
                 at = at[(x[i, :used] == y[at][:, :used]).reshape(len(at), used // rows, rows).all(2).any(1)]
                 if not len(at):
                     continue
-                at = at[estimate((x[i] > y[at]).sum(1), (x[i] < y[at]).sum(1), np.full(len(at), own), n[at]) >= low]
-                for j in at:
-                    if j not in sets:
-                        sets[j] = shingles(right["text"].iloc[j], k)
-                both = _shared(shingles(left["text"].iloc[i], k), [sets[j] for j in at])
-                linked = at[100 * both >= percent * (own + n[at] - both)]
-                found += [(min(node, nodes[j]), max(node, nodes[j])) for j in {roots[j]: j for j in linked}.values()]
-        return pd.DataFrame(found, columns=["a", "b"])
+                likely = estimate((x[i] > y[at]).sum(1), (x[i] < y[at]).sum(1), np.full(len(at), own), n[at])
+                at = at[np.argsort(-likely, kind="stable")][: (likely >= low).sum()]
+                mine = shingles(left["text"].iloc[i], k) if len(at) else None
+                while len(at):
+                    # The likeliest of each component; once linked, the component's others need no comparison.
+                    first = np.unique(of_right[at], return_index=True)[1]
+                    for j in at[first]:
+                        if j not in sets:
+                            sets[j] = shingles(right["text"].iloc[j], k)
+                    both = _shared(mine, [sets[j] for j in at[first]])
+                    for j in at[first][100 * both >= percent * (own + n[at[first]] - both)]:
+                        if (now := of_right[j]) != of_left[i]:
+                            found.add(tuple(sorted((names[now], names[of_left[i]]))))
+                            of_right[of_right == now] = of_left[of_left == now] = of_left[i]
+                    at = np.delete(at, first)
+                    at = at[of_right[at] != of_left[i]]
+        return pd.DataFrame(sorted(found), columns=["a", "b"])
 
     return run
 
 
-def _rooted(docs: DataFrame, k: int, percent: int, block: int) -> DataFrame:
-    """doc_id, key (md5 of the text), n and root (the component; null without a word) of each row."""
-    rows, n_bands = bands(percent)
-    sketched = cut(sketch_documents(docs.select("doc_id", "text"), k))
-    nodes = cut(sketched.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key")))
-
-    width = 2 * rows
-    hashes = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 1 + i * width, width)) for i in range(n_bands)])
-    members = nodes.select("node", F.explode(hashes).alias("h"))
-    buckets = cut(members.groupBy("h").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")).where("size > 1"))
-    met = cut(members.join(buckets, "h"))
+def _star_links(nodes: DataFrame, met: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Verified links (a, b) of the members of buckets with the bucket's least and greatest member."""
 
     def pairs_of(other: str) -> DataFrame:
         return met.where(F.col("node") != F.col(other)).select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b"))
@@ -224,38 +236,62 @@ def _rooted(docs: DataFrame, k: int, percent: int, block: int) -> DataFrame:
 
     stars = pairs_of("low").unionByName(pairs_of("high")).distinct()
     sized = attach(attach(stars, "a"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    stars = cut(sized.where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"))
+    stars = scratch.cut(sized.where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"))
+    ends = stars.select(F.col("a").alias("node")).union(stars.select("b"))
+    # Written, so that the join has an exchange of its own on either side and a frequent end's pairs can be split.
+    return scratch.cut(_verify(stars, scratch.cut(_texts(ends, nodes, docs)), k, percent))
 
-    def texts_of(some: DataFrame) -> DataFrame:
-        """One text for each node."""
-        wanted = some.select("node").distinct().join(nodes.select("node", "key"), "node")
-        return docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text")
 
-    ends = stars.select(F.col("a").alias("node")).union(stars.select("b"))
-    links = cut(_verify(stars, texts_of(ends), k, percent))
-    roots = cut(components(links))
+def _texts(some: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text: one text for each node of some."""
+    wanted = nodes.select("node", "key").join(some.select("node").distinct(), "node", "left_semi")
+    # One row a text before the shuffle, however many have it.
+    return docs.groupBy(text_key().alias("key")).agg(F.first("text").alias("text")).join(wanted, "key").select("node", "text")
 
-    # Buckets in which several components are left, without pairs, which have been compared: their members, once for
-    # each component that is the largest of one of their buckets, and those of it that share such a bucket with others.
-    labelled = met.where("size > 2").join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
+
+def _merged_roots(nodes: DataFrame, met: DataFrame, roots: DataFrame, docs: DataFrame, k: int, percent: int, block: int, scratch: Scratch) -> DataFrame | None:
+    """root, merged: the components' roots that links inside still open buckets lead on to another root; None without one.
+
+    A bucket is open if the links known so far leave it in several components. Of each: its members, once for each
+    component that is the largest of one of their buckets; all but that one's meet the others, block by block.
+    """
+    labelled = scratch.cut(met.where("size > 2").join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root")))
     inside = labelled.groupBy("h", "root").agg(F.count("*").alias("n"))
     open_ = inside.groupBy("h").agg(F.count("*").alias("n_roots"), F.max(F.struct("n", "root")).alias("main")).where("n_roots > 1").select("h", F.col("main.root").alias("main_root"))
-    rest = cut(labelled.join(open_, "h").select("main_root", "node", "root").distinct())
-    if not rest.isEmpty():
-        outside = F.count_if(F.col("root") != F.col("main_root"))
-        sizes = cut(rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts")))
-        rest = cut(rest.join(sizes, "main_root").join(nodes.select("node", "n", "sketch"), "node")).join(texts_of(rest), "node")
-        dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
-        columns = ["main_root", "node", "root", "n", "sketch", "text"]
-        left = rest.where("root <> main_root").select(*columns, dealt("lefts", 1).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"))
-        # New names for Spark, which else takes the two sides' columns for the same ones.
-        right = rest.select(*[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), dealt("rights", 2).alias("r"))
-        more = left.groupBy("main_root", "l", "r").cogroup(right.groupBy("main_root", "l", "r")).applyInPandas(_rest_of_block(k, percent, rows), "a binary, b binary")
-        more = cut(more.distinct())
-        if not more.isEmpty():
-            roots = cut(components(links.unionByName(more)))
-
-    return sketched.select("doc_id", "key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = scratch.cut(labelled.join(open_, "h").select("main_root", "node", "root").distinct())
+    if rest.isEmpty():
+        return None
+    outside = F.count_if(F.col("root") != F.col("main_root"))
+    sizes = scratch.cut(rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts")))
+    texts = nodes.select("node", "n", "sketch").join(_texts(rest, nodes, docs), "node")
+    rest = scratch.cut(rest.join(sizes, "main_root")).join(texts, "node")
+    dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    columns = ["main_root", "node", "root", "n", "sketch", "text"]
+    left = rest.where("root <> main_root").select(*columns, dealt("lefts", 1).alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"))
+    # New names for Spark, which else takes the two sides' columns for the same ones.
+    right = rest.select(*[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), dealt("rights", 2).alias("r"))
+    more = left.groupBy("main_root", "l", "r").cogroup(right.groupBy("main_root", "l", "r")).applyInPandas(_rest_of_block(k, percent, bands(percent)[0]), "a binary, b binary")
+    more = scratch.cut(more.distinct())
+    return None if more.isEmpty() else components(more, scratch).select(F.col("node").alias("root"), F.col("root").alias("merged"))
+
+
+def _rooted(docs: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """doc_id, key (see `text_key`), n and root (the component; null without a word) of each row."""
+    rows, n_bands = bands(percent)
+    with Scratch(docs.sparkSession) as scratch:
+        sketched = scratch.cut(sketch_documents(docs.select("doc_id", "text"), k))
+        nodes = scratch.cut(sketched.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key")))
+
+        width = 2 * rows
+        hashes = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 1 + i * width, width)) for i in range(n_bands)])
+        members = nodes.select("node", F.explode(hashes).alias("h"))
+        buckets = scratch.cut(members.groupBy("h").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")).where("size > 1"))
+        met = scratch.cut(members.join(buckets, "h"))
+        roots = components(_star_links(nodes, met, docs, k, percent, scratch), scratch)
+        out = sketched.select("doc_id", "key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
+        if (merged := _merged_roots(nodes, met, roots, docs, k, percent, block, scratch)) is not None:
+            out = out.join(merged, "root", "left").withColumn("root", F.coalesce("merged", "root")).drop("merged")
+        return cut(out)
 
 
 def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -266,7 +302,7 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
     id is the least that is not null, and null if there is none; a row is kept if its id is its component's. Repeated
     rows have equal sets and are linked. An empty table gives no rows.
     """
-    named = _rooted(docs, k, percent, block).drop("key")
+    named = _rooted(docs, k, percent, block)
     # Written, so that the join has an exchange of its own on either side and a large component's rows can be split.
     ids = cut(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     out = named.join(ids, "root", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
@@ -276,7 +312,7 @@ def classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: in
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """The rows of docs that stay: one of each component, and every row whose text has no word.
 
-    The row with the least id that is not null stays, then the one with the least md5 of its text; of rows with the
+    The row with the least id that is not null stays, then the one with the least MD5 of its text; of rows with the
     same id and text the one whose columns are least. Decided by row: other rows with its id don't come back.
     """
     rooted = _rooted(docs.select("doc_id", "text"), k, percent, block)
@@ -287,7 +323,7 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block
     wordless = rooted.where("n = 0").select("doc_id", "key").distinct().withColumn("n_rows", F.lit(1).cast("long"))
     kept_id, kept_key, n_rows, row = fresh(docs, "kept_id", "kept_key", "n_rows", "row")
     chosen = cut(worded.unionByName(wordless).toDF(kept_id, kept_key, n_rows))
-    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.md5(F.coalesce("text", F.lit(""))) == F.col(kept_key))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (text_key() == F.col(kept_key))
     single = docs.join(chosen.where(F.col(n_rows) == 1), same, "left_semi")
     repeated = chosen.where(F.col(n_rows) > 1)
     if repeated.isEmpty():
