@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+#: Multipliers of the two polynomial hashes; together they tell strings apart by 128 bits.
+MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -25,22 +25,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hashes:
     """Hashes of any substrings of one byte string, by differences of a polynomial's prefix sums."""
 
-    _up, _down = powers(MULTIPLIER, 1 << 16), powers(INVERSE, 1 << 16)
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, which: int = 0):
         n = len(data)
-        if n >= len(Hashes._up):
-            Hashes._up, Hashes._down = powers(MULTIPLIER, 2 * n), powers(INVERSE, 2 * n)
+        if which not in Hashes._powers or n >= len(Hashes._powers[which][0]):
+            base, size = MULTIPLIERS[which], max(1 << 16, 2 * n)
+            Hashes._powers[which] = powers(base, size), powers(np.uint64(pow(int(base), -1, 1 << 64)), size)
+        up, self.down = Hashes._powers[which]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * Hashes._up[:n], out=self.sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * Hashes._down[start] + (end - start).astype(np.uint64))
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
     def runs(self, length: int) -> np.ndarray:
         """Of every substring of that length, in order."""
         n = len(self.sums) - length
-        return mix((self.sums[length:] - self.sums[:n]) * Hashes._down[:n] + np.uint64(length)) if n > 0 else np.zeros(0, np.uint64)
+        return mix((self.sums[length:] - self.sums[:n]) * self.down[:n] + np.uint64(length)) if n > 0 else np.zeros(0, np.uint64)
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -55,21 +57,14 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The leftmost least place of each run of w hashes: places, and the first and last run that each is the least of.
+    """The leftmost least place of each run of w hashes, by their upper 32 bits: places, and the first and last run
+    that each is the least of.
 
     The choice looks at the run alone, so equal runs have equal anchors wherever they stand.
     """
-    runs = len(hashes) - w + 1
-    if runs <= 0:
+    if len(hashes) < w:
         return (np.zeros(0, np.int64),) * 3
-    least = sliding_min(hashes, w)
-    same = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    places, first, last = [], [], []
-    ends = np.r_[same[1:], runs]
-    for a, e in zip(same.tolist(), ends.tolist(), strict=True):
-        while a < e:
-            p = a + int(np.argmax(hashes[a : a + w] == least[a]))
-            stop = min(e, p + 1)
-            places.append(p), first.append(a), last.append(stop - 1)
-            a = stop
-    return np.array(places, np.int64), np.array(first, np.int64), np.array(last, np.int64)
+    low = np.uint64(0xFFFFFFFF)
+    at = sliding_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), w) & low
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return at[first].astype(np.int64), first, np.r_[first[1:], len(at)] - 1

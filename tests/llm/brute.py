@@ -60,6 +60,21 @@ def repeats(docs, length=200):
     return out
 
 
+def later_repeats(docs, length=200):
+    """Like repeats, but a string's first copy stays: texts in order of their MD5, rows with one text by id."""
+    data = sorted((hashlib.md5((t or "").encode()).digest(), d, (t or "").encode()) for d, t in docs)
+    seen, out = set(), {}
+    for _, d, b in data:
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if b[i : i + length] in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(b[i : i + length])
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out[d] = (len(b), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)), hashlib.sha256(kept).hexdigest())
+    return out
+
+
 def contamination(docs, items, window=13):
     """doc_id -> (n_words, n_hit, n_items, items_sha256, contaminated)"""
     windows: dict[tuple, set] = {}
