@@ -86,26 +86,39 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, broad
     return hits.join(named, "key")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """docs plus n_words, n_hit, n_items, items_sha256 and contaminated; columns of the same name in docs are replaced.
+def _counted(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
-    A document is contaminated if a word is hit and hit words are 5 % or more of its words. Null and empty texts
-    have no words and no hits; an empty benchmark hits nothing; items without words occur nowhere; repeated rows
-    each get the result of their text. Items without an id share the empty id.
+
+def _contaminated(n_hit: Column, n_words: Column) -> Column:
+    """A word is hit, and 5 % or more of the words are."""
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """The rows of docs that are not contaminated (see `judge_documents`), with all their columns as they are.
+
+    Null and empty texts, and texts that only share a few words with an item, stay; repeated rows share a fate; very
+    long texts are searched whole; an empty benchmark leaves everything; an empty table gives no rows.
     """
     hits = contamination(docs, items, window, broadcast_windows)
-    own = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in own])
-    key, found = fresh(docs, "key_of_text", "key_found")
-    out = docs.withColumn(key, text_key(F.col("text"))).join(hits.withColumnRenamed("key", found), F.col(key) == F.col(found), "left").drop(key, found)
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    out = out.withColumns({"n_words": n_words, "n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"), "n_items": F.coalesce("n_items", F.lit(0)).cast("long"), "items_sha256": F.coalesce("items_sha256", F.sha2(F.lit(""), 256))})
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    key, found, n_hit = fresh(docs, "key_of_text", "key_found", "n_hit")
+    hits = hits.select(F.col("key").alias(found), F.col("n_hit").alias(n_hit))
+    out = docs.withColumn(key, text_key(F.col("text"))).join(hits, F.col(key) == F.col(found), "left")
+    # Words are counted where there is a hit alone.
+    return out.where(~_contaminated(F.coalesce(n_hit, F.lit(0)), _counted())).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def judge_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """Like `decontaminate`, of doc_id alone: the texts are counted before the join and don't travel."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated.
+
+    A document is contaminated if a word is hit and hit words are 5 % or more of its words. Null and empty texts
+    have no words and no hits; an empty benchmark hits nothing; items without words occur nowhere; repeated rows
+    each get the result of their text; very long texts are searched whole. Items without an id share the empty id.
+    Other columns of docs play no part. An empty table gives no rows.
+    """
     hits = contamination(docs, items, window, broadcast_windows)
-    counted = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", text_key(F.col("text")).alias("key"), _counted().alias("n_words"))
+    # Texts are counted before the join and don't travel.
     out = counted.join(hits, "key", "left").withColumns({"n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"), "n_items": F.coalesce("n_items", F.lit(0)).cast("long"), "items_sha256": F.coalesce("items_sha256", F.sha2(F.lit(""), 256))})
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))

@@ -27,9 +27,9 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def grams(text: str) -> np.ndarray | None:
-    """How often each hashed trigram occurs; None without a letter."""
+    """How often each hashed trigram occurs; None without a letter (numerals such as `½` are none)."""
     letters = NOT_LETTERS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):
         return None
     b = np.frombuffer(f" {letters} ".encode("utf-8", "ignore"), dtype=np.uint8).astype(np.uint32)
     codes = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
@@ -124,11 +124,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(idf, sorted(((r["lang"], np.frombuffer(r["centre"], np.float32), r["least"]) for r in found), key=lambda p: (p[0], p[2])))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs plus language: struct of lang_pred, score (cosine, 0 to 1) and rejected.
+def identify(docs: DataFrame, model: Model, into: str = "language") -> DataFrame:
+    """docs plus the column `into`: struct of lang_pred, score (cosine, 0 to 1) and rejected.
 
     A null text, or one without a letter, is `und` with score 0 and rejected, as is every text if nothing was
-    learned. Ties go to the first language. Row by row, without a shuffle.
+    learned. Ties go to the first language. Very long texts count whole; repeated rows each get the same result; an
+    empty table gives no rows. Row by row, without a shuffle.
     """
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
@@ -136,7 +137,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
 
-    return docs.withColumn("language", language("text"))
+    return docs.withColumn(into, language("text"))
 
 
 def report(docs: DataFrame) -> DataFrame:

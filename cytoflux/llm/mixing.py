@@ -110,10 +110,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The documents that the mix takes, with all their columns, plus `copies`: how often each one goes in."""
+    """The documents that the mix takes, with all their columns, plus `copies` (`_copies` where there is one): how often
+    each one goes in.
+
+    Documents without a word are not taken; a null source is a source like others. Repeated rows, which agree in id
+    and text, share a fate, each as a row. A very long text is counted whole and may alone exceed its source's
+    target: it is taken if that is nearer to the target. An empty table gives no rows.
+    """
     plan = mix_plan(cut(docs.select("source", word_count(F.col("text")).alias("size"), mix_key(F.col("doc_id"), F.col("text")).alias("h"))), weights, most)
-    plan = plan.select(F.col("source").alias("p_source"), F.col("times").alias("p_times"), F.col("last_h").alias("p_last_h"))
-    (n,) = fresh(docs, "copies")
-    out = docs.select("*", word_count(F.col("text")).alias("p_size"), mix_key(F.col("doc_id"), F.col("text")).alias("p_h")).where("p_size > 0")
-    out = out.join(plan, F.col("source").eqNullSafe(F.col("p_source"))).withColumn(n, copies(F.col("p_times"), F.col("p_h"), F.col("p_last_h")))
+    n, p_source, p_times, p_last_h, p_size, p_h = fresh(docs, "copies", "p_source", "p_times", "p_last_h", "p_size", "p_h")
+    plan = plan.select(F.col("source").alias(p_source), F.col("times").alias(p_times), F.col("last_h").alias(p_last_h))
+    out = docs.select("*", word_count(F.col("text")).alias(p_size), mix_key(F.col("doc_id"), F.col("text")).alias(p_h)).where(F.col(p_size) > 0)
+    out = out.join(plan, F.col("source").eqNullSafe(F.col(p_source))).withColumn(n, copies(F.col(p_times), F.col(p_h), F.col(p_last_h)))
     return out.where(F.col(n) > 0).select(*[F.col(f"`{c}`") for c in docs.columns], n)

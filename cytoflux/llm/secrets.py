@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytoflux.llm.common import fresh
+
 #: Fixed patterns of the base kinds, and of tokens that end in a checksum.
 ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
@@ -126,8 +128,8 @@ def find_secrets(docs: DataFrame, text: str = "text", found: str = "found", mask
     """docs plus `found`, a struct of spans (start, kind, end: code points, end exclusive, by start, then kind) and,
     if asked for, the text with all spans masked.
 
-    Null and empty texts have no spans. Row by row, without a shuffle; repeated rows each get the same result; an
-    empty table gives no rows.
+    Null and empty texts have no spans; very long ones are scanned whole. Row by row, without a shuffle; repeated
+    rows each get the same result; a column named as `found` is replaced; an empty table gives no rows.
     """
     return docs.withColumn(found, _scanner(mask)(F.col(text)))
 
@@ -146,11 +148,15 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with each secret in `text` replaced by `MASK`, and n_chars, where there is one, brought up to date."""
-    columns = docs.columns
-    out = find_secrets(docs, found="found_secrets", mask=True).withColumn("text", F.col("found_secrets.masked"))
+    """docs with each secret in `text` replaced by `MASK`, and n_chars, where there is one, brought up to date.
+
+    Every row and column stays; null and empty texts, and texts without a secret, are as before, of any length.
+    Repeated rows are masked alike. An empty table gives no rows.
+    """
+    columns, (found,) = docs.columns, fresh(docs, "found_secrets")
+    out = find_secrets(docs, found=found, mask=True).withColumn("text", F.col(f"{found}.masked"))
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("found_secrets.spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(f"{found}.spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in columns])
 
 

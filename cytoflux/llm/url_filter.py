@@ -54,7 +54,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     url's path starts with the rule's path; the longest rule (host plus path) wins, block before allow among
     equals; where none fits, rule is null and the verdict is `default`. A null url, or one without `://`, has an
     empty host and path and gets `default`. Rules with a null or empty host fit nothing. Repeated rows each keep
-    their own result; the columns host, path, rule and verdict replace ones of the same name in pages.
+    their own result; the columns host, path, rule and verdict replace ones of the same name in pages, any others
+    stay. A url of any length is judged whole; it expands no deeper than the deepest rule. Empty pages give no rows.
     """
     rules = rules.where((F.col("host") != "") & F.col("verdict").isNotNull()).select(
         F.col("host").alias("r_host"), F.coalesce("path", F.lit("")).alias("r_path"), F.col("verdict").alias("r_verdict")
@@ -63,7 +64,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     bounds = rules.agg(F.count("*"), F.max(F.size(F.split("r_host", r"\."))), F.max(F.length(F.regexp_replace("r_path", "[^/]", "")))).first()
     n_rules, labels, slashes = bounds[0], bounds[1] or 0, bounds[2] or 0
 
-    host, path = fresh(pages, "host_of_url", "path_of_url")
+    host, path, b_host, b_path, b_rule, b_verdict = fresh(pages, "host_of_url", "path_of_url", "b_host", "b_path", "b_rule", "b_verdict")
     pages = pages.withColumns({host: url_host(F.col(url)), path: url_path(F.col(url))})
     places = pages.select(F.col(host).alias("host"), F.col(path).alias("path")).where(F.col("host") != "").distinct()
 
@@ -90,7 +91,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")), F.struct(F.length("r_host") + F.length("r_path"), F.col("r_verdict") == "block", "r_host")).alias("best")
     )
     # Written, so that the join has an exchange of its own on either side and the pages of one very frequent url can be split.
-    best = cut(best.select(F.col("host").alias("b_host"), F.col("path").alias("b_path"), F.col("best.rule").alias("b_rule"), F.col("best.verdict").alias("b_verdict")))
-    out = pages.join(best, (F.col(host) == F.col("b_host")) & (F.col(path) == F.col("b_path")), "left")
+    best = cut(best.select(F.col("host").alias(b_host), F.col("path").alias(b_path), F.col("best.rule").alias(b_rule), F.col("best.verdict").alias(b_verdict)))
+    out = pages.join(best, (F.col(host) == F.col(b_host)) & (F.col(path) == F.col(b_path)), "left")
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", host.lower(), path.lower())]
-    return out.select(*[F.col(f"`{c}`") for c in kept], F.col(host).alias("host"), F.col(path).alias("path"), F.col("b_rule").alias("rule"), F.coalesce("b_verdict", F.lit(default)).alias("verdict"))
+    return out.select(*[F.col(f"`{c}`") for c in kept], F.col(host).alias("host"), F.col(path).alias("path"), F.col(b_rule).alias("rule"), F.coalesce(b_verdict, F.lit(default)).alias("verdict"))

@@ -92,13 +92,50 @@ def test_long_repeats(spark, docs):
     assert got == brute.repeats(docs)
 
 
-@pytest.mark.parametrize("block", [1, 20_000])
-def test_long_repeats_of_odd_rows(spark, block):
+REPEATS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def repeat_texts():
     rng = random.Random(5)
     passage = words(rng, 80)
-    texts = [*ODD_TEXTS, "z" * 199, "y" * 200, "y" * 201, "pq" * 300, *(f"{words(rng, 30)} {passage} {words(rng, 30)}" for _ in range(6)), passage[7:230], f"{passage[5:250]}é{passage[40:300]}"]
-    df = odd(spark, texts)
-    got = by_id(long_repeats.remove_repeats(df, block=block), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return [*ODD_TEXTS, "z" * 199, "y" * 200, "y" * 201, "pq" * 300, *(f"{words(rng, 30)} {passage} {words(rng, 30)}" for _ in range(6)), passage[7:230], f"{passage[5:250]}é{passage[40:300]}"]
+
+
+@pytest.mark.parametrize("block", [1, 20_000])
+def test_long_repeats_with_colliding_hashes(spark, block):
+    """Hashes of 3 bits agree for most strings that differ; bytes and the second hash tell them apart."""
+    df = odd(spark, repeat_texts())
+    assert by_id(long_repeats.remove_repeats(df, block=block, bits=3), *REPEATS) == brute.repeats(pairs(df))
+
+
+@pytest.mark.parametrize("block", [1, 20_000])
+def test_long_repeats_keep_the_first(spark, block):
+    df = odd(spark, repeat_texts())
+    assert by_id(long_repeats.remove_repeats(df, block=block, keep_first=True), *REPEATS) == brute.later_repeats(pairs(df))
+
+
+def test_suffix_order_and_factors():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    data[2000:2400] = data[100:500]
+    at, raw = np.arange(len(data) - 20 + 1), data.tobytes()
+    for bits in (64, 4):
+        order, rank = long_repeats.suffix_order(data, at, 20, bits)
+        strings = [raw[i : i + 20] for i in order]
+        assert [(s, i) for s, i in zip(strings, order)] == sorted((s, i) for s, i in zip(strings, order))
+        assert all((a == b) == (x == y) for a, b, x, y in zip(strings, strings[1:], rank, rank[1:]))
+        previous, following = long_repeats.factors(rank)
+        assert {int(i) for i in order[previous]} == {i for i in at if raw.find(raw[i : i + 20]) < i}
+        assert {int(i) for i in order[following]} == {i for i in at if raw.rfind(raw[i : i + 20]) > i}
+    for alone in (at[:0], at[:1]):  # nothing to order
+        order, rank = long_repeats.suffix_order(data, alone, 20)
+        assert not len(order) and not any(map(len, long_repeats.factors(rank)))
+
+
+@pytest.mark.parametrize("block", [1, 20_000])
+def test_long_repeats_of_odd_rows(spark, block):
+    df = odd(spark, repeat_texts())
+    got = by_id(long_repeats.remove_repeats(df, block=block), *REPEATS)
     assert got == brute.repeats(pairs(df))
     assert long_repeats.remove_repeats(df.limit(0)).count() == 0
 
@@ -120,8 +157,8 @@ def test_decontamination_of_odd_rows(spark, broadcast):
     df, bench = odd(spark, texts), spark.createDataFrame(items, "item_id long, text string")
     want = brute.contamination(pairs(df), items)
     assert by_id(decontam.judge_documents(df, bench, broadcast_windows=broadcast), *DECONTAMINATED) == want
-    whole = decontam.decontaminate(df, bench, broadcast_windows=broadcast)
-    assert by_id(whole, *DECONTAMINATED) == want and {"key", "node"} <= set(whole.columns)
+    whole = decontam.clean(df, bench, broadcast_windows=broadcast)
+    assert whole.columns == df.columns and {r.doc_id for r in whole.collect()} == {d for d, w in want.items() if not w[4]}
     assert not any(r.contaminated for r in decontam.judge_documents(df, bench.limit(0)).collect())
     assert decontam.judge_documents(df.limit(0), bench).count() == 0
 
