@@ -206,27 +206,32 @@ def consistency_tag() -> Column:
     return F.when(F.col("cancer.filter").isin("Non-Significant", "Low-Significance"), "CancerNonSig").when(F.col("noncancer.filter").isin("PASS", "Low-Significance"), "NonCancerSig")
 
 
-def close_pairs(df: DataFrame, distance: int, strict_compat: bool = False) -> Column:
-    """Whether a neighbour in order is less than `distance` away; chrM is exempt. strict_compat orders positions as text."""
-    order = Window.partitionBy("chrom").orderBy(F.col("pos").cast("string") if strict_compat else F.col("pos"), "alt")
+def close_pairs(distance: int, strict_compat: bool = False, among: Column | None = None) -> Column:
+    """Whether a neighbour in order is less than `distance` away; chrM is exempt. strict_compat orders positions as text.
+
+    among: only rows that agree in it are neighbours.
+    """
+    by = ["chrom"] if among is None else ["chrom", among]
+    order = Window.partitionBy(*by).orderBy(F.col("pos").cast("string") if strict_compat else F.col("pos"), "alt")
     gaps = [F.coalesce(F.abs(F.col("pos") - f("pos").over(order)) < distance, F.lit(False)) for f in (F.lag, F.lead)]
     return (F.col("chrom") != "chrM") & (gaps[0] | gaps[1])
 
 
 def finalize_calls(calls: DataFrame, params: Final | None = None) -> DataFrame:
-    """Step 3: calls in cancer with final tags (`final`, empty: pass). The passing ones are the calls, all are the unfiltered table."""
+    """Step 3: calls in cancer with final tags (`final`, empty: pass). The passing ones are the calls, all are the unfiltered table.
+
+    One pass: mitochondrial and other sites differ in expressions, and neighbours are sought among clean rows by a window.
+    """
     params = params or Final()
     df = major_allele(calls)
     is_m = (F.col("chrom") == "chrM") if params.chrm_contaminant else F.lit(False)
     first = F.when(F.col("multi"), "Multi-Allelic")
-    mito = df.where(is_m).where(~any_tag(F.col("filters"), CHRM_DROPS)).withColumn("final", F.array_compact(F.array(first, chrm_tag(params))))
-    auto = df.where(~is_m).where(~any_tag(F.col("filters"), FINAL_DROPS)).withColumn("final", F.array_compact(F.array(first, support_tag(params), consistency_tag())))
-    both = auto.unionByName(mito)
-    clean = both.where(F.size("final") == 0)
-    close = clean.withColumn("close", close_pairs(clean, params.clust_dist, params.strict_compat)).where("close").select("chrom", "pos", "alt", "close")
-    both = both.join(close, ["chrom", "pos", "alt"], "left")
+    df = df.where(~F.when(is_m, any_tag(F.col("filters"), CHRM_DROPS)).otherwise(any_tag(F.col("filters"), FINAL_DROPS)))
+    own = F.array_compact(F.array(first, F.when(is_m, chrm_tag(params)).otherwise(support_tag(params)), F.when(~is_m, consistency_tag())))
+    df = df.withColumn("final", own).withColumn("clean", F.size("final") == 0)
+    df = df.withColumn("close", F.col("clean") & close_pairs(params.clust_dist, params.strict_compat, F.col("clean")))
     final = F.when(F.col("close"), F.array_append("final", F.lit(f"Clust_dist_{params.clust_dist}"))).otherwise(F.col("final"))
-    return both.withColumn("final", final).withColumn("key", variant_key(F.col("chrom"), F.col("pos"), F.col("alt"))).drop("close")
+    return df.withColumn("final", final).withColumn("key", variant_key(F.col("chrom"), F.col("pos"), F.col("alt"))).drop("close", "clean")
 
 
 def passing(final: DataFrame) -> DataFrame:

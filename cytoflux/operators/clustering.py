@@ -1,20 +1,23 @@
-"""Clustering of cells by their mutations: a Dirichlet-process mixture of Bernoulli profiles, sampled in Spark.
-
-The process is truncated at `clusters` components. Given the profiles, cells are independent, and given the
-assignments, so are mutations: each sweep is two aggregations of the long matrix (cell, mut, value), and nothing but
-the profiles (mutations times clusters) is joined with it. Draws come from hashes of (seed, chain, step, cell,
-cluster), so a recomputed task draws the same. Chains are a column and run side by side.
+"""Clustering of cells by their mutations: a mixture of Bernoulli profiles by stochastic expectation-maximisation.
+
+The number of clusters is bounded by `clusters`; empty ones take part with a weight from the concentration. A sweep
+computes every cluster's mean profile from the cells in it, and then draws every cell's cluster in proportion to its
+likelihood and the cluster's weight. That is no posterior sampler: profiles are means and not draws, so that the
+spread of the kept clusterings shows their stability and is no posterior probability. A sweep is two aggregations of
+the long matrix (cell, mut, value), and nothing but the profiles (mutations times clusters) is joined with it. Draws
+come from hashes of (seed, chain, step, cell, cluster), so a recomputed task draws the same. Chains are a column.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cytoflux.operators.metrics import coclustering
+from cytoflux.operators.metrics import shared_pairs
 from cytoflux.plans.params import Clustering
 
 
@@ -22,7 +25,7 @@ def _shared_dir(df: DataFrame) -> None:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not sc.master.startswith("local["):
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cytoflux-checkpoint-"))
 
@@ -80,16 +83,18 @@ def chain_scores(trace: DataFrame) -> DataFrame:
 
 
 def consensus(trace: DataFrame) -> DataFrame:
-    """cell, cluster: the sampled clustering with the greatest posterior expected adjusted Rand index (MPEAR)."""
+    """cell, cluster: the kept clustering with the greatest expected adjusted Rand index over all kept ones.
+
+    From contingency counts between kept clusterings: cells times clusterings squared, never pairs of cells.
+    """
     samples = trace.select(F.concat_ws(":", "chain", "step").alias("sample"), "cell", "cluster")
-    pairs = coclustering(samples)
-    n = F.lit(samples.select("cell").distinct().count())
-    other = samples.select("sample", "cluster", F.col("cell").alias("cell_b"))
-    met = samples.withColumnRenamed("cell", "cell_a").join(other, ["sample", "cluster"]).where("cell_a < cell_b").join(pairs, ["cell_a", "cell_b"])
-    all_s = F.lit(pairs.agg(F.sum("similarity")).first()[0] or 0.0)
-    sums = met.groupBy("sample").agg(F.sum("similarity").alias("si"), F.count("*").alias("i"))
-    expected = all_s * F.col("i") / (n * (n - 1) / 2)
-    score = (F.col("si") - expected) / F.nullif((all_s + F.col("i")) / 2 - expected, F.lit(0.0))
+    shared = shared_pairs(samples, samples.withColumnRenamed("sample", "other"), ["sample"], ["other"])
+    own = samples.groupBy("sample", "cluster").agg(F.count("*").alias("n")).groupBy("sample").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("i"))
+    cells, n, all_i = samples.select(F.countDistinct("cell"), F.countDistinct("sample")).first() + own.agg(F.sum("i")).first()
+    s = F.lit((all_i or 0.0) / max(n, 1))
+    expected = s * F.col("i") / F.lit(max(cells * (cells - 1) / 2, 1))
+    score = (F.col("si") - expected) / F.nullif((s + F.col("i")) / 2 - expected, F.lit(0.0))
+    sums = shared.groupBy("sample").agg((F.sum("pairs") / n).alias("si")).join(own, "sample")
     best = sums.select("sample", score.alias("score")).orderBy(F.desc_nulls_last("score"), "sample").limit(1)
     return samples.join(best.select("sample"), "sample", "left_semi").select("cell", "cluster")
 

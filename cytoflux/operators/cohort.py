@@ -38,7 +38,7 @@ def sample_per_file(rows: DataFrame, file: str, n: int, seed: int = 1992) -> Dat
 
 
 def fit_beta_binomial(training: DataFrame) -> dict[str, float]:
-    """alpha1, beta1 from cell counts and alpha2, beta2 from read counts. Only distinct (alt, depth) pairs reach the driver."""
+    """alpha1, beta1 from cell counts and alpha2, beta2 from read counts. Only histograms of single counts reach the driver."""
     a1, b1 = fit_frame(training, "alt_cells", "nc")
     a2, b2 = fit_frame(training, "alt_reads", "dp")
     return {"alpha1": a1, "beta1": b1, "alpha2": a2, "beta2": b2}

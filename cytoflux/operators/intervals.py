@@ -27,6 +27,13 @@ def _binned(df: DataFrame, width: int) -> DataFrame:
     return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
 
 
+def inside(places: DataFrame, intervals: DataFrame, how: str = "left_semi", width: int = 50_000) -> DataFrame:
+    """The rows of places (chrom, pos) with start <= pos < end of an interval; how="left_anti": the others."""
+    bins = _binned(intervals.select(F.col("chrom").alias("i_chrom"), "start", "end").where("end > start"), width)
+    met = (F.col("chrom") == F.col("i_chrom")) & (F.floor(F.col("pos") / width) == F.col("bin")) & (F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("end"))
+    return places.join(bins.select("i_chrom", "start", "end", "bin"), met, how)
+
+
 def overlaps(left: DataFrame, right: DataFrame, width: int = 50_000) -> DataFrame:
     """left with r_start and r_end of each interval of right that it overlaps; each pair once, in the bin where the overlap begins."""
     r = _binned(right.select("chrom", F.col("start"), F.col("end")), width).select("chrom", "bin", F.col("start").alias("r_start"), F.col("end").alias("r_end"))

@@ -69,14 +69,26 @@ def coclustering(trace: DataFrame) -> DataFrame:
     return met.groupBy("cell_a", "cell_b").agg(F.round(F.count("*") / F.lit(max(n, 1)), 6).alias("similarity"))
 
 
-def mpear(similarity: DataFrame, assigned: DataFrame) -> DataFrame:
-    """One row: the expected adjusted Rand index of a clustering (cell, cluster), given pairs' similarity (absent: 0)."""
-    b = assigned.select(F.col("cell").alias("cell_b"), F.col("cluster").alias("cluster_b"))
-    pairs = assigned.withColumnRenamed("cell", "cell_a").join(b, F.col("cell_a") < F.col("cell_b"))
-    same = F.when(F.col("cluster") == F.col("cluster_b"), 1.0).otherwise(0.0)
-    joined = pairs.join(similarity, ["cell_a", "cell_b"], "left").withColumns({"s": F.coalesce("similarity", F.lit(0.0)), "i": same})
-    sums = joined.agg(F.sum(F.col("s") * F.col("i")).alias("si"), F.sum("s").alias("s"), F.sum("i").alias("i"), F.count("*").alias("n"))
-    expected = F.col("s") * F.col("i") / F.col("n")
+def shared_pairs(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
+    """Per left_keys and right_keys how many pairs of cells are in one cluster on both sides: from contingency counts,
+    without pairs. left: left_keys, cell, cluster; right: right_keys, cell, cluster."""
+    both = left.withColumnRenamed("cluster", "l").join(right.withColumnRenamed("cluster", "r"), "cell")
+    return both.groupBy(*left_keys, *right_keys, "l", "r").agg(F.count("*").alias("n")).groupBy(*left_keys, *right_keys).agg(F.sum(_pairs(F.col("n"))).alias("pairs"))
+
+
+def mpear(trace: DataFrame, assigned: DataFrame) -> DataFrame:
+    """One row: the expected adjusted Rand index of a clustering (cell, cluster) over the samples of a trace (sample, cell, cluster).
+
+    A pair's similarity is the share of samples with both in one cluster; only sums over pairs are needed, which
+    follow from the sizes of clusters and of their meets. Every sample has the cells of the clustering.
+    """
+    within = lambda df, *by: df.groupBy(*by, "cluster").agg(F.count("*").alias("n")).agg(F.sum(_pairs(F.col("n"))).alias("x"))
+    n = trace.select(F.countDistinct("sample").alias("n"))
+    s = within(trace, "sample").select(F.col("x").alias("s"))
+    si = shared_pairs(trace, assigned, ["sample"], []).agg(F.sum("pairs").alias("si"))
+    i = within(assigned).select(F.col("x").alias("i")).crossJoin(assigned.agg(_pairs(F.count("*")).alias("all")))
+    sums = n.crossJoin(s).crossJoin(si).crossJoin(i).select((F.col("si") / F.col("n")).alias("si"), (F.col("s") / F.col("n")).alias("s"), "i", "all")
+    expected = F.col("s") * F.col("i") / F.col("all")
     return sums.select(F.round((F.col("si") - expected) / F.nullif((F.col("s") + F.col("i")) / 2 - expected, F.lit(0.0)), 6).alias("mpear"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions.alleles import ALLELES, barcode, token_class
+from cytoflux.operators.intervals import inside
 from cytoflux.plans.params import Counting
 
 SITE = ("chrom", "pos", "ref")
@@ -32,21 +33,28 @@ def pileup(read_base: DataFrame, params: Counting) -> DataFrame:
     return out.withColumn("allele", token_class(F.col("raw_base"))).where("allele <> 'NA'")
 
 
-def count_bases(read_base: DataFrame, params: Counting | None = None) -> DataFrame:
-    """chrom, pos, ref, cell_type, dp, nc and, per allele in the order of ALLELES, cc, bc, bq, bcf, bcr (arrays).
+def count_bases(read_base: DataFrame, params: Counting | None = None, keys: tuple[str, ...] = (), regions: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
+    """keys, chrom, pos, ref, cell_type, dp, nc and, per allele in the order of ALLELES, cc, bc, bq, bcf, bcr (arrays).
+
+    keys: columns that are counted apart, such as the sample, in one pass for all their values. regions and excluded
+    (chrom, start, end: half-open) say where to count and where not to; they act before anything is shuffled by site.
 
     read_base has a cell_type; rows without barcode or cell type, and not primary, are not counted. Sites need
     min_dp tokens and min_ac other than the reference in all, cell types min_dp counted reads and min_cc cells.
     """
     params = params or Counting()
+    if regions is not None:
+        read_base = inside(read_base, regions)
+    if excluded is not None:
+        read_base = inside(read_base, excluded, "left_anti")
     piled = pileup(read_base, params)
     used = primary() & F.col("cb").isNotNull() & F.col("cell_type").isNotNull()
     is_ = {x: F.col("allele") == x for x in ALLELES}
     each = [F.count_if(is_[x] & used).alias(f"bc_{x}") for x in ALLELES] + [F.sum(F.when(is_[x] & used, F.col("base_qual"))).alias(f"bq_{x}") for x in ALLELES]
     each += [F.count_if(is_[x] & used & ~F.col("is_reverse")).alias(f"bcf_{x}") for x in ALLELES] + [F.count_if(is_[x] & used & F.col("is_reverse")).alias(f"bcr_{x}") for x in ALLELES]
-    cells = piled.groupBy(*SITE, "cell_type", barcode(F.col("cb")).alias("cb")).agg(F.count_if(used).alias("dp"), F.count("*").alias("tokens"), F.count_if(~F.col("allele").isin("N", "O") & (F.col("allele") != F.col("ref"))).alias("ac"), *each)
+    cells = piled.groupBy(*keys, *SITE, "cell_type", barcode(F.col("cb")).alias("cb")).agg(F.count_if(used).alias("dp"), F.count("*").alias("tokens"), F.count_if(~F.col("allele").isin("N", "O") & (F.col("allele") != F.col("ref"))).alias("ac"), *each)
     vectors = [F.array(*[(F.count_if(F.col(f"bc_{x}") > 0) if k == "cc" else F.coalesce(F.sum(f"{k}_{x}"), F.lit(0))).cast("long") for x in ALLELES]).alias(k) for k in KINDS]
-    counted = cells.groupBy(*SITE, "cell_type").agg(F.sum("dp").alias("dp"), F.count_if(F.col("dp") > 0).alias("nc"), F.sum("tokens").alias("tokens"), F.sum("ac").alias("ac"), *vectors)
+    counted = cells.groupBy(*keys, *SITE, "cell_type").agg(F.sum("dp").alias("dp"), F.count_if(F.col("dp") > 0).alias("nc"), F.sum("tokens").alias("tokens"), F.sum("ac").alias("ac"), *vectors)
     return counted.where((F.col("tokens") >= params.min_dp) & (F.col("ac") >= params.min_ac) & (F.col("dp") >= params.min_dp) & (F.col("nc") >= params.min_cc) & F.col("cell_type").isNotNull()).drop("tokens", "ac")
 
 

@@ -37,10 +37,13 @@ def read_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = F.when((F.col("l_suppkey") % 2 == 0) & (number % 3 != 0), letter("CTGA", F.col("l_partkey") % 4)).otherwise(ref)
     base = F.when(F.col("l_partkey") % 5 == 0, planted).when((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 10 < 8, ref).otherwise(letter("ACTGID", number % 6))
     reverse = F.col("l_linestatus") == "F"
-    token = F.when(base == "I", F.concat(ref, F.lit("+2AT"))).when(base == "D", F.concat(ref, F.lit("-1G"))).when(reverse, F.lower(base)).otherwise(base)
+    # Generated, so that Spark computes each of them once and doesn't copy them into every condition on the token.
+    li = li.withColumn("base", F.explode(F.array(base)))
+    token = F.when(F.col("base") == "I", F.concat(ref, F.lit("+2AT"))).when(F.col("base") == "D", F.concat(ref, F.lit("-1G"))).when(reverse, F.lower("base")).otherwise(F.col("base"))
+    li = li.withColumn("token", F.explode(F.array(token)))
     no = F.lit(False)
     return li.select(
-        F.col("l_returnflag").alias("sample_id"), chrom("l_partkey").alias("chrom"), pos("l_partkey").alias("pos"), ref.alias("ref"), token.alias("raw_base"), F.col("l_quantity").cast("int").alias("base_qual"), F.lit(60).alias("map_qual"),
+        F.col("l_returnflag").alias("sample_id"), chrom("l_partkey").alias("chrom"), pos("l_partkey").alias("pos"), ref.alias("ref"), F.col("token").alias("raw_base"), F.col("l_quantity").cast("int").alias("base_qual"), F.lit(60).alias("map_qual"),
         F.concat(F.lit("CB"), F.col("l_suppkey").cast("string"), F.lit("-1")).alias("cb"), cell_type("l_suppkey").alias("cell_type"), reverse.alias("is_reverse"), no.alias("is_secondary"), no.alias("is_duplicate"), no.alias("is_supplementary"),
     )
 
@@ -99,9 +102,9 @@ def fusion_barcodes(spark: SparkSession) -> DataFrame:
     return spark.range(20).select(F.concat(F.lit("CB"), F.col("id").cast("string")).alias("cb"), cell_type("id").alias("cell_type"))
 
 
-def intervals(spark: SparkSession, sf_dir: str, keep: str, length: str) -> DataFrame:
-    """chrom, start, end from the parts that `keep` selects."""
-    part = table(spark, sf_dir, "part").where(keep)
+def intervals(spark: SparkSession, sf_dir: str, length: str) -> DataFrame:
+    """chrom, start, end: one interval for each part."""
+    part = table(spark, sf_dir, "part")
     return part.select(chrom("p_partkey").alias("chrom"), pos("p_partkey").alias("start"), (pos("p_partkey") + F.expr(length)).alias("end"))
 
 

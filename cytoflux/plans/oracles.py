@@ -108,7 +108,7 @@ FUS = f"""{EV}, rows_ AS (SELECT fusion, part, min(event_id) AS ordinal FROM ev
  fe AS (SELECT fusion, count(DISTINCT umi) FILTER (kind = 'Cancer') AS umi_cancer, count(DISTINCT umi) FILTER (kind = 'Non-Cancer') AS umi_noncancer, count(DISTINCT bc) FILTER (kind = 'Cancer') AS bc_cancer, count(DISTINCT bc) FILTER (kind = 'Non-Cancer') AS bc_noncancer FROM fr GROUP BY fusion),
  fd AS (SELECT *, round(bc_cancer / 10.0::DOUBLE, 6) AS mcf_cancer, round(bc_noncancer / 10.0::DOUBLE, 6) AS mcf_noncancer, CASE WHEN umi_cancer < 3 THEN 'Low_Cancer_UMI' WHEN bc_cancer < 2 THEN 'Low_Cancer_BC' WHEN bc_noncancer > 0 AND bc_cancer / 10.0::DOUBLE - bc_noncancer / 10.0::DOUBLE < 0.1 THEN 'Low_delta_MCF' WHEN bc_noncancer > 0 AND bc_noncancer / 10.0::DOUBLE > 0.7 THEN 'High_Non-Cancer_MCF' ELSE 'PASS' END AS decision FROM fe),
  fc AS (SELECT DISTINCT fusion, bc AS cb FROM fr WHERE fusion IN (SELECT fusion FROM fd WHERE decision = 'PASS'))"""
-GT = f"""{RB}, v AS (SELECT {place('p_partkey')}, {letter('ACTG', 'p_partkey % 4')} AS ref, {letter('CTGA', 'p_partkey % 4')} AS alt FROM part WHERE p_partkey % 50 = 5 OR p_partkey % 100 = 0), bar AS (SELECT 'CB' || s_suppkey AS cb, {kind('s_suppkey')} AS cell_type FROM supplier),
+GT = f"""{RB}, v AS (SELECT {place('p_partkey')}, {letter('ACTG', 'p_partkey % 4')} AS ref, {letter('CTGA', 'p_partkey % 4')} AS alt FROM part), bar AS (SELECT 'CB' || s_suppkey AS cb, {kind('s_suppkey')} AS cell_type FROM supplier),
  gc AS (SELECT v.chrom, v.pos, v.alt, rb.cb, count(*) AS dp, count(*) FILTER (allele = v.alt) AS n_alt FROM v JOIN rb ON v.chrom = rb.chrom AND v.pos = rb.pos WHERE bq >= 5 GROUP BY ALL),
  g0 AS (SELECT v.chrom, v.pos, v.ref, v.alt, bar.cb, bar.cell_type, coalesce(dp, 0) AS dp, coalesce(n_alt, 0) AS n_alt, v.chrom || ':' || v.pos || ':' || v.alt AS key FROM v CROSS JOIN bar LEFT JOIN gc ON v.chrom = gc.chrom AND v.pos = gc.pos AND v.alt = gc.alt AND bar.cb = gc.cb),
  g1 AS (SELECT *, round(n_alt::DOUBLE / nullif(dp, 0), 4) AS vaf, CASE WHEN dp > 0 AND n_alt > 0 THEN {tail('n_alt', 'dp', C1, C2)} END AS p FROM g0),
@@ -116,8 +116,8 @@ GT = f"""{RB}, v AS (SELECT {place('p_partkey')}, {letter('ACTG', 'p_partkey % 4
  gt AS (SELECT *, CASE WHEN status = 'NoCoverage' THEN NULL WHEN status = 'PASS' THEN 1 ELSE 0 END::BIGINT AS mutated FROM g2)"""
 LONG = f"{GT}, {FUS}, long AS (SELECT key, cb, dp, mutated, false AS is_fusion FROM gt UNION ALL SELECT fusion, cb, 1, 1, true FROM fc)"
 SITES = f"s AS (SELECT {place('p_partkey')}, p_partkey, p_size FROM part)"
-GENES = f"g AS (SELECT {place('p_partkey')} , p_size FROM part WHERE p_partkey % 5 = 0), genes AS (SELECT chrom, pos AS \"start\", (pos + p_size * 37)::BIGINT AS \"end\" FROM g)"
-REGIONS = f"{GENES}, r AS (SELECT {place('p_partkey')}, p_size FROM part WHERE p_partkey % 7 = 0), regions AS (SELECT chrom, pos AS \"start\", (pos + p_size * 11)::BIGINT AS \"end\" FROM r)"
+GENES = f"g AS (SELECT {place('p_partkey')} , p_size FROM part), genes AS (SELECT chrom, pos AS \"start\", (pos + p_size * 37)::BIGINT AS \"end\" FROM g)"
+REGIONS = f"{GENES}, r AS (SELECT {place('p_partkey')}, p_size FROM part), regions AS (SELECT chrom, pos AS \"start\", (pos + p_size * 11)::BIGINT AS \"end\" FROM r)"
 ISLANDS = "SELECT chrom, min(\"start\") AS \"start\", max(\"end\") AS \"end\" FROM (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN \"start\" <= max(\"end\") OVER (PARTITION BY chrom ORDER BY \"start\", \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {gap} THEN 0 ELSE 1 END AS new FROM {of})) GROUP BY chrom, island"
 CL = "c AS (SELECT vec_id AS cell, (label + CASE WHEN vec_id % 5 = 0 THEN 1 ELSE 0 END)::BIGINT AS pred, label::BIGINT AS tr FROM embeddings)"
 CONT = f"{CL}, n AS (SELECT pred, tr, count(*)::DOUBLE AS n FROM c GROUP BY ALL), a AS (SELECT pred, sum(n) AS n FROM n GROUP BY ALL), b AS (SELECT tr, sum(n) AS n FROM n GROUP BY ALL)"
@@ -166,7 +166,7 @@ def oracle_sql() -> dict[str, str]:
         "chrm_branch": f"WITH {MAJOR} SELECT chrom, pos, alt, coalesce({CHRM_TAG}, 'PASS') AS tag FROM major WHERE chrom = 'chrM' AND NOT {CHRM}",
         "cancer_support": f"WITH {MAJOR} SELECT chrom, pos, alt, coalesce({SUPPORT}, 'PASS') AS tag FROM major",
         "betabin_consistency": f"WITH {MAJOR} SELECT chrom, pos, alt, coalesce({CONSISTENT}, 'PASS') AS tag FROM major",
-        "clustered_snvs": f"WITH {SITES}, t AS (SELECT * FROM s WHERE p_partkey % 3 = 0) SELECT chrom, pos, chrom <> 'chrM' AND (coalesce(abs(pos - lag(pos) OVER w) < 400, false) OR coalesce(abs(lead(pos) OVER w - pos) < 400, false)) AS close, chrom <> 'chrM' AND (coalesce(abs(pos - lag(pos) OVER v) < 400, false) OR coalesce(abs(lead(pos) OVER v - pos) < 400, false)) AS close_text FROM t WINDOW w AS (PARTITION BY chrom ORDER BY pos), v AS (PARTITION BY chrom ORDER BY pos::VARCHAR)",
+        "clustered_snvs": f"WITH {SITES}, t AS (SELECT * FROM s) SELECT chrom, pos, chrom <> 'chrM' AND (coalesce(abs(pos - lag(pos) OVER w) < 400, false) OR coalesce(abs(lead(pos) OVER w - pos) < 400, false)) AS close, chrom <> 'chrM' AND (coalesce(abs(pos - lag(pos) OVER v) < 400, false) OR coalesce(abs(lead(pos) OVER v - pos) < 400, false)) AS close_text FROM t WINDOW w AS (PARTITION BY chrom ORDER BY pos), v AS (PARTITION BY chrom ORDER BY pos::VARCHAR)",
         "final_unfiltered": f"WITH {FINAL} SELECT key, array_to_string(tags, ',') AS final FROM final",
         "final_pass": f"WITH {FINAL} SELECT chrom, pos, ref, alt, key, ca_vaf AS vaf, ca_mcf AS mcf FROM final WHERE len(tags) = 0",
         "hccv_depth": f"WITH {MAJOR} SELECT chrom, pos, CASE WHEN cac_dp IS NULL OR noc_dp IS NULL THEN 'NoCov' WHEN cac_dp < 12 OR noc_dp < 12 THEN 'LowDepth' ELSE 'PASS' END AS tag FROM major",
@@ -177,7 +177,9 @@ def oracle_sql() -> dict[str, str]:
         "fusion_filter": f"WITH {FUS} SELECT fusion, umi_cancer, umi_noncancer, bc_cancer, bc_noncancer, mcf_cancer, mcf_noncancer, decision FROM fd",
         "genotype_grid": f"WITH {GT} SELECT key, cb, dp, n_alt, vaf FROM gt",
         "genotype_status": f"WITH {GT} SELECT key, cb, p, status, mutated FROM gt",
-        "matrix_pivot": f"WITH {GT} SELECT key, " + ", ".join(f"max(mutated) FILTER (cb = 'CB{i}') AS \"CB{i}\"" for i in range(1, 9)) + " FROM gt GROUP BY key",
+        "matrix_pivot": f"WITH {GT} SELECT key, count(*) AS n_cells, count(mutated) AS n_known, coalesce(string_agg(cb || '=' || mutated, ',' ORDER BY cb || '=' || mutated) FILTER (mutated IS NOT NULL), '') AS cells FROM gt GROUP BY key",
+        "pileup_by_sample": f"WITH {RB}, c AS ({counted(keys='sample_id, chrom, pos, ref, cell_type', dp=2, cells=1)}) SELECT * FROM c",
+        "pileup_regions": f"WITH {GENES}, {RB}, r AS (SELECT * FROM rb WHERE EXISTS (SELECT 1 FROM genes WHERE genes.chrom = rb.chrom AND rb.pos >= genes.\"start\" AND rb.pos < genes.\"start\" + 200) AND rb.pos % 1000 >= 100), c AS ({counted('r')}) SELECT chrom, pos, ref, cell_type, dp, {counts(('bc',))} FROM c",
         "snv_fusion_union": f"WITH {LONG} SELECT key, count(*) AS n, sum(dp)::BIGINT AS dp, count(mutated) AS n_known, any_value(is_fusion) AS is_fusion FROM long GROUP BY key",
         "matrix_filter": f"WITH {LONG}, k AS (SELECT key FROM long WHERE NOT is_fusion GROUP BY key HAVING count(*) FILTER (mutated > 0) > 4), l2 AS (SELECT * FROM long WHERE NOT is_fusion AND key IN (SELECT key FROM k)), cc AS (SELECT cb FROM l2 GROUP BY cb HAVING count(mutated) > 2) SELECT key, cb, mutated FROM (SELECT * FROM l2 UNION ALL SELECT * FROM long WHERE is_fusion) WHERE cb IN (SELECT cb FROM cc)",
         "natural_sort": f"WITH {LONG}, k AS (SELECT DISTINCT key FROM long) SELECT key, row_number() OVER (ORDER BY contains(key, '--'), regexp_extract(key, '^chr([^:]+):', 1) = 'M', try_cast(regexp_extract(key, '^chr([0-9]+):', 1) AS INT) ASC NULLS LAST, regexp_extract(key, '^chr([^:]+):', 1), try_cast(regexp_extract(key, ':([0-9]+):', 1) AS BIGINT) ASC NULLS FIRST, key) AS place FROM k",
@@ -186,7 +188,7 @@ def oracle_sql() -> dict[str, str]:
         "betabin_training": f"WITH {CNT}, t AS (SELECT chrom, pos, cell_type, dp, nc, alt_bc - bc_i - bc_d AS alt_reads, alt_cc - cc_i - cc_d AS alt_cells FROM cnt) SELECT * FROM t WHERE alt_cells::DOUBLE / nc < 0.10 AND alt_reads::DOUBLE / dp < 0.15",
         "betabin_histogram": f"WITH {CNT}, t AS (SELECT dp, nc, alt_bc - bc_i - bc_d AS alt_reads, alt_cc - cc_i - cc_d AS alt_cells FROM cnt) SELECT alt_reads, dp, count(*) AS n FROM t WHERE alt_cells::DOUBLE / nc < 0.10 AND alt_reads::DOUBLE / dp < 0.15 GROUP BY ALL",
         "fisher_strand": f"WITH {CNT}, t AS (SELECT DISTINCT bcf_a AS a, bcr_a AS b, bcf_c AS c, bcr_c AS d FROM cnt), u AS (SELECT *, {prob('a')} AS p0, list_transform(range(greatest(0, a - d), least(a + b, a + c) + 1), lambda x: {prob('x')}) AS ps FROM t) SELECT a AS bcf_A, b AS bcr_A, c AS bcf_C, d AS bcr_C, round(least(1.0, list_sum(list_filter(ps, lambda y: y <= p0 * (1 + 1e-7)))), 4) AS p FROM u",
-        "range_neighbours": f"WITH {SITES} SELECT a.chrom, a.pos, b.pos AS r_pos FROM s a JOIN s b ON a.chrom = b.chrom AND abs(a.pos - b.pos) BETWEEN 1 AND 600 WHERE a.p_partkey % 3 = 0 AND b.p_partkey % 2 = 0",
+        "range_neighbours": f"WITH {SITES} SELECT a.chrom, a.pos, b.pos AS r_pos FROM s a JOIN s b ON a.chrom = b.chrom AND abs(a.pos - b.pos) BETWEEN 1 AND 600",
         "interval_merge": f"WITH {GENES} {ISLANDS.format(gap=1, of='genes')}",
         "interval_overlaps": f"WITH {REGIONS} SELECT a.chrom, a.\"start\", a.\"end\", b.\"start\" AS r_start, b.\"end\" AS r_end FROM genes a JOIN regions b ON a.chrom = b.chrom AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\"",
         "interval_overlap_count": f"WITH {REGIONS} SELECT a.chrom, a.\"start\", a.\"end\", count(b.\"start\") AS n FROM genes a LEFT JOIN regions b ON a.chrom = b.chrom AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\" GROUP BY ALL",

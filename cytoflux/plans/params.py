@@ -12,7 +12,6 @@ class Counting:
     min_bq: int = 20
     min_mq: int = 60
     min_ac: int = 0
-    bin: int = 50_000
     max_depth: int | None = None
 
 
@@ -91,11 +90,6 @@ class Clustering:
     steps: int = 1000
     chains: int = 4
     burn_in: float = 0.33
-    split_merge: float = 0.33
-    split_merge_steps: int = 3
-    split_ratio: float = 0.75
-    update_alpha: float = 0.0
-    update_errors: float = 0.0
     fn: float = 0.1
     fp: float = 0.01
     prior: tuple[float, float] = (1.0, 1.0)

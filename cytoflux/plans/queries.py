@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,29 +21,12 @@ HCCV = Hccv(min_dp=8, clust_dist=400)
 FUSION = Fusion(max_mcf_noncancer=0.7, delta_mcf=0.1)
 REANNOTATION = Reannotation(min_variants=2, min_fraction=0.3)
 MATRIX = Matrix(min_cells_per_mut=4, min_pos_cov=2)
-CELLS = [f"CB{i}" for i in range(1, 9)]
 REGISTRY: dict[str, Query] = {}
-#: The queries whose SQL fixes a few ids, over every part and supplier; named as those, with _all behind.
-WHOLE: dict[str, Query] = {}
-#: The sites of the queries with SQL, and all.
-FEW, ALL = "p_partkey % 50 = 5 OR p_partkey % 100 = 0", "true"
-
-
 def query(f: Query) -> Query:
     REGISTRY[f.__name__] = f
     return f
 
 
-def whole(**conditions: str) -> Callable[[Query], Query]:
-    """Registers the query once more, with these conditions on ids in place of its own."""
-
-    def register(f: Query) -> Query:
-        WHOLE[f"{f.__name__}_all"] = partial(f, **conditions)
-        return f
-
-    return register
-
-
 def counts(spark, sf):
     return pileup.count_bases(adapter.read_bases(spark, sf), COUNTING)
 
@@ -116,6 +98,20 @@ def pileup_counts(spark, sf):
     return pileup.flat(counts(spark, sf), ("bc", "bq", "bcf", "bcr")).drop("nc")
 
 
+@query
+def pileup_by_sample(spark, sf):
+    by_sample = pileup.count_bases(adapter.read_bases(spark, sf), Counting(min_bq=5, min_dp=2, min_cc=1), keys=("sample_id",))
+    return pileup.flat(by_sample, ("cc", "bc", "bq", "bcf", "bcr"))
+
+
+@query
+def pileup_regions(spark, sf):
+    """Counts inside the genes' intervals and outside the first 100 bases of each chromosome's thousand."""
+    tenth = adapter.sites_where(spark, sf, "true").select("chrom", (F.floor(F.col("pos") / 1000) * 1000).alias("start")).distinct()
+    counted = pileup.count_bases(adapter.read_bases(spark, sf), COUNTING, regions=genes(spark, sf).withColumn("end", F.col("start") + 200), excluded=tenth.withColumn("end", F.col("start") + 100))
+    return pileup.flat(counted, ("bc",)).drop("nc")
+
+
 @query
 def distinct_cells_per_base(spark, sf):
     return pileup.flat(counts(spark, sf).drop("bc", "bq", "bcf", "bcr"), ("cc",)).drop("dp")
@@ -230,10 +226,9 @@ def betabin_consistency(spark, sf):
 
 
 @query
-@whole(sites=ALL)
-def clustered_snvs(spark, sf, sites="p_partkey % 3 = 0"):
-    s = adapter.sites_where(spark, sf, sites).withColumn("alt", F.lit("A"))
-    return s.select("chrom", "pos", calling.close_pairs(s, 400).alias("close"), calling.close_pairs(s, 400, strict_compat=True).alias("close_text"))
+def clustered_snvs(spark, sf):
+    s = adapter.sites_where(spark, sf, "true").withColumn("alt", F.lit("A"))
+    return s.select("chrom", "pos", calling.close_pairs(400).alias("close"), calling.close_pairs(400, strict_compat=True).alias("close_text"))
 
 
 @query
@@ -278,14 +273,14 @@ def fusion_filter(spark, sf):
     return allf.select("fusion", "umi_cancer", "umi_noncancer", "bc_cancer", "bc_noncancer", F.round("mcf_cancer", 6).alias("mcf_cancer"), F.round("mcf_noncancer", 6).alias("mcf_noncancer"), "decision")
 
 
-def variants(spark, sf, sites=FEW):
-    return adapter.sites_where(spark, sf, sites).join(
+def variants(spark, sf):
+    return adapter.sites_where(spark, sf, "true").join(
         adapter.table(spark, sf, "part").select(adapter.chrom("p_partkey").alias("chrom"), adapter.pos("p_partkey").alias("pos"), adapter.letter("ACTG", F.col("p_partkey") % 4).alias("ref"), adapter.letter("CTGA", F.col("p_partkey") % 4).alias("alt")), ["chrom", "pos"]
     )
 
 
-def genotypes(spark, sf, sites=FEW):
-    return genotype.genotype_cells(variants(spark, sf, sites), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2))
+def genotypes(spark, sf):
+    return genotype.genotype_cells(variants(spark, sf), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2))
 
 
 def fusion_cells(spark, sf):
@@ -294,62 +289,46 @@ def fusion_cells(spark, sf):
 
 
 @query
-@whole(sites=ALL)
-def genotype_grid(spark, sf, sites=FEW):
-    return genotypes(spark, sf, sites).select("key", "cb", F.col("dp").cast("long").alias("dp"), F.col("n_alt").cast("long").alias("n_alt"), "vaf")
+def genotype_grid(spark, sf):
+    return genotypes(spark, sf).select("key", "cb", F.col("dp").cast("long").alias("dp"), F.col("n_alt").cast("long").alias("n_alt"), "vaf")
 
 
 @query
-@whole(sites=ALL)
-def genotype_status(spark, sf, sites=FEW):
-    return genotypes(spark, sf, sites).select("key", "cb", "p", "status", F.col("mutated").cast("long").alias("mutated"))
+def genotype_status(spark, sf):
+    return genotypes(spark, sf).select("key", "cb", "p", "status", F.col("mutated").cast("long").alias("mutated"))
 
 
 @query
 def matrix_pivot(spark, sf):
-    return genotype.to_matrix(genotypes(spark, sf), "mutated", CELLS).select("key", *[F.col(c).cast("long").alias(c) for c in CELLS])
-
-
-def matrix_pivot_all(spark, sf):
-    return genotype.to_rows(genotypes(spark, sf, ALL), "mutated")
-
-
-WHOLE["matrix_pivot_all"] = matrix_pivot_all
+    return genotype.to_rows(genotypes(spark, sf), "mutated")
 
 
 @query
-@whole(sites=ALL)
-def snv_fusion_union(spark, sf, sites=FEW):
-    return genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf)).groupBy("key").agg(F.count("*").alias("n"), F.sum("dp").cast("long").alias("dp"), F.count("mutated").alias("n_known"), F.first("is_fusion").alias("is_fusion"))
+def snv_fusion_union(spark, sf):
+    return genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).groupBy("key").agg(F.count("*").alias("n"), F.sum("dp").cast("long").alias("dp"), F.count("mutated").alias("n_known"), F.first("is_fusion").alias("is_fusion"))
 
 
 @query
-@whole(sites=ALL)
-def matrix_filter(spark, sf, sites=FEW):
-    long = genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf))
+def matrix_filter(spark, sf):
+    long = genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf))
     return genotype.filter_matrix(long, MATRIX).select("key", "cb", F.col("mutated").cast("long").alias("mutated"))
 
 
 @query
-@whole(sites=ALL)
-def natural_sort(spark, sf, sites=FEW):
-    long = genotype.with_fusions(genotypes(spark, sf, sites), fusion_cells(spark, sf)).select("key").distinct()
-    return long.select("key", F.row_number().over(Window.orderBy(*genotype.natural_order(F.col("key")))).cast("long").alias("place"))
+def natural_sort(spark, sf):
+    return genotype.natural_rank(genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).select("key").distinct())
 
 
 @query
-@whole(sites=ALL)
-def reannotate_cells(spark, sf, sites=FEW):
-    return hccv.reannotate(genotypes(spark, sf, sites), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
+def reannotate_cells(spark, sf):
+    return hccv.reannotate(genotypes(spark, sf), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
 
 
 @query
 def panel_of_normals(spark, sf):
-    rb = adapter.read_bases(spark, sf)
-    by = [pileup.count_bases(rb.where(F.col("sample_id") == s), Counting(min_bq=5, min_dp=2, min_cc=1)).withColumn("sample_id", F.lit(s)) for s in ("A", "N", "R")]
-    called_ = [calling.call_cell_types(c, Calling(min_cov=2, min_cells=1)).groupBy("sample_id", "chrom", "pos").agg(F.count("filter").alias("n")).where("n > 0") for c in by]
-    calls = reduce(DataFrame.unionByName, called_).withColumn("filters", F.array(F.lit("x")))
-    return cohort.panel_of_normals(calls, 2, strip_chr=True)
+    by_sample = pileup.count_bases(adapter.read_bases(spark, sf), Counting(min_bq=5, min_dp=2, min_cc=1), keys=("sample_id",))
+    called_ = calling.call_cell_types(by_sample, Calling(min_cov=2, min_cells=1)).groupBy("sample_id", "chrom", "pos").agg(F.count("filter").alias("n")).where("n > 0")
+    return cohort.panel_of_normals(called_.withColumn("filters", F.array(F.lit("x"))), 2, strip_chr=True)
 
 
 @query
@@ -381,50 +360,41 @@ def fisher_strand(spark, sf):
 
 
 @query
-@whole(sites=ALL, others=ALL)
-def range_neighbours(spark, sf, sites="p_partkey % 3 = 0", others="p_partkey % 2 = 0"):
-    return intervals.neighbours(adapter.sites_where(spark, sf, sites), adapter.sites_where(spark, sf, others), 600)
-
-
-FIFTH, SEVENTH = "p_partkey % 5 = 0", "p_partkey % 7 = 0"
+def range_neighbours(spark, sf):
+    return intervals.neighbours(adapter.sites_where(spark, sf, "true"), adapter.sites_where(spark, sf, "true"), 600)
 
 
-def genes(spark, sf, parts=FIFTH):
-    return adapter.intervals(spark, sf, parts, "p_size * 37")
+def genes(spark, sf):
+    return adapter.intervals(spark, sf, "p_size * 37")
 
 
-def regions(spark, sf, parts=SEVENTH):
-    return adapter.intervals(spark, sf, parts, "p_size * 11")
+def regions(spark, sf):
+    return adapter.intervals(spark, sf, "p_size * 11")
 
 
 @query
-@whole(parts=ALL)
-def interval_merge(spark, sf, parts=FIFTH):
-    return intervals.merge(genes(spark, sf, parts), 1)
+def interval_merge(spark, sf):
+    return intervals.merge(genes(spark, sf), 1)
 
 
 @query
-@whole(parts=ALL, others=ALL)
-def interval_overlaps(spark, sf, parts=FIFTH, others=SEVENTH):
-    return intervals.overlaps(genes(spark, sf, parts), regions(spark, sf, others), 1000)
+def interval_overlaps(spark, sf):
+    return intervals.overlaps(genes(spark, sf), regions(spark, sf), 1000)
 
 
 @query
-@whole(parts=ALL, others=ALL)
-def interval_overlap_count(spark, sf, parts=FIFTH, others=SEVENTH):
-    return intervals.overlap_counts(genes(spark, sf, parts), regions(spark, sf, others), 1000)
+def interval_overlap_count(spark, sf):
+    return intervals.overlap_counts(genes(spark, sf), regions(spark, sf), 1000)
 
 
 @query
-@whole(parts=ALL, others=ALL)
-def interval_subtract(spark, sf, parts=FIFTH, others=SEVENTH):
-    return intervals.subtract(genes(spark, sf, parts), regions(spark, sf, others), 1000)
+def interval_subtract(spark, sf):
+    return intervals.subtract(genes(spark, sf), regions(spark, sf), 1000)
 
 
 @query
-@whole(parts=ALL)
-def tile_windows(spark, sf, parts=FIFTH):
-    return intervals.tile(genes(spark, sf, parts), 500)
+def tile_windows(spark, sf):
+    return intervals.tile(genes(spark, sf), 500)
 
 
 @query
@@ -477,7 +447,7 @@ def coclustering_similarity(spark, sf):
 @query
 def mpear_score(spark, sf):
     s = samples(spark, sf)
-    return metrics.mpear(metrics.coclustering(s), s.where("sample = 0").select("cell", "cluster"))
+    return metrics.mpear(s, s.where("sample = 0").select("cell", "cluster"))
 
 
 def trace(spark, sf):

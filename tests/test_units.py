@@ -60,7 +60,7 @@ def test_fit_recovers_parameters():
         n = rng.choice((10, 20, 40))
         x = sum(rng.random() < p for _ in range(n))
         counts_[x, n] = counts_.get((x, n), 0) + 1
-    a, b = betabinom.fit([(x, n, m) for (x, n), m in counts_.items()])
+    a, b = betabinom.fit([(x, m) for (x, _), m in counts_.items()], [(n - x, m) for (x, n), m in counts_.items()], [(n, m) for (_, n), m in counts_.items()])
     assert abs(a - 2) < 0.3 and abs(b - 20) < 3
 
 
@@ -238,7 +238,7 @@ def test_panel_counts_samples(spark):
 @pytest.mark.parametrize("strict", [False, True])
 def test_order_of_close_pairs(spark, strict):
     df = spark.createDataFrame([("chr1", p, "A") for p in (999, 1001, 5000, 99)] + [("chrM", 1, "A"), ("chrM", 2, "A")], "chrom string, pos long, alt string")
-    got = {(r.chrom, r.pos): r.close for r in df.withColumn("close", calling.close_pairs(df, 10, strict)).collect()}
+    got = {(r.chrom, r.pos): r.close for r in df.withColumn("close", calling.close_pairs(10, strict)).collect()}
     # As text 1001, 5000, 99, 999: 999 and 1001 are no neighbours.
     assert got["chr1", 999] is (not strict) and not got["chrM", 1]
 
@@ -261,3 +261,35 @@ def test_chains_and_outputs(spark):
     g = spark.createDataFrame([("chr1", 1, "A", "C", "b", "t", 0, 0, None, None, "NoCoverage", None, "k")], "chrom string, pos long, ref string, alt string, cb string, cell_type string, dp long, n_alt long, vaf double, p double, status string, mutated int, key string")
     assert (outputs.genotype_rows(g).first().VAF, outputs.genotype_rows(g).first().BinMutationStatus) == (".", 3)
     assert outputs.panel_rows(spark.createDataFrame([("1", 2, 3, "a,b")], "chrom string, pos long, n_samples long, samples string")).columns[0] == "#CHROM"
+
+
+def test_tail_of_deep_sites(spark):
+    """Both sides, where the sum over one of them would be long; the logarithm of the gamma function."""
+    rows = [(k, n) for n in (1, 7, 1000, 200_000) for k in {1, 2, n // 2, n - 1, n} if 0 < k <= n]
+    df = spark.createDataFrame([r for r in rows if min(r[0], r[1] - r[0]) < 2000], "k long, n long").withColumn("p", betabinom.tail(F.col("k"), F.col("n"), 0.2, 105.0))
+    for r in df.collect():
+        lg = math.lgamma
+        terms = lambda xs: sum(math.exp(lg(r.n + 1) - lg(i + 1) - lg(r.n - i + 1) + lg(i + 0.2) + lg(r.n - i + 105.0) - lg(r.n + 105.2) - lg(0.2) - lg(105.0) + lg(105.2)) for i in xs)
+        want = 1 - terms(range(r.k)) if r.k < r.n / 2 else terms(range(r.k, r.n + 1))
+        assert abs(r.p - want) < 1.1e-4, r
+    deep = spark.createDataFrame([(100_000, 99_000, 50_000, 51_000)], "a long, b long, c long, d long")
+    assert deep.select(betabinom.fisher(*map(F.col, "abcd")).alias("p")).first().p == 0.0001  # z = 3.86
+    x = spark.createDataFrame([(v,) for v in (0.05, 0.5, 1.0, 3.5, 40.0, 1e6)], "x double").withColumn("l", betabinom.log_gamma(F.col("x")))
+    assert all(abs(r.l - math.lgamma(r.x)) < 1e-9 * max(1, abs(r.l)) for r in x.collect())
+
+
+def test_regions_and_samples_are_counted_apart(spark):
+    rows = [(s, "chr1", p, "A", "C", 30, 60, f"c{i}", "Cancer", False, False, False, False) for s in "ab" for p in (99, 100, 150, 199, 200) for i in range(2 if s == "a" else 3)]
+    names = "sample_id string, chrom string, pos long, ref string, raw_base string, base_qual int, map_qual int, cb string, cell_type string, is_reverse boolean, is_secondary boolean, is_duplicate boolean, is_supplementary boolean"
+    df = spark.createDataFrame(rows, names)
+    regions = spark.createDataFrame([("chr1", 100, 200), ("chr1", 120, 180), ("chr2", 0, 999)], "chrom string, start long, end long")
+    excluded = spark.createDataFrame([("chr1", 150, 151)], regions.schema)
+    got = pileup.count_bases(df, Counting(min_dp=1, min_cc=1), keys=("sample_id",), regions=regions, excluded=excluded)
+    assert {(r.sample_id, r.pos): (r.dp, r.nc) for r in got.collect()} == {("a", 100): (2, 2), ("a", 199): (2, 2), ("b", 100): (3, 3), ("b", 199): (3, 3)}
+
+
+def test_natural_rank(spark):
+    keys = ["chr10:5:A", "chr2:7:A", "chr2:5000000:A", "chrX:1:A", "chrM:2:A", "g1--g2", "chr2:7:C"]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    want = ["chr2:7:A", "chr2:7:C", "chr2:5000000:A", "chr10:5:A", "chrX:1:A", "chrM:2:A", "g1--g2"]
+    assert [r.key for r in genotype.natural_rank(df).orderBy("place").collect()] == want
