@@ -1,9 +1,13 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs (lines between blank ones) are sparse vectors of hashed word uni- and bigrams. Softmax regression over the licence families
-and `unknown` is trained here, on noisy copies of the templates against other prose and against texts that only talk
-about licences; a temperature, fitted on held-out copies, calibrates the probabilities. A family is confirmed if
-enough of a template's words stand in the paragraph in order.
+Paragraphs (lines between blank ones) are cut into overlapping pieces of several lengths, each a sparse vector of
+hashed word uni- and bigrams. Softmax regression over the licence families and `unknown` gives each piece calibrated
+probabilities; every family that competes with `unknown` somewhere is then sought there, and confirmed if enough of a
+template's words stand in order. No piece is passed over: only the model's weights decide where to look.
+
+The model learns from noisy copies of the templates, from texts that only talk about licences, and, as `unknown`,
+from a bounded sample of the documents' own pieces without a template (`SAMPLE`). The temperature is fitted on other
+pieces of the documents, labelled by template comparison, and on other copies.
 """
 
 from __future__ import annotations
@@ -20,10 +24,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIMS, SEED = 1 << 12, 11
-EPOCHS, RATE, DECAY = 40, 0.5, 1e-5
-#: Least calibrated probability of a family, and least share of a template that must be found.
-CONFIDENT, CONFIRMED = 0.6, 0.7
+BITS, SEED = 12, 11
+DIMS = 1 << BITS
+EPOCHS, RATE, DECAY = 30, 0.5, 1e-5
+#: Lengths of the pieces, in words; each begins half a length after the one before.
+SIZES = (8, 16, 40)
+#: Share of a family against unknown from which it is sought, least one for its own words, and least share of a
+#: template that must be found.
+PROPOSED, CONFIDENT, CONFIRMED = 0.2, 0.6, 0.7
+#: Documents of which one piece each is learned from, or calibrated with.
+SAMPLE = 2000
 UNKNOWN = "unknown"
 #: Fixed texts: the sentences by which each family is named or granted.
 TEMPLATES = {
@@ -47,14 +57,37 @@ def words(paragraph: str) -> list[str]:
     return WORD.findall(paragraph.lower())
 
 
-@lru_cache(maxsize=1 << 16)
-def _slot(gram: str) -> int:
-    return zlib.crc32(gram.encode()) % DIMS
+def _worded() -> list[tuple[str, list[str], Counter, frozenset[str]]]:
+    """family, template, its words counted, and those that no other family's templates have."""
+    of = {family: [words(t) for t in some] for family, some in TEMPLATES.items()}
+    others = {family: {w for f, some in of.items() if f != family for t in some for w in t} for family in of}
+    return [(family, t, Counter(t), frozenset(t) - others[family]) for family, some in of.items() for t in some]
 
 
-def features(tokens: list[str]) -> list[int]:
-    """Slots of the distinct uni- and bigrams."""
-    return sorted({_slot(t) for t in tokens} | {_slot(f"{a} {b}") for a, b in zip(tokens, tokens[1:], strict=False)})
+WORDED = _worded()
+
+
+@lru_cache(maxsize=1 << 18)
+def _hash(word: str) -> int:
+    return zlib.crc32(word.encode())
+
+
+def slots(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the unigrams, and of the bigrams."""
+    h = np.fromiter(map(_hash, tokens), np.uint32, len(tokens))
+    pairs = (h[:-1] * np.uint32(0x9E3779B1)) ^ (h[1:] * np.uint32(0x85EBCA77))
+    return (h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS), pairs >> np.uint32(32 - BITS)
+
+
+def pieces(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end token of the pieces of n tokens: of every length up to the first that holds them all."""
+    spans = []
+    for size in SIZES:
+        spans += [(a, min(a + size, n)) for a in {*range(0, max(n - size, 0) + 1, size // 2), max(n - size, 0)}]
+        if size >= n:
+            break
+    spans.sort()
+    return np.array([a for a, _ in spans], int), np.array([e for _, e in spans], int)
 
 
 def _noisy(rng: random.Random, tokens: list[str], noise: list[str]) -> list[str]:
@@ -62,22 +95,17 @@ def _noisy(rng: random.Random, tokens: list[str], noise: list[str]) -> list[str]
     return [rng.choice(noise) for _ in range(rng.randrange(0, 5))] + out + [rng.choice(noise) for _ in range(rng.randrange(0, 12))]
 
 
-def _examples(rng: random.Random, per_class: int) -> tuple[list[list[int]], list[int], list[str]]:
-    families = [*sorted(TEMPLATES), UNKNOWN]
+def _examples(rng: random.Random, per_class: int) -> list[tuple[list[str], str]]:
+    """Generated pieces: noisy copies of the templates, and others that use some of their words."""
     syllables = ["an", "be", "con", "der", "en", "fa", "ti", "on", "re", "la", "que", "ou"]
     noise = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(400)] + "the of and to in is that it for as with was on by".split()
-    x, y = [], []
-    for k, family in enumerate(families):
-        for _ in range(per_class):
-            if family == UNKNOWN:
-                base = words(rng.choice(OTHERS)) if rng.random() < 0.5 else [rng.choice(noise) for _ in range(rng.randrange(1, 30))]
-                some = [w for t in TEMPLATES.values() for s in t for w in words(s)]
-                tokens = _noisy(rng, base, noise) + [rng.choice(some) for _ in range(rng.randrange(0, 3))]
-            else:
-                tokens = _noisy(rng, words(rng.choice(TEMPLATES[family])), noise)
-            x.append(features(tokens))
-            y.append(k)
-    return x, y, families
+    some = [w for _, t, _, _ in WORDED for w in t]
+    out = []
+    for _ in range(per_class):
+        out += [(_noisy(rng, words(rng.choice(t)), noise), family) for family, t in sorted(TEMPLATES.items())]
+        base = words(rng.choice(OTHERS)) if rng.random() < 0.5 else [rng.choice(noise) for _ in range(rng.randrange(1, 30))]
+        out.append((_noisy(rng, base, noise) + [rng.choice(some) for _ in range(rng.randrange(0, 3))], UNKNOWN))
+    return out
 
 
 class Model:
@@ -86,35 +114,67 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float, families: list[str]):
         self.weights, self.bias, self.temperature, self.families = weights, bias, temperature, families
 
-    def probabilities(self, slots: list[int]) -> np.ndarray:
-        z = (self.weights[slots].sum(0) / max(len(slots), 1) ** 0.5 + self.bias) / self.temperature
-        e = np.exp(z - z.max())
-        return e / e.sum()
+    def probabilities(self, tokens: list[str], first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities of the families for each piece tokens[first:end], by sums up to each token."""
+        upto = []
+        for s in slots(tokens):
+            upto.append(np.zeros((len(s) + 1, len(self.families))))
+            np.cumsum(self.weights[s], 0, out=upto[-1][1:])
+        z = upto[0][end] - upto[0][first] + upto[1][np.maximum(end - 1, first)] - upto[1][first]
+        z = (z / np.sqrt(np.maximum(2 * (end - first) - 1, 1))[:, None] + self.bias) / self.temperature
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
+
+    def whole(self, tokens: list[str]) -> np.ndarray:
+        return self.probabilities(tokens, np.array([0]), np.array([len(tokens)]))[0]
+
+
+def background(docs: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> list[list[str]]:
+    """The words of one piece each of about `sample` documents, chosen by a hash of id and text; few kB on the driver."""
+    n = docs.count()
+    hashed = docs.where(F.col("text").isNotNull()).select(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5("text"))).alias("h"), F.lower("text").alias("text"))
+    part = lambda first, n: F.conv(F.substring("h", first, n), 16, 10).cast("double") / float(1 << 4 * n)
+    of = F.filter(F.split("text", r"[^a-z0-9.]+"), lambda w: w != "")
+    chosen = hashed.where(part(1, 8) < sample / max(n, 1)).select("h", of.alias("of"))
+    at = F.floor(part(9, 8) * F.greatest(F.size("of") - max(SIZES) + 1, F.lit(1))).cast("int") + 1
+    rows = chosen.select("h", F.array_join(F.slice("of", at, max(SIZES)), " ").alias("piece")).orderBy("h").limit(2 * sample).collect()
+    return [t for t in (words(r["piece"]) for r in rows) if t]
+
+
+def match(template: list[str], own: frozenset[str], piece: list[str]) -> list[int] | None:
+    """Places of the template's words in order in the piece, if they are enough and one of them is the family's own."""
+    places = in_order(template, piece)
+    return places if len(places) >= CONFIRMED * len(template) and (not own or any(piece[i] in own for i in places)) else None
+
 
+def found_in(tokens: list[str]) -> set[str]:
+    """The families of which a template stands in the tokens, by comparison alone."""
+    return {f for f, t, c, own in WORDED if sum((Counter(w for w in tokens if w in c) & c).values()) >= CONFIRMED * len(t) and match(t, own, tokens)}
 
-@lru_cache(maxsize=2)
-def train(per_class: int = 120) -> Model:
-    """Stochastic gradient descent on generated paragraphs: the same model everywhere, whatever the corpus."""
+
+def train(pieces_of_documents: list[list[str]] | tuple = (), per_class: int = 120) -> Model:
+    """Stochastic gradient descent on generated pieces and on half of the given ones; the others calibrate."""
     rng = random.Random(SEED)
-    x, y, families = _examples(rng, per_class)
+    families = [*sorted(TEMPLATES), UNKNOWN]
+    labelled = [(t, found_in(t)) for t in pieces_of_documents]
+    labelled = [(t, min(f, default=UNKNOWN)) for t, f in labelled if len(f) < 2]
+    examples = [(*slots(t), len(t), families.index(f)) for t, f in _examples(rng, per_class) + [x for x in labelled[::2] if x[1] == UNKNOWN]]
     weights, bias = np.zeros((DIMS, len(families))), np.zeros(len(families))
-    order = list(range(len(x)))
     for epoch in range(EPOCHS):
-        rng.shuffle(order)
-        for i in order:
-            slots, scale = x[i], max(len(x[i]), 1) ** -0.5
-            z = weights[slots].sum(0) * scale + bias
+        rng.shuffle(examples)
+        for uni, bi, n, y in examples:
+            at, scale = np.concatenate([uni, bi]), max(2 * n - 1, 1) ** -0.5
+            z = weights[at].sum(0) * scale + bias
             p = np.exp(z - z.max())
             p /= p.sum()
-            p[y[i]] -= 1
+            p[y] -= 1
             rate = RATE / (1 + epoch / 10)
-            weights[slots] -= rate * (p * scale + DECAY * weights[slots])
+            weights[at] -= rate * (p * scale + DECAY * weights[at])
             bias -= rate * 0.1 * p
-    held_x, held_y, _ = _examples(rng, per_class // 4)
-    loss = {}
+    held, loss = _examples(rng, per_class // 4) + labelled[1::2], {}
     for t in (0.5, 0.75, 1.0, 1.5, 2.0, 3.0):
         m = Model(weights, bias, t, families)
-        loss[t] = -sum(np.log(m.probabilities(s)[k] + 1e-12) for s, k in zip(held_x, held_y, strict=True))
+        loss[t] = -sum(np.log(m.whole(x)[families.index(f)] + 1e-12) for x, f in held)
     return Model(weights, bias, min(loss, key=loss.get), families)
 
 
@@ -138,52 +198,67 @@ def in_order(template: list[str], tokens: list[str]) -> list[int]:
     return places[::-1]
 
 
-#: Words that a paragraph must have one of to be anything but unknown: each template has at least one.
-NAMES = frozenset("licensed license licence permission redistribution redistributed released reserved reproduced unauthorized waived dedicated unless warranty redistribute copy".split())
-
-
-WORDED = [(family, t, Counter(t)) for family, some in TEMPLATES.items() for t in map(words, some)]
+def grants(tokens: list[str], model: Model) -> tuple[list[tuple[str, float, int, int]], float]:
+    """family, probability against unknown, first and last token of every template that is confirmed; and the least
+    probability of unknown among the pieces.
 
-
-def grants(tokens: list[str], model: Model) -> list[tuple[str, float, int, int]]:
-    """family, probability against unknown, first and last token of every template that is confirmed.
-
-    At each of NAMES a template is sought in a window that its whole length fits in on either side. A match within
-    the words of another family's longer match is that family's: cc by within cc by nc.
+    A match between the ends of another family's match of more words is that family's: cc by within cc by nc.
     """
+    if not tokens:
+        return [], 1.0
+    first, end = pieces(len(tokens))
+    p = model.probabilities(tokens, first, end)
+    unknown = p[:, model.families.index(UNKNOWN)]
     met: list[tuple[str, set[int]]] = []
     upto = [0] * len(WORDED)
-    for i in (i for i, t in enumerate(tokens) if t in NAMES):
-        for k, (family, template, counted) in enumerate(WORDED):
-            if i < upto[k]:
-                continue
-            n, first = len(template), max(upto[k], i - len(template) - 4)
-            piece = tokens[first : i + n + 4]
-            if sum((Counter(w for w in piece if w in counted) & counted).values()) < CONFIRMED * n:
+    shares = p / (p + unknown[:, None])
+    licence = np.delete(shares, model.families.index(UNKNOWN), 1)
+    for i in np.flatnonzero((licence >= PROPOSED).any(1)):
+        for k, (family, template, counted, own) in enumerate(WORDED):
+            if shares[i, model.families.index(family)] < PROPOSED:
                 continue
-            places = in_order(template, piece)
-            if len(places) >= CONFIRMED * n:
-                # Again from where the match begins: the window may have cut its end off.
-                first += places[0]
-                places = in_order(template, tokens[first : first + n + 8])
-                met.append((family, {first + x for x in places}))
-                upto[k] = first + places[-1] + 1
+            n = len(template)
+            while True:
+                a, e = max(upto[k], int(first[i]) - n - 4), int(end[i]) + n + 4
+                piece = tokens[a:e]
+                if sum((Counter(w for w in piece if w in counted) & counted).values()) < CONFIRMED * n:
+                    break
+                places = _earliest(template, own, piece)
+                if places is None:
+                    break
+                met.append((family, {a + x for x in places}))
+                upto[k] = a + places[-1] + 1
     out = []
-    unknown = model.families.index(UNKNOWN)
     for family, at in met:
-        if any(at < other for f, other in met if f != family):
+        if any(within(at, other) for f, other in met if f != family):
             continue
         low, high = min(at), max(at)
-        p = model.probabilities(features(tokens[low : high + 1]))
-        share = float(p[model.families.index(family)] / (p[model.families.index(family)] + p[unknown]))
+        q = model.whole(tokens[low : high + 1])
+        share = float(q[model.families.index(family)] / (q[model.families.index(family)] + q[model.families.index(UNKNOWN)]))
         if share >= CONFIDENT:
             out.append((family, share, low, high))
-    return sorted(out, key=lambda g: (g[2], g[0]))
+    return sorted(out, key=lambda g: (g[2], g[0])), float(unknown.min())
+
+
+def within(at: set[int], other: set[int]) -> bool:
+    """Whether a match lies between the ends of another one that has more words."""
+    return min(other) <= min(at) and max(at) <= max(other) and len(at) < len(other)
+
+
+def _earliest(template: list[str], own: frozenset[str], piece: list[str]) -> list[int] | None:
+    """Places of a match that begins as early as any, within a few words more than the template's length."""
+    n = len(template)
+    inside = set(template)
+    for a in (i for i, w in enumerate(piece) if w in inside):
+        if (places := match(template, own, piece[a : a + n + 8])) is not None:
+            return [a + x for x in places]
+    return None
 
 
 def classify(paragraph: str, model: Model) -> tuple[str, float]:
-    """The likeliest of the paragraph's families and its probability; unknown if no template is confirmed."""
-    return max(((f, p) for f, p, _, _ in grants(words(paragraph), model)), key=lambda g: g[1], default=(UNKNOWN, 1.0))
+    """The likeliest of the paragraph's families and its probability; unknown, with the least probability that any piece has of it, if none is confirmed."""
+    found, unknown = grants(words(paragraph), model)
+    return max(((f, p) for f, p, _, _ in found), key=lambda g: g[1], default=(UNKNOWN, unknown))
 
 
 def paragraphs(text: str | None) -> list[list[tuple[int, str]]]:
@@ -197,37 +272,41 @@ def paragraphs(text: str | None) -> list[list[tuple[int, str]]]:
     return [p for p in out if p]
 
 
-def scan_text(text: str | None, model: Model) -> tuple[int, int, str, str]:
-    """n_paragraphs, n_licensed, families, spans."""
-    found, licensed, parts = [], 0, paragraphs(text)
+def scan_text(text: str | None, model: Model) -> tuple[int, int, str, str, float]:
+    """n_paragraphs, n_licensed, families, spans, unconfirmed."""
+    found, licensed, parts, unconfirmed = [], 0, paragraphs(text), 0.0
     for part in parts:
         tokens = [(i, w) for i, line in part for w in words(line)]
         best: dict[tuple[int, int, str], float] = {}
-        for family, p, low, high in grants([w for _, w in tokens], model):
+        confirmed, unknown = grants([w for _, w in tokens], model)
+        for family, p, low, high in confirmed:
             at = tokens[low][0], tokens[high][0], family
             best[at] = max(p, best.get(at, 0.0))
         licensed += bool(best)
+        unconfirmed = unconfirmed if best else max(unconfirmed, 1 - unknown)
         found += sorted((*at, p) for at, p in best.items())
     spans = ",".join(f"{a if a == b else f'{a}-{b}'}:{f}:{p:.3f}" for a, b, f, p in found)
-    return len(parts), licensed, ",".join(sorted({x[2] for x in found})), spans
+    return len(parts), licensed, ",".join(sorted({x[2] for x in found})), spans, unconfirmed
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+SCANNED = "n_paragraphs long, n_licensed long, families string, spans string, unconfirmed double"
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", model: Model | None = None) -> DataFrame:
     """One row per document: its id, n_paragraphs, n_licensed, families (sorted, comma-joined), spans
-    (line:family:probability, or first-last:family:probability of a grant over several lines).
+    (line:family:probability, or first-last:family:probability of a grant over several lines) and unconfirmed: the
+    greatest calibrated probability of any licence in a paragraph without a confirmed one.
 
-    A null or empty text has no paragraphs; blank lines part them. Row by row, without a shuffle; repeated rows each
-    get the same result.
+    Without a model one is trained on a sample of docs. A null or empty text has no paragraphs; blank lines part
+    them; very long texts are scanned whole. Other columns of docs play no part. Row by row, without a shuffle;
+    repeated rows each get the same result; an empty table gives no rows.
     """
+    docs = docs.select(id_col, "text")
+    model = model or train(background(docs, id_col))  # a few hundred kB, which go to the tasks
 
-    model = train()  # on the driver, once; a few hundred kB go to the tasks
-
-    @F.pandas_udf("n_paragraphs long, n_licensed long, families string, spans string")
+    @F.pandas_udf(SCANNED)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = []
-            for text in texts:
-                rows.append(scan_text(text, model))
-            yield pd.DataFrame(rows, columns=["n_paragraphs", "n_licensed", "families", "spans"])
+            yield pd.DataFrame([scan_text(text, model) for text in texts], columns=[c.split()[0] for c in SCANNED.split(", ")])
 
-    return docs.select(id_col, "text").withColumn("r", found("text")).select(id_col, "r.*")
+    return docs.withColumn("r", found("text")).select(id_col, "r.*")

@@ -167,3 +167,23 @@ def targets(sizes: dict, weights=(1, 2, 3), most=3):
         if not over:
             return fixed | share
         fixed |= {s: most * sizes[s] for s in over}
+
+
+def licence_families(text):
+    """Families with a template of which 70 % of the words stand in order at some place of a paragraph; a match within a longer one of another family doesn't count."""
+    from cytoflux.llm import licences
+
+    found = set()
+    for part in licences.paragraphs(text):
+        tokens = [w for _, line in part for w in licences.words(line)]
+        met = []
+        for family, template, counted, own in licences.WORDED:
+            n = len(template)
+            for a in range(len(tokens)):
+                piece = tokens[a : a + n + 8]
+                if piece[0] in counted and sum(w in counted for w in piece) >= 0.7 * n:
+                    places = licences.in_order(template, piece)
+                    if len(places) >= 0.7 * n and (not own or own & {piece[i] for i in places}):
+                        met.append((family, {a + x for x in places}))
+        found |= {f for f, at in met if not any(licences.within(at, other) for g, other in met if g != f)}
+    return ",".join(sorted(found))
