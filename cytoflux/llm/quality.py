@@ -15,19 +15,21 @@ from pyspark.sql import functions as F
 from cytoflux.llm.common import cut, space_words
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: One rule for each count, so that no fact votes twice.
 #: Rule: the bound beyond which its measure votes junk, and the one up to which it votes good (None: it never does);
 #: otherwise it abstains. A measure that must be small has junk > good, one that must be large junk < good.
 RULES: dict[str, tuple[float, float | None]] = {
     "letters": (0.88, 0.92),  # letters and digits per character of a word
     "symbols": (0.05, None),  # symbols per character of a word
-    "symbol_words": (0.2, None),  # symbols per word
     "exclaims": (0.05, None),  # exclamation marks per character of a word
     "capitals": (0.5, None),  # capitals per character of a word
     "dup_lines": (0.5, None),  # repeated lines per word line
     "repeats": (0.3, None),  # words in repeated windows per word
     "long_words": (15.0, None),  # characters per word
 }
-STEPS, PRIOR, ACCURACY, PSEUDO = 50, 0.85, 0.8, 20.0
+STEPS, PRIOR, ACCURACY = 50, 0.85, 0.8
+#: Made-up votes of each rule, as a share of the rows, that hold the classes' names at any size of table.
+PSEUDO = 0.05
 
 
 def _windows(words: Column) -> Column:
@@ -79,7 +81,6 @@ def votes(rules: dict[str, tuple[float, float | None]] = RULES) -> dict[str, Col
     measures = {
         "symbols": per_char("n_symbols"), "exclaims": per_char("n_exclaims"), "capitals": per_char("n_capitals"), "letters": per_char("n_letters"),
         "dup_lines": F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0)), "repeats": F.col("n_repeat_words") / F.nullif(F.col("n_words"), F.lit(0)),
-        "symbol_words": F.col("n_symbols") / F.nullif(F.col("n_words"), F.lit(0)),
         "long_words": F.col("word_chars") / F.nullif(F.col("n_words"), F.lit(0)),
     }
     out = {}
@@ -96,15 +97,16 @@ def votes(rules: dict[str, tuple[float, float | None]] = RULES) -> dict[str, Col
 def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[float]]:
     """EM for two classes: the share of good, and of each rule how often its votes are right. Abstaining says nothing.
 
-    Every accuracy starts, and is held by `PSEUDO` made-up votes, at `ACCURACY`, so that the classes keep their names.
+    Every accuracy starts, and is held by `PSEUDO` made-up votes a row, at `ACCURACY`, and the share of good at `PRIOR`,
+    so that the classes keep their names.
     """
-    prior, accuracies = PRIOR, [ACCURACY] * n_rules
+    prior, accuracies, made_up = PRIOR, [ACCURACY] * n_rules, PSEUDO * max(sum(n for _, n in patterns), 1)
     for _ in range(STEPS):
         weights = [(p, n, posterior(p, prior, accuracies)) for p, n in patterns]
-        prior = (sum(n * q for _, n, q in weights) + PSEUDO * PRIOR) / (sum(n for _, n, _ in weights) + PSEUDO)
+        prior = (sum(n * q for _, n, q in weights) + made_up * PRIOR) / (sum(n for _, n, _ in weights) + made_up)
         right = [sum(n * (q if p[k] > 0 else 1 - q) for p, n, q in weights if p[k]) for k in range(n_rules)]
         cast = [sum(n for p, n, _ in weights if p[k]) for k in range(n_rules)]
-        accuracies = [(r + PSEUDO * ACCURACY) / (c + PSEUDO) for r, c in zip(right, cast, strict=True)]
+        accuracies = [(r + made_up * ACCURACY) / (c + made_up) for r, c in zip(right, cast, strict=True)]
     return prior, accuracies
 
 
@@ -138,7 +140,8 @@ def score_quality(measured: DataFrame, threshold: float = 0.5, rules: dict[str,
 def judge_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row per document: doc_id, its counts, votes, quality, base_failed and kept.
 
-    A null or empty text has no words and fails the base. Repeated rows get the same verdict, each its own row.
+    A null or empty text has no words and fails the base. Repeated rows get the same verdict, each its own row; very
+    long texts are measured whole; other columns of docs play no part; an empty table gives no rows.
     """
     return score_quality(cut(measure(docs)), threshold)
 

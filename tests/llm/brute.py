@@ -187,3 +187,23 @@ def licence_families(text):
                         met.append((family, {a + x for x in places}))
         found |= {f for f, at in met if not any(licences.within(at, other) for g, other in met if g != f)}
     return ",".join(sorted(found))
+
+
+def expectation_maximisation(votes, steps, prior, accuracy, pseudo):
+    """Posterior of good of each row of votes (1, -1, 0), by EM with made-up votes."""
+    n_rules, start, extra = len(votes[0]), prior, pseudo * len(votes)
+    right = [accuracy] * n_rules
+
+    def good(row):
+        p, q = prior, 1 - prior
+        for v, a in zip(row, right):
+            if v:
+                p, q = p * (a if v > 0 else 1 - a), q * (1 - a if v > 0 else a)
+        return p / (p + q)
+
+    for _ in range(steps):
+        of = [good(row) for row in votes]
+        prior = (sum(of) + extra * start) / (len(votes) + extra)
+        cast = [[(q if row[k] > 0 else 1 - q) for row, q in zip(votes, of) if row[k]] for k in range(n_rules)]
+        right = [min(max((sum(c) + extra * accuracy) / (len(c) + extra), 1e-6), 1 - 1e-6) for c in cast]
+    return [good(row) for row in votes]
