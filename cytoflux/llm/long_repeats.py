@@ -31,7 +31,7 @@ LENGTH, GRAM = 200, 32
 #: Representatives that a block may have to be compared in one task; those of larger blocks are shuffled suffix by suffix.
 BLOCK = 20_000
 #: Bytes of stretches that are ordered at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 WORD = 8
 KIND = ["anchor", "stretch", "check"]
 
