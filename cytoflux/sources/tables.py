@@ -25,12 +25,21 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | None =
     if not names:
         raise ValueError(f"{path} has no header")
     body = reader.schema(", ".join(f"`{n}` string" for n in names)).option("comment", "#").csv(path)
-    return body.where(F.col(f"`{names[0]}`") != names[0])
+    return body.where(~F.col(f"`{names[0]}`").eqNullSafe(F.lit(names[0])))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found)
+    return files is not None and len(files) > 0
 
 
 def read_files(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """Several tables with the path each row came from; missing files are skipped."""
-    return spark.read.option("sep", "\t").option("comment", "#").option("ignoreMissingFiles", "true").schema(schema).csv(paths).withColumn("path", F.input_file_name())
+    """Several tables with the path each row came from; missing files are skipped, and if all are the result is empty."""
+    there = [p for p in paths if _exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], f"{schema}, path string")
+    return spark.read.option("sep", "\t").option("comment", "#").schema(schema).csv(there).withColumn("path", F.input_file_name())
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:

@@ -293,3 +293,13 @@ def test_natural_rank(spark):
     df = spark.createDataFrame([(k,) for k in keys], "key string")
     want = ["chr2:7:A", "chr2:7:C", "chr2:5000000:A", "chr10:5:A", "chrX:1:A", "chrM:2:A", "g1--g2"]
     assert [r.key for r in genotype.natural_rank(df).orderBy("place").collect()] == want
+
+
+def test_missing_files_are_skipped(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("chr1\t5\n#x\nchr2\t6\n")
+    got = tables.read_files(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "gone.tsv")], "chrom string, pos long")
+    assert sorted((r.chrom, r.pos, r.path.endswith("a.tsv")) for r in got.collect()) == [("chr1", 5, True), ("chr2", 6, True)]
+    none = tables.read_files(spark, [str(tmp_path / "gone.tsv")], "chrom string, pos long")
+    assert none.columns == ["chrom", "pos", "path"] and none.count() == 0
+    (tmp_path / "b.tsv").write_text("## c\n#name\tn\n\t1\nx\t2\n")
+    assert {tuple(r) for r in tables.read_table(spark, str(tmp_path / "b.tsv")).collect()} == {(None, "1"), ("x", "2")}
