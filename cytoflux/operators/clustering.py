@@ -105,6 +105,32 @@ def cluster_genotypes(data: DataFrame, assigned: DataFrame) -> DataFrame:
     return known.groupBy("cluster", "mut").agg(F.avg(F.col("value").cast("double")).alias("theta")).withColumn("called", (F.col("theta") >= 0.5).cast("int"))
 
 
+def trace_profiles(data: DataFrame, trace: DataFrame, prior: tuple[float, float] = Clustering.prior) -> DataFrame:
+    """sample, cluster, mut, theta: every kept clustering's mean profiles. data: cell, mut, value; trace: sample, cell, cluster."""
+    a, b = prior
+    known = data.where(F.col("value").isNotNull()).join(trace.select("sample", "cell", "cluster"), "cell")
+    return known.groupBy("sample", "cluster", "mut").agg(((F.count_if(F.col("value") == 1) + a) / (F.count("*") + a + b)).alias("theta"))
+
+
+def averaged_genotypes(trace: DataFrame, thetas: DataFrame, assigned: DataFrame) -> DataFrame:
+    """cluster, mut, theta, called: the profiles of a consensus (cell, cluster), averaged over the samples of a trace.
+
+    A cluster is averaged over the samples that have exactly its cells in one cluster; if there are none, over those
+    that have all its cells in one, whoever else is there; else over all samples, weighted by where its cells are. Only
+    sizes of clusters and of their meets are needed. Every sample has all cells. thetas: sample, cluster, mut, theta.
+    """
+    own = assigned.select("cell", F.col("cluster").alias("k"))
+    sizes = own.groupBy("k").agg(F.count("*").alias("n_k"))
+    theirs = trace.groupBy("sample", "cluster").agg(F.count("*").alias("n_c"))
+    met = trace.join(own, "cell").groupBy("k", "sample", "cluster").agg(F.count("*").alias("n")).join(sizes, "k").join(theirs, ["sample", "cluster"])
+    rank = F.when((F.col("n") == F.col("n_k")) & (F.col("n") == F.col("n_c")), 0).when(F.col("n") == F.col("n_k"), 1).otherwise(2)
+    met = met.withColumn("rank", rank)
+    best = met.groupBy("k").agg(F.min("rank").alias("best"))
+    used = met.join(best, "k").where(F.col("rank").eqNullSafe(F.col("best"))).select("k", "sample", "cluster", "n")
+    out = used.join(thetas, ["sample", "cluster"]).groupBy(F.col("k").alias("cluster"), "mut").agg((F.sum(F.col("theta") * F.col("n")) / F.sum("n")).alias("theta"))
+    return out.withColumn("called", (F.round("theta", 9) >= 0.5).cast("int"))  # whatever the order of the sum
+
+
 def newest(trace: DataFrame) -> DataFrame:
     """The last step of each chain."""
     return trace.withColumn("last", F.max("step").over(Window.partitionBy("chain"))).where("step = last").drop("last")

@@ -45,8 +45,16 @@ def v_measure(assigned: DataFrame, pred: str = "pred", true: str = "true") -> Da
     return h.select(F.round("h", 6).alias("homogeneity"), F.round("c", 6).alias("completeness"), F.round(v, 6).alias("v_measure"))
 
 
-def hamming(pred: DataFrame, true: DataFrame) -> DataFrame:
-    """One row: n_cells compared, n_differ, distance. Both: cell, mut, value (null: unknown, not compared)."""
+def hamming(pred: DataFrame, true: DataFrame, either_way: bool = False) -> DataFrame:
+    """One row: n_compared, n_differ, distance. Both: cell, mut, value (null: unknown, not compared).
+
+    either_way: for square matrices whose cells and mutations share their names; true is also compared with cells and
+    mutations swapped, and the lesser distance counts.
+    """
+    if either_way:
+        swapped = true.select(F.col("mut").alias("cell"), F.col("cell").alias("mut"), "value")
+        both = hamming(pred, true).unionByName(hamming(pred, swapped))
+        return both.agg(F.min_by(F.struct(*both.columns), F.coalesce("distance", F.lit(2.0))).alias("least")).select("least.*")
     joined = pred.select("cell", "mut", F.col("value").alias("p")).join(true.select("cell", "mut", F.col("value").alias("t")), ["cell", "mut"]).where("p IS NOT NULL AND t IS NOT NULL")
     return joined.agg(F.count("*").alias("n_compared"), F.count_if(F.col("p") != F.col("t")).alias("n_differ")).withColumn("distance", F.round(F.col("n_differ") / F.nullif(F.col("n_compared"), F.lit(0)), 6))
 

@@ -201,6 +201,7 @@ def oracle_sql() -> dict[str, str]:
         "fn_fp_empirical": f"WITH {MX} SELECT round((count(*) FILTER (g = 1 AND x = 0) + 1e-9) / (count(*) FILTER (g = 1) + 1e-9), 6) AS fn, round((count(*) FILTER (g = 0 AND x = 1) + 1e-9) / (count(*) FILTER (g = 0) + 1e-9), 6) AS fp FROM both_",
         "coclustering_similarity": f"WITH {SMP} SELECT * FROM sim",
         "mpear_score": f"WITH {SMP}, p AS (SELECT (a.cluster = b.cluster)::INT::DOUBLE AS i, coalesce(similarity, 0) AS s FROM smp a JOIN smp b ON a.sample = 0 AND b.sample = 0 AND a.cell < b.cell LEFT JOIN sim ON a.cell = cell_a AND b.cell = cell_b), x AS (SELECT sum(s * i) AS si, sum(s) AS s, sum(i) AS i, count(*) AS n FROM p) SELECT round((si - s * i / n) / ((s + i) / 2 - s * i / n), 6) AS mpear FROM x",
+        "posterior_genotypes": f"WITH {MX}, {SMP}, th AS (SELECT sample, cluster, mut, (sum(v) + 1)::DOUBLE / (count(*) + 2) AS theta FROM mx JOIN smp USING (cell) WHERE v IS NOT NULL GROUP BY ALL), own AS (SELECT cell, CASE WHEN cluster <> 0 AND cell % 7 = 0 THEN 5 ELSE cluster END AS k FROM smp WHERE sample = 1), nk AS (SELECT k, count(*) AS n_k FROM own GROUP BY k), nc AS (SELECT sample, cluster, count(*) AS n_c FROM smp GROUP BY ALL), met AS (SELECT k, sample, cluster, count(*) AS n FROM smp JOIN own USING (cell) GROUP BY ALL), r AS (SELECT *, CASE WHEN n = n_k AND n = n_c THEN 0 WHEN n = n_k THEN 1 ELSE 2 END AS rank FROM met JOIN nk USING (k) JOIN nc USING (sample, cluster)), b AS (SELECT *, min(rank) OVER (PARTITION BY k) AS best FROM r), o AS (SELECT k AS cluster, mut, sum(theta * n) / sum(n) AS theta FROM b JOIN th USING (sample, cluster) WHERE rank = best GROUP BY k, mut) SELECT cluster, mut, round(theta, 6) AS theta, (round(theta, 9) >= 0.5)::INT AS called FROM o",
         "lugsail_psrf": f"WITH {TR}, t AS (SELECT *, count(*) OVER (PARTITION BY chain) AS n, avg(ll) OVER (PARTITION BY chain) AS mean FROM tr), {batch('floor(sqrt(n))::BIGINT', 'big')}, {batch('greatest(floor(floor(sqrt(n)) / 3), 1)::BIGINT', 'small')}, per AS (SELECT chain, count(*) AS n, var_samp(ll) AS s2 FROM tr GROUP BY chain), x AS (SELECT count(*) AS n_chains, min(n) AS n, avg(s2) AS s2, avg(2 * big - small) AS tau FROM per JOIN big USING (chain) JOIN small USING (chain)) SELECT n_chains, n, round(sqrt(((n - 1)::DOUBLE / n * s2 + tau / n) / s2), 6) AS psrf FROM x",
         "ml_map_estimate": f"WITH {TR} SELECT (SELECT chain FROM tr ORDER BY ll DESC, chain, step LIMIT 1) AS ml_chain, (SELECT step FROM tr ORDER BY ll DESC, chain, step LIMIT 1) AS ml_step, (SELECT chain FROM tr ORDER BY lpost DESC, chain, step LIMIT 1) AS map_chain, (SELECT step FROM tr ORDER BY lpost DESC, chain, step LIMIT 1) AS map_step",
         "latent_summary": f"WITH {TR} SELECT round(avg(ll), 6) AS ll_mean, round(stddev_pop(ll), 6) AS ll_sd, round(avg(lpost), 6) AS lpost_mean, round(stddev_pop(lpost), 6) AS lpost_sd FROM tr",

@@ -450,6 +450,15 @@ def mpear_score(spark, sf):
     return metrics.mpear(s, s.where("sample = 0").select("cell", "cluster"))
 
 
+@query
+def posterior_genotypes(spark, sf):
+    s = samples(spark, sf)
+    split = F.when((F.col("cluster") != 0) & (F.col("cell") % 7 == 0), 5).otherwise(F.col("cluster"))
+    assigned = s.where("sample = 1").select("cell", split.alias("cluster"))
+    found = clustering.averaged_genotypes(s, clustering.trace_profiles(adapter.cell_matrix(spark, sf), s), assigned)
+    return found.select("cluster", "mut", F.round("theta", 6).alias("theta"), "called")
+
+
 def trace(spark, sf):
     t = adapter.pseudo_trace(spark, sf)
     return t.withColumn("step", (F.row_number().over(Window.partitionBy("chain").orderBy("event_id")) - 1).cast("long")).drop("event_id")

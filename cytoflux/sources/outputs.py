@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoflux.sources.tables import pack
@@ -13,11 +13,25 @@ def base_counts(counts: DataFrame) -> DataFrame:
     return pack(counts).select(F.col("chrom").alias("#CHROM"), F.col("pos").alias("POS"), F.col("ref").alias("REF"), F.lit("DP|NC|CC|BC|BQ|BCf|BCr").alias("INFO"), "info")
 
 
+def _variants(calls: DataFrame, *more: Column) -> DataFrame:
+    of = lambda name: F.concat_ws(",", F.col(f"noncancer.{name}").cast("string"), F.col(f"cancer.{name}").cast("string"))
+    return calls.select(F.col("chrom").alias("#CHROM"), F.col("pos").alias("Start"), F.col("pos").alias("End"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"), F.array_join("filters", ",").alias("FILTER"), of("bc").alias("Bc"), of("cc").alias("Cc"), of("vaf").alias("VAF"), of("mcf").alias("MCF"), *more)
+
+
 def final_calls(final: DataFrame) -> DataFrame:
     """Calls with their final status: the unfiltered table, or the calls if given the passing ones."""
-    of = lambda name: F.concat_ws(",", F.col(f"noncancer.{name}").cast("string"), F.col(f"cancer.{name}").cast("string"))
     status = F.when(F.size("final") == 0, "PASS").otherwise(F.array_join("final", ","))
-    return final.select(F.col("chrom").alias("#CHROM"), F.col("pos").alias("Start"), F.col("pos").alias("End"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"), F.array_join("filters", ",").alias("FILTER"), of("bc").alias("Bc"), of("cc").alias("Cc"), of("vaf").alias("VAF"), of("mcf").alias("MCF"), status.alias("STEP3FILTER"), F.col("key").alias("INDEX"))
+    return _variants(final, status.alias("STEP3FILTER"), F.col("key").alias("INDEX"))
+
+
+def hccv_calls(candidates: DataFrame) -> DataFrame:
+    """High-confidence cancer variants with their status; all candidates or, given `select_hccv`'s rows, the chosen ones."""
+    return _variants(candidates, F.col("key").alias("INDEX"), F.lit("PASS").alias("DP_FILTER"), F.col("hccv").alias("HCCV_FILTER"))
+
+
+def parameters(spark: SparkSession, reads_ab: tuple[float, float], cells_ab: tuple[float, float]) -> DataFrame:
+    """One row: the fitted parameters of reads (1) and cells (2), as `tables.read_parameters` reads them."""
+    return spark.createDataFrame([(*reads_ab, *cells_ab)], "alpha1 double, beta1 double, alpha2 double, beta2 double")
 
 
 def genotype_rows(genotypes: DataFrame) -> DataFrame:

@@ -303,3 +303,74 @@ def test_missing_files_are_skipped(spark, tmp_path):
     assert none.columns == ["chrom", "pos", "path"] and none.count() == 0
     (tmp_path / "b.tsv").write_text("## c\n#name\tn\n\t1\nx\t2\n")
     assert {tuple(r) for r in tables.read_table(spark, str(tmp_path / "b.tsv")).collect()} == {(None, "1"), ("x", "2")}
+
+
+def test_call_tables_are_read_back(spark, tmp_path):
+    """The next step gives the same from the file as from the calls themselves."""
+    from cytoflux.sources import outputs
+
+    calls = site_of(
+        spark,
+        ("chr1", 1000, "A", "Cancer", 100, 60, (50, 49, 1), (40, 30, 1)), ("chr1", 1000, "A", "Non-Cancer", 50, 40, (50,), (40,)),
+        ("chr4", 1000, "A", "Cancer", 100, 60, (50, 50), (40, 30)), ("chr4", 1000, "A", "Non-Cancer", 50, 40, (40, 10), (40, 9)),
+        ("chr5", 1000, "A", "Cancer", 100, 60, (50, 50), (40, 30)), ("chrM", 7, "A", "Cancer", 200, 60, (100, 100), (40, 30)),
+        ("chr6", 1, "A", "Cancer", 50, 40, (50,), (40,)), ("chr6", 1, "A", "Non-Cancer", 50, 40, (50,), (40,)),
+    )
+    tables.write_table(tables.call_columns(calls, ["Cancer", "Non-Cancer"]), f"{tmp_path}/calls", order=["#CHROM", "Start"])
+    back = tables.read_calls(spark, f"{tmp_path}/calls")
+    same = ["chrom", "pos", "ref", "n_callable", "rest_bc", "rest_dp", "rest_cc", "rest_nc", "p_noise_bc", "p_noise_cc", "calls", "counts", "up", "down", "n_alts", "filters"]
+    by_site = lambda df: sorted(map(str, df.select(*same).collect()))
+    assert by_site(back) == by_site(calls) and len(by_site(back)) == 5
+    final = lambda df: sorted(map(str, outputs.final_calls(calling.finalize_calls(df, Final())).collect()))
+    assert final(back) == final(calls) and final(calls)
+    found = lambda df: sorted(map(str, outputs.hccv_calls(hccv.hccv_candidates(df, Hccv())).collect()))
+    assert found(back) == found(calls) and "HCCV_FILTER='" in found(calls)[0]
+    tables.write_table(tables.call_columns(calls), f"{tmp_path}/bare")
+    assert {len(r.counts) for r in tables.read_calls(spark, f"{tmp_path}/bare").collect()} == {0}
+
+
+def test_small_tables_are_read(spark, tmp_path):
+    from cytoflux.sources import outputs
+
+    tables.write_table(outputs.parameters(spark, Calling.reads_ab, Calling.cells_ab), f"{tmp_path}/p")
+    assert tables.read_parameters(spark, f"{tmp_path}/p") == dict(zip(("alpha1", "beta1", "alpha2", "beta2"), (*Calling.reads_ab, *Calling.cells_ab)))
+    (tmp_path / "samples.tsv").write_text("sample\tkind\na\tx\nb\ty\n")
+    assert [tuple(r) for r in tables.read_samples(spark, f"{tmp_path}/samples.tsv").orderBy("sample_id").collect()] == [("a", "x"), ("b", "y")]
+    (tmp_path / "f.tsv").write_text("#FusionName\tSpliceType\tLR_accessions\na--b\tONLY_REF_SPLICE\tB1^U1^r1,B1^U2^r2\nc--d\tOTHER\tB1^U1^r1\na--b\tONLY_REF_SPLICE\tB1^U1^r3\n")
+    fusions, good, long = fusion.filter_fusions(tables.read_fusions(spark, f"{tmp_path}/f.tsv"), spark.createDataFrame([("B1-1", "Cancer")], "cb string, cell_type string"), Fusion(1, 1))
+    assert {r.fusion: r.umi_cancer for r in fusions.collect()} == {"a--b1": 2, "a--b2": 1} and long.count() == 3
+
+
+@pytest.mark.parametrize("sep", ["\t", ",", " "])
+@pytest.mark.parametrize(("header", "named"), [(False, False), (True, False), (True, True)])
+def test_matrices_are_told_apart(spark, tmp_path, sep, header, named):
+    rows, cells = [["0", "2", "3"], ["1", "3", "0"]], ["ca", "cb", "cc"]
+    lines = [[*(["id"] if named else []), *cells]] if header else []
+    lines += [[*([f"m{i}"] if named else []), *r] for i, r in enumerate(rows)]
+    (tmp_path / "m.txt").write_text("".join(sep.join(x) + "\n" for x in lines))
+    got = {(r.key, r.cb): r.value for r in tables.read_any_matrix(spark, f"{tmp_path}/m.txt").collect()}
+    value = {"0": 0.0, "1": 1.0, "2": 1.0, "3": None}
+    assert got == {(f"m{i}" if named else str(i), cells[j] if header else str(j)): value[x] for i, r in enumerate(rows) for j, x in enumerate(r)}
+
+
+def test_genotypes_are_averaged(spark):
+    """Exactly the cluster's cells in one sample; all of them with others; nowhere together."""
+    samples = {0: "aabbccdd", 1: "aabbbbcd", 2: "abbbcccc"}  # eight cells
+    consensus = [0, 0, 1, 1, 1, 1, 2, 2]
+    trace = spark.createDataFrame([(s, c, ord(x)) for s, line in samples.items() for c, x in enumerate(line)], "sample int, cell int, cluster int")
+    thetas = spark.createDataFrame([(s, ord(x), 0, (s + 1) * 0.1 + 0.01 * (ord(x) - 97)) for s, line in samples.items() for x in set(line)], "sample int, cluster int, mut int, theta double")
+    of = lambda s, x: (s + 1) * 0.1 + 0.01 * (ord(x) - 97)
+    got = {r.cluster: r.theta for r in clustering.averaged_genotypes(trace, thetas, spark.createDataFrame(list(enumerate(consensus)), "cell int, cluster int")).collect()}
+    want = {0: (of(0, "a") + of(1, "a")) / 2, 1: of(1, "b"), 2: of(0, "d")}
+    assert all(abs(got[k] - v) < 1e-12 for k, v in want.items()) and set(got) == {0, 1, 2}
+    apart = spark.createDataFrame([(0, 0), (3, 0), (7, 0)], "cell int, cluster int")
+    want = sum(of(s, samples[s][c]) for s in samples for c in (0, 3, 7)) / 9
+    assert abs(clustering.averaged_genotypes(trace, thetas, apart).first().theta - want) < 1e-12
+    data = spark.createDataFrame([(c, 0, int(c < 2)) for c in range(8)] + [(0, 1, None)], "cell int, mut int, value int")
+    assert {(r.cluster, round(r.theta, 3)) for r in clustering.trace_profiles(data, trace.where("sample = 0")).collect()} == {(97, 0.75), (98, 0.25), (99, 0.25), (100, 0.25)}
+
+
+def test_hamming_either_way(spark):
+    one = spark.createDataFrame([(0, 0, 1), (0, 1, 1), (1, 0, 0), (1, 1, 0)], "cell int, mut int, value int")
+    turned = one.select(F.col("mut").alias("cell"), F.col("cell").alias("mut"), "value")
+    assert metrics.hamming(one, turned).first().n_differ == 2 and metrics.hamming(one, turned, either_way=True).first().n_differ == 0
