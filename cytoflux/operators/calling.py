@@ -7,6 +7,8 @@ depends on the order in which cell types were listed.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +19,8 @@ from cytoflux.operators.pileup import SITE
 from cytoflux.plans.params import Annotation, Calling, Final
 
 COVERAGE_STEPS = (5, 10, 20, 30)
+#: Positions whose neighbours are sought in one window.
+NEAR_BIN = 100_000
 
 
 def _sum(vector: Column) -> Column:
@@ -124,11 +128,26 @@ def coverage_histogram(counts: DataFrame, params: Calling | None = None) -> Data
     return covered.groupBy("chrom", "cell_type").agg(*[F.count_if(F.col(c) >= t).alias(f"{c}_{t}") for c in ("dp", "nc") for t in steps])
 
 
-def near_in_order(df: DataFrame, distance: int) -> Column:
-    """Whether the site before or behind, of the same chromosome, is less than or exactly `distance` away, but not the same place."""
-    order = Window.partitionBy("chrom").orderBy("pos")
-    gaps = [F.abs(F.col("pos") - f("pos").over(order)) for f in (F.lag, F.lead)]
-    return F.coalesce((gaps[0] > 0) & (gaps[0] <= distance), F.lit(False)) | F.coalesce((gaps[1] > 0) & (gaps[1] <= distance), F.lit(False))
+def with_neighbours(df: DataFrame, name: str, near: Callable[[Column], Column], reach: int, by: Sequence[Column] = (), order: Sequence[str] = ()) -> DataFrame:
+    """df plus the flag `name`: whether near(gap) holds for the row before or behind, by pos, of the same chromosome and `by`.
+
+    reach: no gap above it is near. Rows are dealt by bins of positions, so that a chromosome is never one task; rows that
+    are within reach of a bin's edge are in the bin beside too, as neighbours only.
+    """
+    width = max(NEAR_BIN, reach + 1)
+    pos, at = F.col("pos"), F.floor(F.col("pos") / width)
+    into = lambda bin, own: F.struct(bin.alias("bin"), F.lit(own).alias("own"))
+    places = F.array(into(at, True), F.when(pos - at * width <= reach, into(at - 1, False)), F.when((at + 1) * width - pos <= reach, into(at + 1, False)))
+    dealt = df.withColumn("near_place", F.explode(F.array_compact(places)))
+    window = Window.partitionBy("chrom", "near_place.bin", *by).orderBy("pos", *order)
+    gaps = [F.abs(pos - f("pos").over(window)) for f in (F.lag, F.lead)]
+    either = F.coalesce(near(gaps[0]), F.lit(False)) | F.coalesce(near(gaps[1]), F.lit(False))
+    return dealt.withColumn(name, either).where("near_place.own").drop("near_place")
+
+
+def near_in_order(df: DataFrame, name: str, distance: int) -> DataFrame:
+    """df plus the flag `name`: the site before or behind, of the same chromosome, is at most `distance` away, but not the same place."""
+    return with_neighbours(df, name, lambda gap: (gap > 0) & (gap <= distance), distance)
 
 
 def flagged(df: DataFrame, sites: DataFrame, name: str) -> DataFrame:
@@ -144,7 +163,7 @@ def annotate_filters(calls: DataFrame, editing: DataFrame, pon_sr: DataFrame, po
     """
     params = params or Annotation()
     out = calls.where((F.size("calls") > 0) & F.col("filters").isNotNull())
-    out = out.withColumn("clustered", near_in_order(out, params.min_distance) if params.min_distance > 0 else F.lit(False))
+    out = near_in_order(out, "clustered", params.min_distance) if params.min_distance > 0 else out.withColumn("clustered", F.lit(False))
     for sites, name in ((editing, "edited"), (pon_sr, "in_sr"), (pon_lr, "in_lr")):
         out = flagged(out, sites, name)
     out = out.withColumn("alt", first_alt(F.col("calls"))).join(af.select(*SITE, "alt", "af"), [*SITE, "alt"], "left").withColumn("af", F.coalesce("af", F.lit(0.0)))
@@ -206,15 +225,20 @@ def consistency_tag() -> Column:
     return F.when(F.col("cancer.filter").isin("Non-Significant", "Low-Significance"), "CancerNonSig").when(F.col("noncancer.filter").isin("PASS", "Low-Significance"), "NonCancerSig")
 
 
-def close_pairs(distance: int, strict_compat: bool = False, among: Column | None = None) -> Column:
-    """Whether a neighbour in order is less than `distance` away; chrM is exempt. strict_compat orders positions as text.
+def close_pairs(df: DataFrame, name: str, distance: int, strict_compat: bool = False, among: Column | None = None) -> DataFrame:
+    """df plus the flag `name`: a neighbour in order is less than `distance` away; chrM is exempt.
 
-    among: only rows that agree in it are neighbours.
+    among: only rows that agree in it are neighbours. strict_compat orders positions as text, which has no bins: there a
+    chromosome is one task.
     """
-    by = ["chrom"] if among is None else ["chrom", among]
-    order = Window.partitionBy(*by).orderBy(F.col("pos").cast("string") if strict_compat else F.col("pos"), "alt")
-    gaps = [F.coalesce(F.abs(F.col("pos") - f("pos").over(order)) < distance, F.lit(False)) for f in (F.lag, F.lead)]
-    return (F.col("chrom") != "chrM") & (gaps[0] | gaps[1])
+    by = [] if among is None else [among]
+    if strict_compat:
+        window = Window.partitionBy("chrom", *by).orderBy(F.col("pos").cast("string"), "alt")
+        gaps = [F.coalesce(F.abs(F.col("pos") - f("pos").over(window)) < distance, F.lit(False)) for f in (F.lag, F.lead)]
+        out = df.withColumn(name, gaps[0] | gaps[1])
+    else:
+        out = with_neighbours(df, name, lambda gap: gap < distance, distance, by, ["alt"])
+    return out.withColumn(name, F.col(name) & (F.col("chrom") != "chrM"))
 
 
 def finalize_calls(calls: DataFrame, params: Final | None = None) -> DataFrame:
@@ -229,8 +253,8 @@ def finalize_calls(calls: DataFrame, params: Final | None = None) -> DataFrame:
     df = df.where(~F.when(is_m, any_tag(F.col("filters"), CHRM_DROPS)).otherwise(any_tag(F.col("filters"), FINAL_DROPS)))
     own = F.array_compact(F.array(first, F.when(is_m, chrm_tag(params)).otherwise(support_tag(params)), F.when(~is_m, consistency_tag())))
     df = df.withColumn("final", own).withColumn("clean", F.size("final") == 0)
-    df = df.withColumn("close", F.col("clean") & close_pairs(params.clust_dist, params.strict_compat, F.col("clean")))
-    final = F.when(F.col("close"), F.array_append("final", F.lit(f"Clust_dist_{params.clust_dist}"))).otherwise(F.col("final"))
+    df = close_pairs(df, "close", params.clust_dist, params.strict_compat, F.col("clean"))
+    final = F.when(F.col("clean") & F.col("close"), F.array_append("final", F.lit(f"Clust_dist_{params.clust_dist}"))).otherwise(F.col("final"))
     return df.withColumn("final", final).withColumn("key", variant_key(F.col("chrom"), F.col("pos"), F.col("alt"))).drop("close", "clean")
 
 

@@ -40,7 +40,7 @@ def select_hccv(calls: DataFrame, params: Hccv | None = None) -> DataFrame:
     """The passing candidates that have no other one nearby."""
     params = params or Hccv()
     good = hccv_candidates(calls, params).where("hccv = 'PASS'")
-    return good.withColumn("close", close_pairs(params.clust_dist, params.strict_compat)).where("NOT close").drop("close")
+    return close_pairs(good, "close", params.clust_dist, params.strict_compat).where("NOT close").drop("close")
 
 
 def reannotate(genotypes: DataFrame, fusion_cells: DataFrame, barcodes: DataFrame, params: Reannotation | None = None) -> DataFrame:

@@ -14,12 +14,23 @@ def tile(intervals: DataFrame, width: int) -> DataFrame:
     return out.select("chrom", "start", F.least(F.col("start") + width, F.col("end")).alias("end"))
 
 
-def merge(intervals: DataFrame, gap: int = 0) -> DataFrame:
-    """Intervals whose distance is at most `gap`, as one."""
-    order = Window.partitionBy("chrom").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col("start") <= reach + gap, 0).otherwise(1)
-    islands = intervals.withColumn("new", new).withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+def merge(intervals: DataFrame, gap: int = 0, width: int = 50_000) -> DataFrame:
+    """Intervals whose distance is at most `gap`, as one; intervals without a start or an end are left out.
+
+    Intervals are dealt by the bin of their start. Only one row a bin is ordered over a whole chromosome: how far the bins
+    before reach, and where their last island began.
+    """
+    rows = intervals.select("chrom", "start", "end").dropna(subset=["start", "end"]).withColumn("bin", F.floor(F.col("start") / width))
+    before = Window.partitionBy("chrom").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    reaches = rows.groupBy("chrom", "bin").agg(F.max("end").alias("far")).select("chrom", "bin", F.max("far").over(before).alias("reach"))
+    order = Window.partitionBy("chrom", "bin").orderBy("start", "end")
+    reach = F.greatest("reach", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    begins = F.when(reach.isNull() | (F.col("start") > reach + gap), F.col("start"))
+    rows = rows.join(reaches, ["chrom", "bin"]).withColumn("begins", begins)
+    rows = rows.withColumn("island", F.max("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = rows.groupBy("chrom", "bin", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    carried = parts.groupBy("chrom", "bin").agg(F.max("island").alias("last")).select("chrom", "bin", F.max("last").over(before).alias("carried"))
+    islands = parts.join(carried, ["chrom", "bin"]).withColumn("island", F.coalesce("island", "carried"))
     return islands.groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
 
 

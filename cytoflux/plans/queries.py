@@ -186,7 +186,7 @@ def blacklist_flags(spark, sf):
 @query
 def neighbour_clustered(spark, sf):
     s = adapter.sites_where(spark, sf, "true")
-    return s.withColumn("clustered", calling.near_in_order(s, 10))
+    return calling.near_in_order(s, "clustered", 10)
 
 
 @query
@@ -228,7 +228,7 @@ def betabin_consistency(spark, sf):
 @query
 def clustered_snvs(spark, sf):
     s = adapter.sites_where(spark, sf, "true").withColumn("alt", F.lit("A"))
-    return s.select("chrom", "pos", calling.close_pairs(400).alias("close"), calling.close_pairs(400, strict_compat=True).alias("close_text"))
+    return calling.close_pairs(calling.close_pairs(s, "close", 400), "close_text", 400, strict_compat=True).select("chrom", "pos", "close", "close_text")
 
 
 @query

@@ -198,6 +198,34 @@ def test_intervals_by_hand(spark):
     assert sorted(map(tuple, intervals.tile(a, 6).where("chrom = 'c' and end <= 10").collect())) == [("c", 0, 6), ("c", 6, 10)]
 
 
+@pytest.mark.parametrize("width, gap", [(5, 0), (5, 7), (40, 3), (1000, 1)])
+def test_merging_across_bins(spark, width, gap):
+    rng = random.Random(width + gap)
+    rows = [(c, s, s + rng.choice((0, 1, 3, 90))) for c in ("a", "b") for s in (rng.randrange(600) for _ in range(60))]
+    want = []
+    for c, s, e in sorted(rows):
+        if want and want[-1][0] == c and s <= want[-1][2] + gap:
+            want[-1][2] = max(want[-1][2], e)
+        else:
+            want.append([c, s, e])
+    df = spark.createDataFrame([*rows, ("a", None, 4), ("a", 4, None)], "chrom string, start long, end long")
+    assert sorted(map(list, intervals.merge(df, gap, width).collect())) == want
+
+
+def test_neighbours_across_bins(spark, monkeypatch):
+    monkeypatch.setattr(calling, "NEAR_BIN", 7)
+    rng = random.Random(3)
+    places = sorted({(c, rng.randrange(400)) for c in ("chr1", "chr2", "chrM") for _ in range(70)})
+    df = spark.createDataFrame([(c, p, "A", p % 3 > 0) for c, p in places], "chrom string, pos long, alt string, kept boolean")
+    for distance in (1, 3, 6, 20):
+        near = {(r.chrom, r.pos): r.near for r in calling.near_in_order(df, "near", distance).collect()}
+        assert near == {(c, p): any(d == c and 0 < abs(p - q) <= distance for d, q in places) for c, p in places}
+        close = {(r.chrom, r.pos): r.close for r in calling.close_pairs(df, "close", distance, among=F.col("kept")).collect()}
+        assert close == {(c, p): c != "chrM" and any(d == c and p != q and abs(p - q) < distance and (p % 3 > 0) == (q % 3 > 0) for d, q in places) for c, p in places}
+    nowhere = spark.createDataFrame([("chr1", None, "A"), ("chr1", None, "C")], "chrom string, pos long, alt string")
+    assert [r.near for r in calling.near_in_order(nowhere, "near", 5).collect()] == [False, False]
+
+
 def test_text_tables_round_trip(spark, tmp_path):
     df = counts(spark, ("chr1", 1, "A", "Cancer", 50, 40, (20, 30), (20, 25)), ("chr2", 2, "C", "Non-Cancer", 9, 8, (0, 9), (0, 8)))
     key = lambda r: (r.chrom, r.pos, r.cell_type, r.dp, r.nc, tuple(r.bc), tuple(r.cc), tuple(r.bcf), tuple(r.bcr))
@@ -238,7 +266,7 @@ def test_panel_counts_samples(spark):
 @pytest.mark.parametrize("strict", [False, True])
 def test_order_of_close_pairs(spark, strict):
     df = spark.createDataFrame([("chr1", p, "A") for p in (999, 1001, 5000, 99)] + [("chrM", 1, "A"), ("chrM", 2, "A")], "chrom string, pos long, alt string")
-    got = {(r.chrom, r.pos): r.close for r in df.withColumn("close", calling.close_pairs(10, strict)).collect()}
+    got = {(r.chrom, r.pos): r.close for r in calling.close_pairs(df, "close", 10, strict).collect()}
     # As text 1001, 5000, 99, 999: 999 and 1001 are no neighbours.
     assert got["chr1", 999] is (not strict) and not got["chrM", 1]
 
