@@ -52,5 +52,33 @@ OP9 = f"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+#: CRC-32 byte by byte, by a table that eight steps of its polynomial give.
+OP11 = f"""WITH crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS crc FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+ d AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents), b AS (SELECT {WORDS} AS w FROM benchmark),
+ dw AS MATERIALIZED (SELECT doc_id, unnest(w) AS f FROM d), bw AS MATERIALIZED (SELECT unnest(w) AS f FROM b),
+ v AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM dw UNION SELECT f FROM bw)),
+ h AS MATERIALIZED (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i::INTEGER, 2))::BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 10000 AS k FROM v, crc),
+ s AS (SELECT k, count(*) AS s FROM dw JOIN h USING (f) GROUP BY k), t AS (SELECT k, count(*) AS t FROM bw JOIN h USING (f) GROUP BY k),
+ g AS MATERIALIZED (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (k)),
+ m AS (SELECT doc_id, floor(sum(gain) / count(*)::DOUBLE)::BIGINT AS weight FROM dw JOIN h USING (f) JOIN g USING (k) GROUP BY doc_id),
+ c AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN m USING (doc_id)),
+ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM c WHERE n_features >= 20)
+SELECT c.*, r.rank FROM c LEFT JOIN r ON c.doc_id = r.doc_id AND r.rank <= (SELECT 10 * count(*) // 100 FROM r)"""
+
+OP12 = r"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+ w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+ l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+ f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+  CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 5 * length(text) THEN 'C' END, CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN w.doc_id > first_id THEN 'E' END) AS fails FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+ n AS MATERIALIZED (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+ o AS (SELECT '' AS o UNION ALL SELECT o || x FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x) WHERE NOT contains(o, x)),
+ p AS (SELECT o AS filter_order, step, substr(o, step::INTEGER, 1) AS own, substr(o, 1, (step - 1)::INTEGER) AS before FROM o, range(1, 6) s(step) WHERE length(o) = 5),
+ j AS (SELECT part, filter_order, step, contains(fails, own) AS fails_own, translate(fails, before, '') <> fails AS gone, fails = own AS only_own, n, good, toxic FROM n, p),
+ a AS (SELECT part, filter_order, step, sum(n) FILTER (NOT fails_own AND NOT gone) AS kept, sum(n) FILTER (fails_own AND NOT gone) AS removed, sum(n) FILTER (fails_own AND gone) AS redundant, sum(n) FILTER (only_own) AS unique_fails,
+  sum(good) FILTER (fails_own AND NOT gone) AS good_lost, sum(toxic) FILTER (fails_own AND NOT gone) AS toxic_lost FROM j GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+ coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, substr(filter_order, step::INTEGER, 1)), 0)::BIGINT AS shapley FROM a"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1, "op3_chat_format": OP3, "op4_mixing": OP4, "op7_decontaminate": OP7, "op9_near_duplicates": OP9}
+    return {"op1_url_filter": OP1, "op3_chat_format": OP3, "op4_mixing": OP4, "op7_decontaminate": OP7, "op9_near_duplicates": OP9, "op11_importance_resampling": OP11, "op12_filter_audit": OP12}

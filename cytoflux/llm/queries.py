@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-from cytoflux.llm import chat, decontam, langid, licences, long_repeats, mixing, near_dup, quality, secrets, url_filter
+from cytoflux.llm import chat, decontam, filter_audit, importance, langid, licences, long_repeats, mixing, near_dup, packing, quality, secrets, url_filter
 from cytoflux.llm.common import table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -58,8 +58,18 @@ def op10_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op2_licence_scan, op3_chat_format, op4_mixing, op5_quality_rules, op6_secret_scan, op7_decontaminate, op8_language_id, op9_near_duplicates, op10_long_repeats)
-    return {f.__name__: f for f in named}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = (op1_url_filter, op2_licence_scan, op3_chat_format, op4_mixing, op5_quality_rules, op6_secret_scan, op7_decontaminate, op8_language_id, op9_near_duplicates, op10_long_repeats, op11_importance_resampling, op12_filter_audit, op13_packing)
+    return {f.__name__: f for f in named}
