@@ -26,7 +26,8 @@ ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 CHECKED = re.compile(rb"(?:gh[pousr]_|npm_)[A-Za-z0-9]{36}(?![A-Za-z0-9])")
-JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: A part of a signed token: header, claims and signature are parts joined by dots, the first two start with eyJ.
+PART = re.compile(rb"[A-Za-z0-9_-]*")
 KINDS = ("assign", "access", "hex", "checked", "jwt")
 KEYWORDS = {
     "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
@@ -48,12 +49,12 @@ def checksum_holds(token: bytes) -> bool:
     return digits.encode() == body[30:]
 
 
-def header_holds(token: bytes) -> bool:
-    """The first part decodes to a JSON object that names an algorithm."""
-    part = token.split(b".")[0]
+def header_holds(part: bytes) -> bool:
+    """The part decodes to a JSON object that names an algorithm (a key that is written "alg", without escapes)."""
     try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4)))
-    except (ValueError, TypeError):
+        header = base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4))
+        return b'"alg"' in header and "alg" in json.loads(header)
+    except (ValueError, TypeError, RecursionError):  # the last: nested deeper than the parser goes
         return False
 
 
@@ -61,10 +62,23 @@ PATTERNS = {
     "assign": (ASSIGN, lambda m: len(m[2]) >= 6),
     "access": (ACCESS, lambda m: len(m[0]) >= 20),
     "checked": (CHECKED, lambda m: checksum_holds(m[0])),
-    "jwt": (JWT, lambda m: header_holds(m[0])),
 }
 
 
+def signed_token(raw: bytes, start: int) -> tuple[int, int]:
+    """End of the token that starts there with eyJ, 0 for none, and end of the part that starts there.
+
+    Every eyJ of one part shares the part's end and what follows it, so that a part that fails is looked at once.
+    """
+    header = PART.match(raw, start).end()
+    if header - start < 4 or not raw.startswith(b".eyJ", header):
+        return 0, header
+    claims = PART.match(raw, header + 1).end()
+    if claims - header < 5 or not raw.startswith(b".", claims) or not header_holds(raw[start:header]):
+        return 0, header
+    return PART.match(raw, claims + 1).end(), header
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for kind, words in KEYWORDS.items():
@@ -77,11 +91,20 @@ def automaton() -> ahocorasick.Automaton:
 def scan(text: str, keywords: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
     """(start, index of the kind, end) in code points, in order; of each kind leftmost and without overlaps."""
     raw = text.encode("utf-8", "surrogatepass")
-    upto, spans = dict.fromkeys(PATTERNS, 0), []
+    upto, spans = dict.fromkeys(KEYWORDS, 0), []
     for last, (kind, n) in sorted(keywords.iter(raw.lower().decode("latin-1")), key=lambda x: x[0] - x[1][1]):
         start = last + 1 - n
+        if start < upto[kind]:
+            continue
+        if kind == "jwt":
+            if raw.startswith(b"eyJ", start):
+                end, header = signed_token(raw, start)
+                upto[kind] = end or header
+                if end:
+                    spans.append((start, KINDS.index(kind), end))
+            continue
         pattern, holds = PATTERNS[kind]
-        if start >= upto[kind] and (m := pattern.match(raw, start)):
+        if m := pattern.match(raw, start):
             upto[kind] = m.end()  # a match that doesn't hold still uses up its text
             if holds(m):
                 spans.append((start, KINDS.index(kind), m.end()))
