@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoflux.llm.anchors import Hashes, mix
+from cytoflux.llm.anchors import mix
 from cytoflux.llm.common import Scratch, cut, fresh
 from cytoflux.llm.components import components
 
@@ -34,27 +34,59 @@ BLOCK = 512
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32)
-_C = np.array([int(x) | 1 for x in _RNG.integers(0, 1 << 63, 64)], np.uint64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Multipliers of the places in a run, one column for each half of a word's digest.
+_C = np.array([int(x) | 1 for x in _RNG.integers(0, 1 << 63, 128)], np.uint64).reshape(64, 2)
+#: Words that a worker remembers the digests of, and how long they may be.
+REMEMBERED, SHORT = 1 << 19, 64
+#: Nodes whose texts are sought by a broadcast of 64 bits each.
+BROADCAST_NODES = 500_000
+
+
+class _Digests(dict):
+    """128 bits of a keyed BLAKE2 of each word's bytes; collisions can't be built from a word's structure."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        digest = hashlib.blake2b(word, digest_size=16, key=b"near-duplicates").digest()
+        if len(word) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = digest
+        return digest
+
+
+_DIGESTS = _Digests()
+
+
+def words(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z lowered, as UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes are lowered and split by ASCII alone
+
+
+def _runs(text: str | None, k: int) -> np.ndarray:
+    """Two 64-bit hashes of each run of k words; fewer words are one run; none: no row."""
+    of_text = words(text)
+    digests = np.frombuffer(b"".join(map(_DIGESTS.__getitem__, of_text)), np.uint64).reshape(-1, 2)
+    k = min(k, len(digests))
+    out = np.full((len(digests) - k + 1 if k else 0, 2), k, np.uint64)
+    for j in range(k):
+        out = mix(out + digests[j : len(digests) - k + 1 + j] * _C[j])
+    return out
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Distinct 64-bit hashes of the runs of k words (A-Z lowered); fewer words are one run; none: empty."""
-    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
-    inside = np.zeros(len(b) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[b]
-    edges = np.diff(inside)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    words = Hashes(b).of(starts, ends)
-    k = min(k, len(words))
-    out = np.full(len(words) - k + 1, k, np.uint64)
-    for j in range(k):
-        out += words[j : len(words) - k + 1 + j] * _C[j]
-        out = mix(out)
-    return np.unique(out)
+    return np.unique(_runs(text, k)[:, 0])
+
+
+def word_runs(text: str | None, k: int) -> set[tuple[bytes, ...]]:
+    """The set of shingles itself, for the confirmation of links."""
+    of_text = words(text)
+    return set(zip(*(of_text[j:] for j in range(min(k, len(of_text))))))
+
+
+def confirmed(a: set, b: set, percent: int) -> bool:
+    both = len(a & b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -122,8 +154,10 @@ def sketch_documents(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             rows = []
             for key, text in zip(batch["key"], batch["text"], strict=True):
-                s = shingles(text, k)
-                rows.append((key, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, sketch(s).tobytes() if len(s) else None))
+                runs = _runs(text, k)
+                s, first = np.unique(runs[:, 0], return_index=True)
+                both = s.tobytes() + runs[first, 1].tobytes()
+                rows.append((key, len(s), hashlib.blake2b(both, digest_size=16).digest() if len(s) else None, sketch(s).tobytes() if len(s) else None))
             out = pd.DataFrame(rows, columns=["key", "n", "node", "sketch"])
             out.insert(0, "doc_id", batch["doc_id"].to_numpy() if len(batch) else [])
             yield out
@@ -153,15 +187,19 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     """The pairs (a, b: nodes) whose full sets reach the threshold. texts: node, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, of_last = None, None
+        last, of_last, exact = None, None, None
         for batch in batches:
             good = []
             for a, x, y in zip(batch["a"], batch["text_a"], batch["text_b"], strict=True):
                 if a != last:
-                    last, of_last = a, shingles(x, k)
+                    last, of_last, exact = a, shingles(x, k), None
                 other = shingles(y, k)
                 both = len(np.intersect1d(of_last, other, assume_unique=True))
-                good.append(100 * both >= percent * (len(of_last) + len(other) - both))
+                linked = 100 * both >= percent * (len(of_last) + len(other) - both)
+                if linked:  # hashes propose, words decide
+                    exact = word_runs(x, k) if exact is None else exact
+                    linked = confirmed(exact, word_runs(y, k), percent)
+                good.append(linked)
             yield batch.loc[np.array(good, bool), ["a", "b"]]
 
     # The texts of b arrive by a shuffle of b, those of a by one of a: tasks then hold a's rows together.
@@ -196,6 +234,7 @@ def _rest_of_block(k: int, percent: int, rows: int):
             of_right, of_left = labels[: len(right)].copy(), labels[len(right) :].copy()
             inside = (right["root"] == right["main_root"]).to_numpy()
             sets: dict[int, np.ndarray] = {}
+            exact: dict[int, set] = {}
             for i in range(len(left)):
                 node, own = left["node"].iloc[i], float(left["n"].iloc[i])
                 # Two members outside the main component meet twice; one of the meetings counts.
@@ -207,6 +246,7 @@ def _rest_of_block(k: int, percent: int, rows: int):
                 likely = estimate((x[i] > y[at]).sum(1), (x[i] < y[at]).sum(1), np.full(len(at), own), n[at])
                 at = at[np.argsort(-likely, kind="stable")][: (likely >= low).sum()]
                 mine = shingles(left["text"].iloc[i], k) if len(at) else None
+                mine_exact = None
                 while len(at):
                     # The likeliest of each component; once linked, the component's others need no comparison.
                     first = np.unique(of_right[at], return_index=True)[1]
@@ -216,6 +256,11 @@ def _rest_of_block(k: int, percent: int, rows: int):
                     both = _shared(mine, [sets[j] for j in at[first]])
                     for j in at[first][100 * both >= percent * (own + n[at[first]] - both)]:
                         if (now := of_right[j]) != of_left[i]:
+                            mine_exact = word_runs(left["text"].iloc[i], k) if mine_exact is None else mine_exact
+                            if j not in exact:
+                                exact[j] = word_runs(right["text"].iloc[j], k)
+                            if not confirmed(mine_exact, exact[j], percent):
+                                continue
                             found.add(tuple(sorted((names[now], names[of_left[i]]))))
                             of_right[of_right == now] = of_left[of_left == now] = of_left[i]
                     at = np.delete(at, first)
@@ -239,14 +284,19 @@ def _star_links(nodes: DataFrame, met: DataFrame, docs: DataFrame, k: int, perce
     stars = scratch.cut(sized.where(_likely(percent)("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"))
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b"))
     # Written, so that the join has an exchange of its own on either side and a frequent end's pairs can be split.
-    return scratch.cut(_verify(stars, scratch.cut(_texts(ends, nodes, docs)), k, percent))
+    return scratch.cut(_verify(stars, scratch.cut(_texts(ends, nodes, docs, scratch)), k, percent))
 
 
-def _texts(some: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _texts(some: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """node, text: one text for each node of some."""
-    wanted = nodes.select("node", "key").join(some.select("node").distinct(), "node", "left_semi")
+    wanted = scratch.cut(nodes.select("node", "key").join(some.select("node").distinct(), "node", "left_semi"))
+    keyed = docs.select(text_key().alias("key"), "text")
+    if wanted.count() <= BROADCAST_NODES:
+        # Other texts stay where they are: the scan drops them before the shuffle.
+        short = wanted.select(F.xxhash64("key").alias("short")).distinct()
+        keyed = keyed.join(F.broadcast(short), F.xxhash64("key") == F.col("short"), "left_semi")
     # One row a text before the shuffle, however many have it.
-    return docs.groupBy(text_key().alias("key")).agg(F.first("text").alias("text")).join(wanted, "key").select("node", "text")
+    return keyed.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key").select("node", "text")
 
 
 def _merged_roots(nodes: DataFrame, met: DataFrame, roots: DataFrame, docs: DataFrame, k: int, percent: int, block: int, scratch: Scratch) -> DataFrame | None:
@@ -263,7 +313,7 @@ def _merged_roots(nodes: DataFrame, met: DataFrame, roots: DataFrame, docs: Data
         return None
     outside = F.count_if(F.col("root") != F.col("main_root"))
     sizes = scratch.cut(rest.groupBy("main_root").agg(F.ceil(F.count("*") / block).cast("int").alias("rights"), F.ceil(outside / block).cast("int").alias("lefts")))
-    texts = nodes.select("node", "n", "sketch").join(_texts(rest, nodes, docs), "node")
+    texts = nodes.select("node", "n", "sketch").join(_texts(rest, nodes, docs, scratch), "node")
     rest = scratch.cut(rest.join(sizes, "main_root")).join(texts, "node")
     dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     columns = ["main_root", "node", "root", "n", "sketch", "text"]

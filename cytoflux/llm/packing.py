@@ -88,15 +88,20 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then `END_OF_DOCUMENT`."""
         end, out = array.array("I", [END_OF_DOCUMENT]).tobytes(), []
-        whole = [SPECIAL in t or OTHER.search(t) is not None for t in texts]
-        pieces = [[] if w else PIECES.findall(t) for w, t in zip(whole, texts, strict=True)]
-        missing = list(set().union(*pieces).difference(self.known))
-        if len(self.known) + len(missing) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-            missing = list(set().union(*pieces))
+        known, found = self.known.get, []
+        for text in texts:
+            whole = SPECIAL in text or OTHER.search(text) is not None
+            pieces = [] if whole else PIECES.findall(text)
+            found.append((self._encoded([text]) if whole else list(map(known, pieces)), pieces))
+        missing = list({p for parts, pieces in found for x, p in zip(parts, pieces) if x is None})
         self.known.update(zip(missing, self._encoded(missing), strict=True))
-        for w, text, of_text in zip(whole, texts, pieces, strict=True):
-            raw = self._encoded([text])[0] if w else b"".join(map(self.known.__getitem__, of_text))
+        for parts, pieces in found:
+            try:
+                raw = b"".join(parts)
+            except TypeError:  # some were missing
+                raw = b"".join(map(self.known.__getitem__, pieces))
             out.append(np.frombuffer(raw + end, "<u4"))
         return out
 
@@ -105,18 +110,23 @@ class Encoder:
         return np.flatnonzero((self.ends[ids[:-1]] & self.starts[ids[1:]]) | self.breaks[ids[:-1]]) + 1
 
 
-def places(ids: np.ndarray, sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a document may be cut, its end included, and what each cut costs."""
-    edges = np.r_[0, sentences, len(ids)]
-    cost = np.full(len(edges), SENTENCE)
-    cost[-1] = 0
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
+def places(sentences: np.ndarray, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a stream may be cut, 0 and its end included, and what each cut costs, from the ends of its sentences and documents."""
+    edges = _distinct(np.concatenate([[0], sentences, documents]))
     gaps = np.diff(edges)
-    if (gaps > LONG).any():
-        inside = np.concatenate([np.arange(a + STEP, b, STEP) for a, b in zip(edges[:-1][gaps > LONG], edges[1:][gaps > LONG], strict=True)])
-        edges, cost = np.r_[edges, inside], np.r_[cost, np.full(len(inside), INSIDE)]
-        order = np.argsort(edges, kind="stable")
-        edges, cost = edges[order], cost[order]
-    return edges[1:], cost[1:]
+    long = np.flatnonzero(gaps > LONG)
+    inside = (gaps[long] - 1) // STEP
+    nth = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside)
+    edges = np.sort(np.concatenate([edges, np.repeat(edges[long], inside) + STEP * (nth + 1)]))
+    cost = np.full(len(edges), INSIDE)
+    cost[np.searchsorted(edges, sentences)] = SENTENCE
+    cost[np.searchsorted(edges, documents)] = cost[0] = 0
+    return edges, cost
 
 
 def cheapest(p: np.ndarray, cost: np.ndarray, size: int, last: bool) -> np.ndarray:
@@ -162,16 +172,15 @@ def cheapest(p: np.ndarray, cost: np.ndarray, size: int, last: bool) -> np.ndarr
 
 
 class Stream:
-    """The documents that a task has read and not yet packed: doc_id, ids before the rest, rest, its places and all its ids."""
+    """The documents that a task has read and not yet packed: doc_id, ids before the rest, the rest, and how many ids it has."""
 
     def __init__(self, encoder: Encoder, size: int, first_sequence: int):
         self.encoder, self.size, self.next = encoder, size, first_sequence
-        self.held: list[tuple[object, int, np.ndarray, np.ndarray, np.ndarray, int]] = []
+        self.held: list[tuple[object, int, np.ndarray, int]] = []
         self.waiting = 0
 
     def add(self, doc_id: object, ids: np.ndarray) -> None:
-        p, cost = places(ids, self.encoder.sentence_ends(ids))
-        self.held.append((doc_id, 0, ids, p, cost, len(ids)))
+        self.held.append((doc_id, 0, ids, len(ids)))
         self.waiting += len(ids)
 
     def settle(self, last: bool) -> list[tuple]:
@@ -180,14 +189,14 @@ class Stream:
             return []
         sizes = np.array([len(h[2]) for h in self.held])
         starts = np.cumsum(sizes) - sizes
-        p = np.concatenate([[0], *(s + h[3] for s, h in zip(starts, self.held, strict=True))])
-        cuts = cheapest(p, np.concatenate([[0], *(h[4] for h in self.held)]), self.size, last)
-        edges = np.unique(np.r_[starts[starts < cuts[-1]], cuts])
+        p, cost = places(self.encoder.sentence_ends(np.concatenate([h[2] for h in self.held])), starts + sizes)
+        cuts = cheapest(p, cost, self.size, last)
+        edges = _distinct(np.concatenate([starts[starts < cuts[-1]], cuts]))
         document = np.searchsorted(starts, edges[:-1], "right") - 1
         window = np.searchsorted(cuts, edges[:-1], "right") - 1
         out = []
         for a, b, d, w in zip(edges[:-1].tolist(), edges[1:].tolist(), document.tolist(), window.tolist(), strict=True):
-            doc_id, before, ids, _, _, total = self.held[d]
+            doc_id, before, ids, total = self.held[d]
             at = int(starts[d])
             out.append((doc_id, before + a - at, b - a, zlib.crc32(ids[a - at : b - at]), total, self.next + w, a - int(cuts[w])))
         self.next += len(cuts) - 1
@@ -195,9 +204,9 @@ class Stream:
         rest = int(np.searchsorted(starts + sizes, cut, "right"))
         held = self.held[rest:]
         if held and starts[rest] < cut:
-            doc_id, before, ids, at, cost, total = held[0]
+            doc_id, before, ids, total = held[0]
             gone = cut - int(starts[rest])
-            held[0] = (doc_id, before + gone, ids[gone:], at[at > gone] - gone, cost[at > gone], total)
+            held[0] = (doc_id, before + gone, ids[gone:], total)
         self.held, self.waiting = held, int(sizes.sum()) - cut
         return out
 

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cytoflux.llm import chat, components, decontam, langid, licences, long_repeats, mixing, near_dup, quality, queries, secrets, url_filter
@@ -404,3 +405,38 @@ def test_licences_against_comparison_alone(spark, model):
     some = [d for d in found if want[d]]
     assert len(some) > 20 and sum(found[d] == want[d] for d in some) >= 0.97 * len(some)
     assert sum(bool(found[d]) for d in found if not want[d]) == 0
+
+
+def thue_morse(n):
+    """The word of n letters and its complement, on which any polynomial modulo a power of two agrees."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_near_duplicates_of_thue_morse_words(spark):
+    a, b = thue_morse(1024)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, f"{a} {b}"), (4, f"{b} {a}"), (5, a)], "doc_id long, text string")
+    got = by_id(near_dup.classes(docs, k=3, percent=85), "n_shingles", "component_id", "kept")
+    assert got == brute.near(pairs(docs), 3, 85) and got[2][1] == 2 and got[5][1] == 1
+
+
+@pytest.mark.parametrize("broadcast", [0, near_dup.BROADCAST_NODES])
+def test_near_duplicates_with_and_without_broadcast(spark, broadcast, monkeypatch):
+    words_of = [f"c{c} " + " ".join(f"x{(i * 7 + c * (i % 9 == 0)) % 50}" for i in range(40)) for c in range(40)]
+    docs = spark.createDataFrame(list(enumerate(words_of)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(near_dup, "BROADCAST_NODES", broadcast)
+    got = by_id(near_dup.classes(docs, k=3, percent=85, block=7), "n_shingles", "component_id", "kept")
+    assert got == brute.near(pairs(docs), 3, 85)
+
+
+def test_words_decide_where_hashes_collide(monkeypatch):
+    """Two texts whose hashed sets are made to agree are linked only if their words do."""
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "ONE two three four five six"
+    monkeypatch.setattr(near_dup, "shingles", lambda text, k: np.arange(4, dtype=np.uint64))
+    sketch = near_dup.sketch(np.arange(4, dtype=np.uint64)).tobytes()
+    side = lambda name, text: pd.DataFrame({"main_root": [b"m"], "node": [name], "root": [name], "n": [4], "sketch": [sketch], "text": [text]})
+    link = near_dup._rest_of_block(3, 85, near_dup.bands(85)[0])
+    assert len(link(side(b"a", a), side(b"b", b))) == 0 and len(link(side(b"a", a), side(b"c", c))) == 1
+    a, b = near_dup.word_runs("a b c d", 3), near_dup.word_runs("A b\tc e", 3)
+    assert a == {(b"a", b"b", b"c"), (b"b", b"c", b"d")} and not near_dup.confirmed(a, b, 85) and near_dup.confirmed(a, set(a), 85)
+    assert near_dup.word_runs("", 3) == set() and near_dup.word_runs("One", 3) == {(b"one",)}
