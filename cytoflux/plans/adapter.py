@@ -48,6 +48,23 @@ def read_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: CIGARs of reads of 20 bases; {} is the length of an intron.
+CIGARS = ("20M", "5S8M2I5M", "6M3D14M", "7M{}N13M", "3H4S10M1P2I4M2P", "9=1X5M1D2I3M", "7M{}N2I11M")
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aligned read per line item: CIGARs of all operations, bases from PATTERN, qualities as numbers."""
+    li = table(spark, sf_dir, "lineitem")
+    number = F.col("l_orderkey") + F.col("l_linenumber")
+    cigar = F.get(F.array(*map(F.lit, CIGARS)), (number % len(CIGARS)).cast("int"))
+    no = F.lit(False)
+    return li.select(
+        F.col("l_returnflag").alias("sample_id"), chrom("l_partkey").alias("chrom"), (pos("l_partkey") + F.col("l_orderkey") % 3).alias("pos"), F.replace(cigar, F.lit("{}"), (F.col("l_orderkey") % 50 + 20).cast("string")).alias("cigar"),
+        F.substring(F.lit(PATTERN * 2), (F.col("l_orderkey") % len(PATTERN) + 1).cast("int"), F.lit(20)).alias("seq"), F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: ((F.col("l_quantity").cast("int") + i * 7) % 41)).alias("qual"), F.lit(60).alias("map_qual"),
+        F.concat(F.lit("CB"), F.col("l_suppkey").cast("string"), F.lit("-1")).alias("cb"), cell_type("l_suppkey").alias("cell_type"), (F.col("l_linestatus") == "F").alias("is_reverse"), no.alias("is_secondary"), no.alias("is_duplicate"), no.alias("is_supplementary"),
+    )
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned reads with tags, one per line item; every 11th has no barcode, every 13th supplier is not annotated."""
     li = table(spark, sf_dir, "lineitem")

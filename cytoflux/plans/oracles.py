@@ -31,6 +31,19 @@ RB = f"""rb AS (SELECT l_returnflag AS sample_id, {place('l_partkey')}, {letter(
  'CB' || l_suppkey AS cb, {kind('l_suppkey')} AS cell_type, l_quantity::INT AS bq, l_linestatus = 'F' AS rev FROM lineitem)"""
 
 
+#: Reads made like the adapter's, their operations with what lies before each, and one row per covered place.
+ALIGNED = rf"""lr AS (SELECT row_number() OVER () AS id, l_returnflag AS sample_id, {place('l_partkey')}, l_orderkey, replace(['20M', '5S8M2I5M', '6M3D14M', '7M{{}}N13M', '3H4S10M1P2I4M2P', '9=1X5M1D2I3M', '7M{{}}N2I11M'][((l_orderkey + l_linenumber) % 7 + 1)::INT], '{{}}', (l_orderkey % 50 + 20)::VARCHAR) AS cigar,
+  substr(repeat('{PATTERN}', 2), (l_orderkey % 27 + 1)::INT, 20) AS seq, l_quantity::INT AS q, 'CB' || l_suppkey AS cb, {kind('l_suppkey')} AS cell_type, l_linestatus = 'F' AS rev FROM lineitem),
+ lo AS (SELECT *, unnest(regexp_extract_all(cigar, '(\d+)([MIDNS=X])', 1))::INT AS n, unnest(regexp_extract_all(cigar, '(\d+)([MIDNS=X])', 2)) AS op, unnest(range(len(regexp_extract_all(cigar, '\d+[MIDNS=X]')))) AS k FROM lr),
+ ls AS (SELECT *, sum(CASE WHEN op NOT IN ('I', 'S') THEN n ELSE 0 END) OVER w - CASE WHEN op NOT IN ('I', 'S') THEN n ELSE 0 END AS ahead, sum(CASE WHEN op NOT IN ('D', 'N') THEN n ELSE 0 END) OVER w - CASE WHEN op NOT IN ('D', 'N') THEN n ELSE 0 END AS begun FROM lo WINDOW w AS (PARTITION BY id ORDER BY k)),
+ ln AS (SELECT *, lead(op) OVER w AS op2, lead(n) OVER w AS n2, lead(begun) OVER w AS begun2 FROM ls WINDOW w AS (PARTITION BY id ORDER BY k)),
+ lp AS (SELECT *, unnest(range(n)) AS o FROM ln WHERE op IN ('M', '=', 'X', 'D', 'N')),
+ lt AS (SELECT sample_id, chrom, (pos + l_orderkey % 3 + ahead + o)::BIGINT AS pos, cb, cell_type, rev, ((q + (begun + CASE WHEN op IN ('D', 'N') THEN 0 ELSE o END) * 7) % 41)::INT AS bq,
+  CASE WHEN op = 'D' THEN '*' WHEN op = 'N' THEN CASE WHEN rev THEN '<' ELSE '>' END ELSE substr(seq, (begun + o + 1)::INT, 1) END || CASE WHEN o < n - 1 THEN '' WHEN op2 = 'I' THEN '+' || n2 || substr(seq, (begun2 + 1)::INT, n2) WHEN op2 = 'D' AND op <> 'D' THEN '-' || n2 || repeat('N', n2) ELSE '' END AS token
+  FROM lp WHERE op <> 'N' OR (op2 = 'I' AND o = n - 1)),
+ al AS (SELECT *, CASE WHEN rev THEN lower(token) ELSE token END AS raw_base FROM lt)"""
+
+
 def counted(source: str = "rb", keys: str = "chrom, pos, ref, cell_type", dp: int = 5, cells: int = 5) -> str:
     cols = []
     for x in A6:
@@ -146,6 +159,9 @@ def oracle_sql() -> dict[str, str]:
         "qual_trim": f"SELECT o_orderkey, array_to_string(list_transform(range(45), lambda i: CASE WHEN i < l OR i >= 45 - r THEN 0 ELSE (o_orderkey + i + 1) % 40 + 1 END), ',') AS trimmed FROM (SELECT o_orderkey, {trim.format(c='(o_orderkey % 35)')} AS l, {trim.format(c='(o_custkey % 35)')} AS r FROM orders)",
         "reverse_complements": f"WITH {CTX} SELECT chrom, pos, reverse(translate(up, 'ACGT', 'TGCA')) AS rc FROM ctx",
         "token_classes": f"WITH {RB} SELECT CASE allele WHEN 'I' THEN ref || '+2AT' WHEN 'D' THEN ref || '-1G' ELSE CASE WHEN rev THEN lower(allele) ELSE allele END END AS raw_base, allele, count(*) AS n FROM rb GROUP BY ALL",
+        "alignment_tokens": f"WITH {ALIGNED} SELECT sample_id, chrom, pos, raw_base, count(*) AS n, sum(bq)::BIGINT AS bq, count(DISTINCT cb) AS nc FROM al GROUP BY sample_id, chrom, pos, raw_base",
+        "alignment_pileup": f"""WITH {ALIGNED}, ar AS (SELECT *, CASE WHEN pos > 0 AND (pos - 1) // 500 <= (SELECT max(p_partkey * 7 + (p_partkey % 13) * 40)::BIGINT // 500 FROM part) THEN substr('{PATTERN}', ((pos - 1) % 27 + 1)::INT, 1) END AS ref,
+ CASE WHEN token[2] = '+' THEN 'I' WHEN token[2] = '-' THEN 'D' WHEN token = '*' THEN 'O' ELSE token END AS allele FROM al), cr AS ({counted('ar')}) SELECT * FROM cr WHERE ref IS NOT NULL""",
         "pileup_counts": f"WITH {CNT} SELECT chrom, pos, ref, cell_type, dp, {counts(('bc', 'bq', 'bcf', 'bcr'))} FROM cnt",
         "distinct_cells_per_base": f"WITH {CNT} SELECT chrom, pos, ref, cell_type, nc, {counts(('cc',))} FROM cnt",
         "frequent_alternative": f"WITH {CNT}, u AS (" + " UNION ALL ".join(f"SELECT chrom, pos, cell_type, '{x}' AS a, CASE WHEN ref = '{x}' THEN 0 ELSE bc_{x.lower()} END AS n FROM cnt" for x in A6) + "), m AS (SELECT *, max(n) OVER (PARTITION BY chrom, pos, cell_type) AS top FROM u) SELECT chrom, pos, cell_type, string_agg(a, '|' ORDER BY a) FILTER (n = top AND top > 0) AS top_alt FROM m GROUP BY chrom, pos, cell_type",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import calling, clustering, cohort, fusion, genotype, hccv, intervals, metrics, pileup, reads
+from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, metrics, pileup, reads
 from cytoflux.plans import adapter
 from cytoflux.plans.params import Annotation, Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 
@@ -98,6 +98,18 @@ def pileup_counts(spark, sf):
     return pileup.flat(counts(spark, sf), ("bc", "bq", "bcf", "bcr")).drop("nc")
 
 
+@query
+def alignment_tokens(spark, sf):
+    tokens = alignments.read_bases(adapter.alignments(spark, sf))
+    return tokens.groupBy("sample_id", "chrom", "pos", "raw_base").agg(F.count("*").alias("n"), F.sum("base_qual").alias("bq"), F.countDistinct("cb").alias("nc"))
+
+
+@query
+def alignment_pileup(spark, sf):
+    bases = alignments.with_reference(alignments.read_bases(adapter.alignments(spark, sf)), adapter.reference_chunks(spark, sf), adapter.CHUNK)
+    return pileup.flat(pileup.count_bases(bases, COUNTING)).select("chrom", "pos", "ref", "cell_type", "dp", "nc", *[f"{k}_{x.lower()}" for k in pileup.KINDS for x in alleles.ALLELES])
+
+
 @query
 def pileup_by_sample(spark, sf):
     by_sample = pileup.count_bases(adapter.read_bases(spark, sf), Counting(min_bq=5, min_dp=2, min_cc=1), keys=("sample_id",))
