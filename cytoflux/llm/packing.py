@@ -41,6 +41,7 @@ SEGMENT = 1 << 20
 #: Pieces of text whose ids a worker remembers, and documents that are looked up at once.
 REMEMBERED, TEXTS = 1 << 20, 256
 END_OF_DOCUMENT = 0
+END_RAW = array.array("I", [END_OF_DOCUMENT]).tobytes()
 
 
 def _ranges(kind: str) -> str:
@@ -59,7 +60,8 @@ SPECIAL = "<|endoftext|>"
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer, which encodes every distinct piece of text once.
 
-    Such a tokenizer splits a text by `PIECES` and encodes the pieces one by one; frequent pieces are thus looked up.
+    Such a tokenizer splits a text by `PIECES` and encodes the pieces one by one. A single space between other characters always
+    begins a piece, so that what stands between such spaces is looked up, then its pieces are; new pieces go to the tokenizer.
     A text that holds the special token or characters outside `OTHER`'s ranges is encoded as a whole.
     """
 
@@ -69,12 +71,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.pieces, self.chunks = Tokenizer.from_file(path), {}, {}
         texts = [self.tokenizer.decode([i], skip_special_tokens=False) for i in range(self.tokenizer.get_vocab_size())]
-        #: Per id: a sentence may end behind it; it starts with white space.
+        #: Per id: a sentence may end behind it; it holds a line break; it starts with white space; with a space.
         self.ends = np.array([t.rstrip().rstrip("\"')]”’»").endswith((".", "!", "?", "…", "。", "！", "？")) for t in texts])
         self.breaks = np.array(["\n" in t for t in texts])
         self.starts = np.array([t[:1].isspace() for t in texts])
+        self.spaced = np.array([t[:1] == " " for t in texts])
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -82,28 +85,46 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        new = pieces.difference(self.pieces)
+        words = [p for p in new if p[0] == " " and p[1:].isalpha()]
+        # Words with their spaces fall apart into the same pieces again, and only a word's first id starts with a space.
+        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
+        raw, edges = ids.tobytes(), (4 * np.append(np.flatnonzero(self.spaced[ids]), len(ids))).tolist()
+        self.pieces.update(zip(words, (raw[a:b] for a, b in zip(edges, edges[1:])), strict=True))
+        others = list(new.difference(words))
+        self.pieces.update((p, array.array("I", e.ids).tobytes()) for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True))
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        pieces = [PIECES.findall(t) for t in texts]
+        self._learn_pieces(set().union(*pieces))
+        return [b"".join(map(self.pieces.__getitem__, p)) for p in pieces]
+
+    def _learn_chunks(self, chunks: set[str]) -> None:
+        """What follows a single space: its ids with the space's. None: white space meets the space, so that it may begin no piece."""
+        if len(self.chunks) > REMEMBERED:
+            self.chunks.clear()
+        new = list(chunks.difference(self.chunks))
+        self.chunks.update(zip(new, self._by_pieces([f" {c}" for c in new]), strict=True))
+        self.chunks.update((c, None) for c in new if not c or c[0].isspace() or c[-1].isspace())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then `END_OF_DOCUMENT`."""
-        end, out = array.array("I", [END_OF_DOCUMENT]).tobytes(), []
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, found = self.known.get, []
-        for text in texts:
-            whole = SPECIAL in text or OTHER.search(text) is not None
-            pieces = [] if whole else PIECES.findall(text)
-            found.append((self._encoded([text]) if whole else list(map(known, pieces)), pieces))
-        missing = list({p for parts, pieces in found for x, p in zip(parts, pieces) if x is None})
-        self.known.update(zip(missing, self._encoded(missing), strict=True))
-        for parts, pieces in found:
+        raw: list[bytes | None] = [None] * len(texts)
+        chunks = [t.split(" ") for t in texts]
+        plain = [k for k, t in enumerate(texts) if chunks[k][0] and SPECIAL not in t and (t.isascii() or not OTHER.search(t))]
+        self._learn_chunks(set().union(*(chunks[k][1:] for k in plain)))
+        for k, first in zip(plain, self._by_pieces([chunks[k][0] for k in plain]), strict=True):
             try:
-                raw = b"".join(parts)
-            except TypeError:  # some were missing
-                raw = b"".join(map(self.known.__getitem__, pieces))
-            out.append(np.frombuffer(raw + end, "<u4"))
-        return out
+                raw[k] = b"".join([first, *map(self.chunks.__getitem__, chunks[k][1:])] if not chunks[k][0][-1].isspace() else [None])
+            except TypeError:
+                raw[k] = self._by_pieces([texts[k]])[0]
+        for k, text in enumerate(texts):
+            if raw[k] is None:
+                raw[k] = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return [np.frombuffer(r + END_RAW, "<u4") for r in raw]
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Numbers of ids behind which a sentence ends: an id that ends one, then white space; or a line break."""
