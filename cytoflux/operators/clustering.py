@@ -10,24 +10,13 @@ come from hashes of (seed, chain, step, cell, cluster), so a recomputed task dra
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.operators.metrics import shared_pairs
 from cytoflux.plans.params import Clustering
-
-
-def _shared_dir(df: DataFrame) -> None:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cytoflux-checkpoint-"))
+from cytoflux.sources.scratch import shared_dir
 
 
 def uniform(seed: int, *parts: Column | str) -> Column:
@@ -56,7 +45,7 @@ def sample_chains(data: DataFrame, params: Clustering | None = None, clusters: i
     data: cell, mut, value (1, 0; null rows are unknown and don't count). Every chain starts from random clusters.
     """
     params = params or Clustering()
-    _shared_dir(data)
+    shared_dir(data.sparkSession)
     data = data.where(F.col("value").isNotNull()).select("cell", "mut", "value").checkpoint()
     cells = data.select("cell").distinct()
     n = cells.count()

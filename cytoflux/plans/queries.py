@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, metrics, pileup, reads
+from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, reads
 from cytoflux.plans import adapter
 from cytoflux.plans.params import Annotation, Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 
@@ -462,6 +462,11 @@ def mpear_score(spark, sf):
     return metrics.mpear(s, s.where("sample = 0").select("cell", "cluster"))
 
 
+@query
+def ward_clusters(spark, sf):
+    return linkage.best_cut(samples(spark, sf))
+
+
 @query
 def posterior_genotypes(spark, sf):
     s = samples(spark, sf)

@@ -29,4 +29,4 @@ def test_samples_are_exact(spark):
     rows = REGISTRY["per_file_sample"](spark, SF).collect()
     assert {s: sum(r.sample_id == s for r in rows) for s in "ANR"} == dict.fromkeys("ANR", 50)
     assert sorted(map(tuple, rows)) == sorted(map(tuple, REGISTRY["per_file_sample"](spark, SF).collect()))
-    assert ROWS_ONLY == ["betabin_fit", "mcmc_chains", "per_file_sample", "posterior_clusters"]
+    assert ROWS_ONLY == ["betabin_fit", "mcmc_chains", "per_file_sample", "posterior_clusters", "ward_clusters"]
