@@ -1,74 +1,13 @@
-"""Clustering of cells by their mutations: a mixture of Bernoulli profiles by stochastic expectation-maximisation.
-
-The number of clusters is bounded by `clusters`; empty ones take part with a weight from the concentration. A sweep
-computes every cluster's mean profile from the cells in it, and then draws every cell's cluster in proportion to its
-likelihood and the cluster's weight. That is no posterior sampler: profiles are means and not draws, so that the
-spread of the kept clusterings shows their stability and is no posterior probability. A sweep is two aggregations of
-the long matrix (cell, mut, value), and nothing but the profiles (mutations times clusters) is joined with it. Draws
-come from hashes of (seed, chain, step, cell, cluster), so a recomputed task draws the same. Chains are a column.
-"""
+"""Summaries of sampled clusterings: a consensus of the samples, and genotypes of its clusters."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.operators.metrics import shared_pairs
 from cytoflux.plans.params import Clustering
-from cytoflux.sources.scratch import shared_dir
-
-
-def uniform(seed: int, *parts: Column | str) -> Column:
-    """A number in (0, 1) that the parts fix."""
-    return (F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-
-
-def profiles(data: DataFrame, assigned: DataFrame, params: Clustering, clusters: int) -> DataFrame:
-    """chain, mut and, per cluster, the posterior mean of the probability that the mutation is there."""
-    a, b = params.prior
-    joined = data.join(assigned.select("chain", "cell", "cluster"), "cell")
-    of = lambda k, v: F.count_if((F.col("cluster") == k) & (F.col("value") == v))
-    return joined.groupBy("chain", "mut").agg(*[((of(k, 1) + a) / (of(k, 1) + of(k, 0) + a + b)).alias(f"t{k}") for k in range(clusters)])
-
-
-def likelihoods(data: DataFrame, thetas: DataFrame, params: Clustering, clusters: int) -> DataFrame:
-    """chain, cell, l0 ... : the log-likelihood of the cell's known values in each cluster, errors included."""
-    one = lambda k: F.col(f"t{k}") * (1 - params.fn) + (1 - F.col(f"t{k}")) * params.fp
-    term = lambda k: F.log(F.when(F.col("value") == 1, one(k)).otherwise(1 - one(k)))
-    return data.join(thetas, "mut").groupBy("chain", "cell").agg(*[F.sum(term(k)).alias(f"l{k}") for k in range(clusters)])
-
-
-def sample_chains(data: DataFrame, params: Clustering | None = None, clusters: int = 16, keep_every: int = 1) -> DataFrame:
-    """trace: chain, step, cell, cluster, ll (of the cell) for every kept step after the burn-in.
-
-    data: cell, mut, value (1, 0; null rows are unknown and don't count). Every chain starts from random clusters.
-    """
-    params = params or Clustering()
-    shared_dir(data.sparkSession)
-    data = data.where(F.col("value").isNotNull()).select("cell", "mut", "value").checkpoint()
-    cells = data.select("cell").distinct()
-    n = cells.count()
-    start = F.floor(uniform(params.seed, "chain", F.lit(-1), "cell") * clusters).cast("int")
-    assigned = cells.select("cell", F.explode(F.sequence(F.lit(0), F.lit(params.chains - 1))).alias("chain")).withColumn("cluster", start)
-    alpha, burn_in, kept = max(sum(params.dp_alpha), 1e-3), int(params.steps * params.burn_in), None
-    for step in range(params.steps):
-        ll = likelihoods(data, profiles(data, assigned, params, clusters), params, clusters)
-        sizes = assigned.groupBy("chain").agg(*[F.count_if(F.col("cluster") == k).alias(f"n{k}") for k in range(clusters)])
-        scores = [F.col(f"l{k}") + F.log((F.col(f"n{k}") + alpha / clusters) / (n + alpha)) - F.log(-F.log(uniform(params.seed, "chain", F.lit(step), "cell", F.lit(k)))) for k in range(clusters)]
-        drawn = ll.join(sizes, "chain").withColumn("scores", F.array(*scores))
-        cluster = (F.array_position("scores", F.array_max("scores")) - 1).cast("int")
-        drawn = drawn.select("chain", "cell", cluster.alias("cluster"), F.array(*[f"l{k}" for k in range(clusters)]).alias("lls"))
-        assigned = drawn.withColumn("ll", F.element_at("lls", F.col("cluster") + 1)).drop("lls").checkpoint()
-        if step >= burn_in and (step - burn_in) % keep_every == 0:
-            new = assigned.withColumn("step", F.lit(step))
-            kept = new if kept is None else kept.unionByName(new)
-    return kept.select("chain", "step", "cell", "cluster", "ll")
-
-
-def chain_scores(trace: DataFrame) -> DataFrame:
-    """chain, step, ll, n_clusters."""
-    return trace.groupBy("chain", "step").agg(F.sum("ll").alias("ll"), F.countDistinct("cluster").alias("n_clusters"))
 
 
 def consensus(trace: DataFrame) -> DataFrame:

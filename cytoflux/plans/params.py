@@ -95,6 +95,9 @@ class Clustering:
     prior: tuple[float, float] = (1.0, 1.0)
     dp_alpha: tuple[float, float] = (0.001, 5.0)
     seed: int = 42
+    #: The run ends below this scale reduction factor, looked at every check_every steps.
+    psrf_cutoff: float | None = None
+    check_every: int = 50
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, reads
+from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, posterior, reads
 from cytoflux.plans import adapter
 from cytoflux.plans.params import Annotation, Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 
@@ -502,16 +502,18 @@ def cluster_order(spark, sf):
     return metrics.cluster_order(clusterings(spark, sf).select("cell", F.col("pred").alias("cluster")))
 
 
-CHAINS = Clustering(steps=8, chains=2, burn_in=0.25)
+CHAINS = Clustering(steps=24, chains=4, burn_in=0.33, psrf_cutoff=1.05, check_every=8)
+
+
+def chains(spark, sf):
+    return posterior.sample_posterior(adapter.cell_matrix(spark, sf).select("cell", "mut", "value"), CHAINS)
 
 
 @query
 def mcmc_chains(spark, sf):
-    data = adapter.cell_matrix(spark, sf).select("cell", "mut", "value")
-    return clustering.chain_scores(clustering.sample_chains(data, CHAINS, clusters=12))
+    return posterior.chain_scores(chains(spark, sf))
 
 
 @query
 def posterior_clusters(spark, sf):
-    data = adapter.cell_matrix(spark, sf).select("cell", "mut", "value")
-    return clustering.consensus(clustering.sample_chains(data, CHAINS, clusters=12))
+    return clustering.consensus(chains(spark, sf))

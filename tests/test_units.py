@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import calling, clustering, cohort, fusion, genotype, hccv, intervals, metrics, pileup, reads
+from cytoflux.operators import calling, clustering, cohort, fusion, genotype, hccv, intervals, metrics, pileup, posterior, reads
 from cytoflux.plans.params import Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 from cytoflux.sources import tables
 
@@ -251,7 +251,7 @@ def test_clusters_are_found(spark):
     profile = {k: [rng.random() < 0.5 for _ in range(24)] for k in range(3)}
     rows = [(c, m, int(profile[c % 3][m]) if rng.random() > 0.03 else int(not profile[c % 3][m])) for c in range(60) for m in range(24) if rng.random() > 0.1]
     data = spark.createDataFrame(rows, "cell long, mut long, value int").repartition(4, "cell").coalesce(4)
-    trace = clustering.sample_chains(data, Clustering(steps=10, chains=2, burn_in=0.6, seed=5), clusters=8)
+    trace = posterior.sample_posterior(data, Clustering(steps=10, chains=2, burn_in=0.6, seed=5), clusters=8)
     found = clustering.consensus(trace).withColumn("true", F.col("cell") % 3)
     assert found.count() == 60 and metrics.adjusted_rand(found, "cluster", "true").first().ari > 0.8
     called = clustering.cluster_genotypes(data, found.select("cell", "cluster"))
