@@ -2,8 +2,10 @@
 
 Paragraphs (lines between blank ones) are cut into overlapping pieces of several lengths, each a sparse vector of
 hashed word uni- and bigrams. Softmax regression over the licence families and `unknown` gives each piece calibrated
-probabilities; every family that competes with `unknown` somewhere is then sought there, and confirmed if enough of a
-template's words stand in order. No piece is passed over: only the model's weights decide where to look.
+probabilities; every family that competes with `unknown` somewhere is then sought there. A template is confirmed where its
+key phrases stand word by word, enough of its words stand in order around them, and no negation stands in front; families
+that share most of their notice (GPL, LGPL and AGPL, the Creative Commons ones) differ in their key phrases. No piece is
+passed over: only the model's weights decide where to look.
 
 The model learns from noisy copies of the templates, from texts that only talk about licences, and, as `unknown`,
 from a bounded sample of the documents' own pieces without a template (`SAMPLE`). The temperature is fitted on other
@@ -35,19 +37,42 @@ PROPOSED, CONFIDENT, CONFIRMED = 0.2, 0.6, 0.7
 #: Documents of which one piece each is learned from, or calibrated with.
 SAMPLE = 2000
 UNKNOWN = "unknown"
-#: Fixed texts: the sentences by which each family is named or granted.
+#: Words of the text more than a template has in which it must stand.
+SLACK = 8
+#: Fixed texts: the notices by which each family is named or granted, public texts of the licences. Key phrases are in brackets; # is any version number.
 TEMPLATES = {
-    "apache-2.0": ["licensed under the apache license version 2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistributed under the terms of the bsd license", "released under the bsd 3 clause license"],
-    "cc-by": ["licensed under cc by 4.0", "this work is licensed under a creative commons attribution 4.0 international license", "licensed under cc by sa 4.0"],
-    "cc-by-nc": ["licensed under cc by nc 4.0", "this work is licensed under a creative commons attribution noncommercial 4.0 international license"],
-    "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "dedicated to the public domain under cc0 1.0"],
-    "gpl": ["this work is licensed under the gnu general public license version 3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "you should have received a copy of the gnu general public license along with this program"],
-    "lgpl": ["licensed under the gnu lesser general public license version 2.1", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"],
-    "mit": ["released under the mit license", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", "the software is provided as is without warranty of any kind express or implied"],
-    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2.0", "licensed under the mozilla public license version 2.0"],
-    "proprietary": ["all rights reserved", "no part of this publication may be reproduced without prior written permission", "unauthorized copying of this file is strictly prohibited proprietary and confidential"],
+    "agpl": ["this program is free software you can redistribute it and or modify it under the terms of the [gnu affero general public license] as published by the free software foundation", "licensed under the [gnu affero general public license]", "licensed under the [agpl]"],
+    "apache-2.0": ["licensed under the [apache license version 2.0]", "licensed under the [apache license 2.0]", "licensed under the [apache 2.0] license", "you may not use this file except in compliance with the license you may obtain a copy of the license at [www apache org licenses] license 2.0", "you may not use this file except [in compliance with the license] you may obtain a copy of the license at", "unless required by applicable law or agreed to in writing software [distributed under the license is distributed on an as is basis]"],
+    "boost": ["permission is hereby granted free of charge to any [person or organization obtaining a copy] of the software and accompanying documentation covered by this license", "distributed under the [boost software license] version 1.0"],
+    "bsd": ["[redistribution and use in source and binary forms] with or without modification are permitted provided that the following conditions are met", "redistributed under the terms of the [bsd license]", "released under the [bsd # clause] license", "this source code is licensed under the [bsd style license] found in the license file"],
+    "cc-by": ["licensed under [cc by #]", "this work is licensed under a [creative commons attribution #] international license"],
+    "cc-by-nc": ["licensed under [cc by nc #]", "this work is licensed under a [creative commons attribution noncommercial #] international license"],
+    "cc-by-nc-nd": ["licensed under [cc by nc nd #]", "this work is licensed under a [creative commons attribution noncommercial noderivatives #] international license", "this work is licensed under a [creative commons attribution noncommercial noderivs #] license"],
+    "cc-by-nc-sa": ["licensed under [cc by nc sa #]", "this work is licensed under a [creative commons attribution noncommercial sharealike #] international license"],
+    "cc-by-nd": ["licensed under [cc by nd #]", "this work is licensed under a [creative commons attribution noderivatives #] international license", "this work is licensed under a [creative commons attribution noderivs #] license"],
+    "cc-by-sa": ["licensed under [cc by sa #]", "this work is licensed under a [creative commons attribution sharealike #] international license"],
+    "cc0": ["to the extent possible under law the author has [waived all copyright and related or neighboring rights] to this work", "dedicated to the public domain under [cc0]", "this work is marked with [cc0 1.0]"],
+    "epl": ["this program and the accompanying materials are made available under the terms of the [eclipse public license]", "licensed under the [eclipse public license]"],
+    "gpl": ["this program is free software you can redistribute it and or modify it under the terms of the [gnu general public license] as published by the free software foundation", "this work is licensed under the [gnu general public license]", "you should have received a copy of the [gnu general public license] along with this program"],
+    "gpl-2.0": ["this program is free software you can redistribute it and or modify it under the terms of the [gnu general public license] as published by the free software foundation either [version 2] of the license or at your option any later version", "this work is licensed under the [gnu general public license version 2]", "under the terms of the [gnu general public license version 2] as published by the free software foundation", "licensed under the [gpl v2]", "licensed under the [gplv2]"],
+    "gpl-3.0": ["this program is free software you can redistribute it and or modify it under the terms of the [gnu general public license] as published by the free software foundation either [version 3] of the license or at your option any later version", "this work is licensed under the [gnu general public license version 3]", "under the terms of the [gnu general public license version 3] as published by the free software foundation", "licensed under the [gpl v3]", "licensed under the [gplv3]"],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose [with or without fee is hereby granted] provided that the above copyright notice and this permission notice appear in all copies", "licensed under the [isc license]"],
+    "lgpl": ["this library is free software you can redistribute it and or modify it under the terms of the [gnu lesser general public license] as published by the free software foundation", "you can redistribute it and or modify it under the terms of the [gnu library general public license]", "licensed under the [gnu lesser general public license]", "you should have received a copy of the [gnu lesser general public license] along with this library", "licensed under the [lgpl]"],
+    "mit": ["released under the [mit license]", "permission is hereby granted free of charge to any [person obtaining a copy of this software and associated documentation files] the software to deal in the software without restriction", "[permission is hereby granted free of charge to any person obtaining a copy] of this software and associated documentation files the software to deal in the software without restriction"],
+    "mpl-2.0": ["this source code form is subject to the terms of the [mozilla public license v 2.0]", "licensed under the [mozilla public license version 2.0]", "subject to the terms of the [mozilla public license] version 2.0"],
+    "proprietary": ["[all rights reserved]", "[no part of this publication may be reproduced] without prior written permission", "unauthorized copying of this file is [strictly prohibited] proprietary and confidential"],
+    "unlicense": ["this is [free and unencumbered software] released into the public domain", "anyone is free to copy modify publish use compile sell or distribute this software either in [source code form or as a compiled binary] for any purpose commercial or non commercial and by any means", "released under the [unlicense]"],
 }
+#: Fixed identifiers of SPDX lines.
+IDENTIFIERS = {
+    "agpl": ["agpl 3.0"], "apache-2.0": ["apache 2.0"], "boost": ["bsl 1.0"], "bsd": ["bsd 2 clause", "bsd 3 clause", "0bsd"], "cc-by": ["cc by #"], "cc-by-nc": ["cc by nc #"], "cc-by-nc-nd": ["cc by nc nd #"],
+    "cc-by-nc-sa": ["cc by nc sa #"], "cc-by-nd": ["cc by nd #"], "cc-by-sa": ["cc by sa #"], "cc0": ["cc0 1.0"], "epl": ["epl #"], "gpl-2.0": ["gpl 2.0"], "gpl-3.0": ["gpl 3.0"], "isc": ["isc"], "lgpl": ["lgpl #"], "mit": ["mit"],
+    "mpl-2.0": ["mpl 2.0"], "unlicense": ["unlicense"],
+}
+#: Words that, between the NEAR ones in front of a match and its last key phrase, make it no grant, if the template hasn't got them.
+NEGATIONS, NEAR = frozenset("not no never neither nor without isn aren wasn cannot".split()), 3
+#: Words that every notice uses, so that they say nothing by themselves.
+RESERVED = "all rights reserved"
 #: Sentences without a grant.
 OTHERS = ["you need a license to drive a car", "the license of the driver was taken away", "software and files are copied every night", "the public works were permitted by the city", "terms and conditions of the offer apply", "the general was free to speak in public", "version two of the program is out", "creative people and common sense", "a copy of the report was sent to the author", "the rights of all people were reserved for them", "the work of the foundation is published", "permission was granted to enter the building"]
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)?")
@@ -57,14 +82,37 @@ def words(paragraph: str) -> list[str]:
     return WORD.findall(paragraph.lower())
 
 
-def _worded() -> list[tuple[str, list[str], Counter, frozenset[str]]]:
-    """family, template, its words counted, and those that no other family's templates have."""
-    of = {family: [words(t) for t in some] for family, some in TEMPLATES.items()}
-    others = {family: {w for f, some in of.items() if f != family for t in some for w in t} for family in of}
-    return [(family, t, Counter(t), frozenset(t) - others[family]) for family, some in of.items() for t in some]
+VERSION = re.compile(r"\d+(?:\.\d+)?")
+
+
+class Template:
+    """A family's notice: its words, its key phrases (runs of places in it), and the words that choose where to look."""
+
+    def __init__(self, family: str, text: str):
+        self.family, self.text, self.keys, self.words = family, text.replace("[", "").replace("]", ""), [], []
+        for k, part in enumerate(re.split(r"[\[\]]", text)):
+            of_part = part.split()
+            if k % 2:
+                self.keys.append((len(self.words), len(self.words) + len(of_part)))
+            self.words += of_part
+        self.bits = {w: sum(1 << j for j, v in enumerate(self.words) if v == w) for w in set(self.words)}
 
+    def shown(self, tokens: list[str]) -> list[str]:
+        """The tokens with version numbers as #, where the template asks for any."""
+        return [("#" if w not in self.bits and VERSION.fullmatch(w) else w) for w in tokens] if "#" in self.bits else tokens
 
-WORDED = _worded()
+    def fits(self, tokens: list[str]) -> bool:
+        """Whether the longest common subsequence is long enough, by Hyyro's bit-parallel recurrence."""
+        n, row = len(self.words), (1 << len(self.words)) - 1
+        for w in tokens:
+            m = self.bits.get(w, 0) & row
+            row = ((row + m) | (row - m)) & ((1 << n) - 1)
+        return n - row.bit_count() >= CONFIRMED * n
+
+
+ALL_TEMPLATES = [Template(f, t) for f, some in TEMPLATES.items() for t in some] + [Template(f, f"[spdx license identifier {i}]") for f, some in IDENTIFIERS.items() for i in some]
+#: The templates of each family.
+BY_FAMILY = {f: [t for t in ALL_TEMPLATES if t.family == f] for f in TEMPLATES}
 
 
 @lru_cache(maxsize=1 << 18)
@@ -99,10 +147,10 @@ def _examples(rng: random.Random, per_class: int) -> list[tuple[list[str], str]]
     """Generated pieces: noisy copies of the templates, and others that use some of their words."""
     syllables = ["an", "be", "con", "der", "en", "fa", "ti", "on", "re", "la", "que", "ou"]
     noise = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(400)] + "the of and to in is that it for as with was on by".split()
-    some = [w for _, t, _, _ in WORDED for w in t]
+    some = [w for t in ALL_TEMPLATES for w in t.words if w != "#"]
     out = []
     for _ in range(per_class):
-        out += [(_noisy(rng, words(rng.choice(t)), noise), family) for family, t in sorted(TEMPLATES.items())]
+        out += [(_noisy(rng, [rng.choice(("3.0", "4.0")) if w == "#" else w for w in rng.choice(t).words], noise), family) for family, t in sorted(BY_FAMILY.items())]
         base = words(rng.choice(OTHERS)) if rng.random() < 0.5 else [rng.choice(noise) for _ in range(rng.randrange(1, 30))]
         out.append((_noisy(rng, base, noise) + [rng.choice(some) for _ in range(rng.randrange(0, 3))], UNKNOWN))
     return out
@@ -141,15 +189,78 @@ def background(docs: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) ->
     return [t for t in (words(r["piece"]) for r in rows) if t]
 
 
-def match(template: list[str], own: frozenset[str], piece: list[str]) -> list[int] | None:
-    """Places of the template's words in order in the piece, if they are enough and one of them is the family's own."""
-    places = in_order(template, piece)
-    return places if len(places) >= CONFIRMED * len(template) and (not own or any(piece[i] in own for i in places)) else None
+def occurrences(phrase: list[str], places: dict[str, list[int]], tokens: list[str]) -> list[int]:
+    """Where the phrase begins in the tokens, whose places are listed by word."""
+    rarest = min(range(len(phrase)), key=lambda j: len(places.get(phrase[j], ())))
+    return [i - rarest for i in places.get(phrase[rarest], ()) if i >= rarest and tokens[i - rarest : i - rarest + len(phrase)] == phrase]
+
+
+def matches(tokens: list[str], templates: list[Template], allowed=None) -> list[tuple[str, int, int, int]]:
+    """family, first and last place, and words of the templates' matches that nothing denies. allowed(template, place): whether to look there."""
+    shown = [("#" if VERSION.fullmatch(w) else w) for w in tokens]
+    plain: dict[str, list[int]] = {}
+    for i, w in enumerate(tokens):
+        plain.setdefault(w, []).append(i)
+    versions = [i for i, w in enumerate(shown) if w == "#"]
+    out = []
+    for t in templates:
+        any_version = "#" in t.bits
+        text, places = (t.shown(tokens), plain | {"#": versions}) if any_version else (tokens, plain)
+        n, upto = len(t.words), 0
+        begin, end = t.keys[-1]
+        for at in occurrences(t.words[begin:end], places, text):
+            # A place before upto belongs to the template's match before.
+            if at < upto or (allowed is not None and not allowed(t, at)):
+                continue
+            low, high = max(upto, at - begin - SLACK), min(len(text), at + n - begin + SLACK)
+            piece = text[low:high]
+            if not t.fits(piece):
+                continue
+            if any(not _stands(t.words[a:b], text[low : at + 1 + b - a]) for a, b in t.keys[:-1]):
+                continue
+            found = [low + x for x in in_order(t.words, piece)]
+            first, last = min(found[0], at), max(found[-1], at + end - begin - 1)
+            if any(w in NEGATIONS and w not in t.bits for w in tokens[max(first - NEAR, 0) : at]):
+                continue
+            out.append((t.family, first, last, len(found)))
+            upto = last + 1
+    return out
+
+
+def _stands(phrase: list[str], tokens: list[str]) -> bool:
+    n = len(phrase)
+    return any(tokens[i : i + n] == phrase for i in range(len(tokens) - n + 1))
+
+
+def settled(found: list[tuple[str, int, int, int]], tokens: list[str]) -> list[tuple[str, int, int, int]]:
+    """Matches that are no part of a longer one.
+
+    A match between the ends of a match of more words is that one (another family's, if it is); reserved rights alone
+    are none beside a granted licence. One sweep in order of the places: a match spans no more than a template and SLACK.
+    """
+    found = sorted(set(found), key=lambda m: (m[1], -m[2], m[0]))
+    reach, start, out = max(len(t.words) for t in ALL_TEMPLATES) + 2 * SLACK, 0, []
+    for family, low, high, n in found:
+        while found[start][1] < low - reach:
+            start += 1
+        inside = False
+        for k in range(start, len(found)):
+            other, a, b, more = found[k]
+            if a > low:
+                break
+            if b >= high and more > n:
+                inside = True
+                break
+        if not inside:
+            out.append((family, low, high, n))
+    if any(f != "proprietary" for f, *_ in out):
+        out = [m for m in out if " ".join(tokens[m[1] : m[2] + 1]) != RESERVED]
+    return out
 
 
 def found_in(tokens: list[str]) -> set[str]:
     """The families of which a template stands in the tokens, by comparison alone."""
-    return {f for f, t, c, own in WORDED if sum((Counter(w for w in tokens if w in c) & c).values()) >= CONFIRMED * len(t) and match(t, own, tokens)}
+    return {m[0] for m in settled(matches(tokens, ALL_TEMPLATES), tokens)}
 
 
 def train(pieces_of_documents: list[list[str]] | tuple = (), per_class: int = 120) -> Model:
@@ -201,60 +312,34 @@ def in_order(template: list[str], tokens: list[str]) -> list[int]:
 def grants(tokens: list[str], model: Model) -> tuple[list[tuple[str, float, int, int]], float]:
     """family, probability against unknown, first and last token of every template that is confirmed; and the least
     probability of unknown among the pieces.
-
-    A match between the ends of another family's match of more words is that family's: cc by within cc by nc.
     """
     if not tokens:
         return [], 1.0
     first, end = pieces(len(tokens))
     p = model.probabilities(tokens, first, end)
-    unknown = p[:, model.families.index(UNKNOWN)]
-    met: list[tuple[str, set[int]]] = []
-    upto = [0] * len(WORDED)
-    shares = p / (p + unknown[:, None])
-    licence = np.delete(shares, model.families.index(UNKNOWN), 1)
-    for i in np.flatnonzero((licence >= PROPOSED).any(1)):
-        for k, (family, template, counted, own) in enumerate(WORDED):
-            if shares[i, model.families.index(family)] < PROPOSED:
-                continue
-            n = len(template)
-            while True:
-                a, e = max(upto[k], int(first[i]) - n - 4), int(end[i]) + n + 4
-                piece = tokens[a:e]
-                if sum((Counter(w for w in piece if w in counted) & counted).values()) < CONFIRMED * n:
-                    break
-                places = _earliest(template, own, piece)
-                if places is None:
-                    break
-                met.append((family, {a + x for x in places}))
-                upto[k] = a + places[-1] + 1
+    at_unknown = model.families.index(UNKNOWN)
+    unknown = p[:, at_unknown]
+    proposed = p >= PROPOSED * (p + unknown[:, None])
+    proposed[:, at_unknown] = False
+    if not proposed.any():
+        return [], float(unknown.min())
+    # Per token, the families that some piece around it proposes.
+    edges = np.zeros((len(tokens) + 1, len(model.families)), np.int64)
+    np.add.at(edges, first, proposed)
+    np.subtract.at(edges, end, proposed)
+    looked = edges.cumsum(0) > 0
+    index = {f: k for k, f in enumerate(model.families)}
+    templates = [t for f in np.flatnonzero(proposed.any(0)) for t in BY_FAMILY[model.families[f]]]
+    met = matches(tokens, templates, lambda t, at: looked[max(at - SLACK, 0) : at + SLACK, index[t.family]].any())
     out = []
-    for family, at in met:
-        if any(within(at, other) for f, other in met if f != family):
-            continue
-        low, high = min(at), max(at)
+    for family, low, high, _ in settled(met, tokens):
         q = model.whole(tokens[low : high + 1])
-        share = float(q[model.families.index(family)] / (q[model.families.index(family)] + q[model.families.index(UNKNOWN)]))
+        share = float(q[index[family]] / (q[index[family]] + q[at_unknown]))
         if share >= CONFIDENT:
             out.append((family, share, low, high))
     return sorted(out, key=lambda g: (g[2], g[0])), float(unknown.min())
 
 
-def within(at: set[int], other: set[int]) -> bool:
-    """Whether a match lies between the ends of another one that has more words."""
-    return min(other) <= min(at) and max(at) <= max(other) and len(at) < len(other)
-
-
-def _earliest(template: list[str], own: frozenset[str], piece: list[str]) -> list[int] | None:
-    """Places of a match that begins as early as any, within a few words more than the template's length."""
-    n = len(template)
-    inside = set(template)
-    for a in (i for i, w in enumerate(piece) if w in inside):
-        if (places := match(template, own, piece[a : a + n + 8])) is not None:
-            return [a + x for x in places]
-    return None
-
-
 def classify(paragraph: str, model: Model) -> tuple[str, float]:
     """The likeliest of the paragraph's families and its probability; unknown, with the least probability that any piece has of it, if none is confirmed."""
     found, unknown = grants(words(paragraph), model)

@@ -169,23 +169,43 @@ def targets(sizes: dict, weights=(1, 2, 3), most=3):
         fixed |= {s: most * sizes[s] for s in over}
 
 
-def licence_families(text):
-    """Families with a template of which 70 % of the words stand in order at some place of a paragraph; a match within a longer one of another family doesn't count."""
-    from cytoflux.llm import licences
+def licence_families(text, templates, share=0.7, slack=8):
+    """Families with a template whose bracketed phrases all stand in a window that has 70 % of its words in order; no
+    negation from three words before it up to its last phrase; a match within a longer one, and reserved rights beside a grant, don't count. templates: (family, text).
 
+    Every window of every paragraph is looked at, by regular expressions and a table of common subsequences.
+    """
     found = set()
-    for part in licences.paragraphs(text):
-        tokens = [w for _, line in part for w in licences.words(line)]
+    for part in re.split(r"\n[^\S\n]*(?=\n|$)", (text or "").lower()):
+        tokens = re.findall(r"[a-z0-9]+(?:\.[0-9]+)?", part)
         met = []
-        for family, template, counted, own in licences.WORDED:
-            n = len(template)
+        for family, template in templates:
+            phrases = [" ".join(r"\d+(?:\.\d+)?" if w == "#" else re.escape(w) for w in p.split()) for p in re.findall(r"\[([^]]*)\]", template)]
+            words = re.sub(r"[\[\]]", "", template).split()
+            if not all(re.search(rf"(?<!\S){p}(?!\S)", " ".join(tokens)) for p in phrases):
+                continue
             for a in range(len(tokens)):
-                piece = tokens[a : a + n + 8]
-                if piece[0] in counted and sum(w in counted for w in piece) >= 0.7 * n:
-                    places = licences.in_order(template, piece)
-                    if len(places) >= 0.7 * n and (not own or own & {piece[i] for i in places}):
-                        met.append((family, {a + x for x in places}))
-        found |= {f for f, at in met if not any(licences.within(at, other) for g, other in met if g != f)}
+                piece = tokens[a : a + len(words) + slack]
+                joined = " ".join(piece)
+                if not all(re.search(rf"(?<!\S){p}(?!\S)", joined) for p in phrases):
+                    continue
+                shown = ["#" if "#" in words and w not in words and re.fullmatch(r"\d+(\.\d+)?", w) else w for w in piece]
+                if shown[0] not in words:
+                    continue
+                best = [[0] * (len(words) + 1) for _ in range(len(shown) + 1)]
+                for i, x in enumerate(shown):
+                    for j, y in enumerate(words):
+                        best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+                n = best[-1][-1]
+                key = len(joined[: [m.start() for m in re.finditer(rf"(?<!\S){phrases[-1]}(?!\S)", joined)][0]].split())
+                denied = {"not", "no", "never", "neither", "nor", "without", "isn", "aren", "wasn", "cannot"} - set(words)
+                if n >= share * len(words) and not denied & set(tokens[max(a - 3, 0) : a + key]):
+                    end = next(i for i, row in enumerate(best) if row[-1] == n)
+                    met.append((family, a, a + end, n))
+        left = {(f, tuple(tokens[a:b])) for f, a, b, n in met if not any(c <= a and b <= d and n < m for g, c, d, m in met if g != f)}
+        if any(f != "proprietary" for f, _ in left):
+            left = {x for x in left if x[0] != "proprietary" or x[1][-3:] != ("all", "rights", "reserved")}
+        found |= {f for f, _ in left}
     return ",".join(sorted(found))
 
 
