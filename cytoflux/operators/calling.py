@@ -34,16 +34,18 @@ def call_cell_types(counts: DataFrame, params: Calling | None = None) -> DataFra
     """
     params = params or Calling()
     callable_ = (F.col("dp") >= params.min_cov) & (F.col("nc") >= params.min_cells)
-    alt = lambda x: F.when(
-        callable_ & (F.col("ref") != x) & (at(F.col("bc"), F.lit(x)) > 0),
-        F.struct(
-            F.lit(x).alias("alt"), at(F.col("bc"), F.lit(x)).alias("bc"), at(F.col("cc"), F.lit(x)).alias("cc"),
-            fraction(at(F.col("bc"), F.lit(x)), F.col("dp")).alias("vaf"), fraction(at(F.col("cc"), F.lit(x)), F.col("nc")).alias("mcf"),
-            tail(at(F.col("bc"), F.lit(x)), F.col("dp"), *params.reads_ab).alias("p_bc"), tail(at(F.col("cc"), F.lit(x)), F.col("nc"), *params.cells_ab).alias("p_cc"),
-            *([fisher(at(F.col("bcf"), F.lit(x)), at(F.col("bcr"), F.lit(x)), at(F.col("bcf"), F.col("ref")), at(F.col("bcr"), F.col("ref"))).alias("p_strand")] if params.fisher_cutoff != 1 else []),
-        ),
-    )
-    out = counts.withColumn("callable", callable_).withColumn("alts", F.array_compact(F.array(*[alt(x) for x in sorted(BASES)])))
+    of = lambda x: F.struct(F.lit(x).alias("alt"), *[at(F.col(k), F.lit(x)).alias(k) for k in ("bc", "cc", "bcf", "bcr")])
+    candidates = F.filter(F.array(*map(of, sorted(BASES))), lambda c: F.col("callable") & (c["alt"] != F.col("ref")) & (c["bc"] > 0))
+
+    def tested(c: Column) -> Column:
+        strand = [fisher(c["bcf"], c["bcr"], at(F.col("bcf"), F.col("ref")), at(F.col("bcr"), F.col("ref"))).alias("p_strand")] if params.fisher_cutoff != 1 else []
+        return F.struct(
+            c["alt"].alias("alt"), c["bc"].alias("bc"), c["cc"].alias("cc"), fraction(c["bc"], F.col("dp")).alias("vaf"), fraction(c["cc"], F.col("nc")).alias("mcf"),
+            tail(c["bc"], F.col("dp"), *params.reads_ab).alias("p_bc"), tail(c["cc"], F.col("nc"), *params.cells_ab).alias("p_cc"), *strand,
+        )
+
+    # Written once for all bases, and generated, so that Spark doesn't copy the tests into whatever looks at a candidate.
+    out = counts.withColumn("callable", callable_).withColumn("alts", F.explode(F.array(F.transform(candidates, tested))))
     low = lambda name: F.array_min(F.transform("alts", lambda a: a[name]))
     p, q, first = low("p_bc"), low("p_cc"), F.get("alts", 0)
     cascade = (

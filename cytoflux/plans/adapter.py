@@ -115,8 +115,10 @@ def fusion_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.withColumn("SpliceType", F.when(F.col("part") == 2, "INCL_NON_REF_SPLICE").otherwise("ONLY_REF_SPLICE")).drop("part")
 
 
-def fusion_barcodes(spark: SparkSession) -> DataFrame:
-    return spark.range(20).select(F.concat(F.lit("CB"), F.col("id").cast("string")).alias("cb"), cell_type("id").alias("cell_type"))
+def fusion_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the events' users, one row each."""
+    cells = table(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("id")).distinct()
+    return cells.select(F.concat(F.lit("CB"), F.col("id").cast("string")).alias("cb"), cell_type("id").alias("cell_type"))
 
 
 def intervals(spark: SparkSession, sf_dir: str, length: str) -> DataFrame:

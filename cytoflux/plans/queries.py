@@ -281,7 +281,7 @@ def fusion_rename(spark, sf):
 
 @query
 def fusion_filter(spark, sf):
-    allf, _, _ = fusion.filter_fusions(adapter.fusion_predictions(spark, sf), adapter.fusion_barcodes(spark), FUSION)
+    allf, _, _ = fusion.filter_fusions(adapter.fusion_predictions(spark, sf), adapter.fusion_barcodes(spark, sf), FUSION)
     return allf.select("fusion", "umi_cancer", "umi_noncancer", "bc_cancer", "bc_noncancer", F.round("mcf_cancer", 6).alias("mcf_cancer"), F.round("mcf_noncancer", 6).alias("mcf_noncancer"), "decision")
 
 
@@ -291,12 +291,16 @@ def variants(spark, sf):
     )
 
 
-def genotypes(spark, sf):
-    return genotype.genotype_cells(variants(spark, sf), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2))
+def genotypes(spark, sf, dense=True):
+    return genotype.genotype_cells(variants(spark, sf), adapter.read_bases(spark, sf), adapter.barcodes(spark, sf), Genotype(min_bq=5, p_value=0.2), dense)
+
+
+def variant_keys(spark, sf):
+    return variants(spark, sf).select(alleles.variant_key(F.col("chrom"), F.col("pos"), F.col("alt")).alias("key")).distinct()
 
 
 def fusion_cells(spark, sf):
-    allf, _, long = fusion.filter_fusions(adapter.fusion_predictions(spark, sf), adapter.fusion_barcodes(spark), FUSION)
+    allf, _, long = fusion.filter_fusions(adapter.fusion_predictions(spark, sf), adapter.fusion_barcodes(spark, sf), FUSION)
     return long.select("fusion", F.col("bc").alias("cb"))
 
 
@@ -312,28 +316,28 @@ def genotype_status(spark, sf):
 
 @query
 def matrix_pivot(spark, sf):
-    return genotype.to_rows(genotypes(spark, sf), "mutated")
+    return genotype.to_rows(variant_keys(spark, sf), genotypes(spark, sf, dense=False), "mutated", adapter.barcodes(spark, sf).count())
 
 
 @query
 def snv_fusion_union(spark, sf):
-    return genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).groupBy("key").agg(F.count("*").alias("n"), F.sum("dp").cast("long").alias("dp"), F.count("mutated").alias("n_known"), F.first("is_fusion").alias("is_fusion"))
+    return genotype.key_totals(variant_keys(spark, sf), genotypes(spark, sf, dense=False), fusion_cells(spark, sf), adapter.barcodes(spark, sf).count())
 
 
 @query
 def matrix_filter(spark, sf):
-    long = genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf))
-    return genotype.filter_matrix(long, MATRIX).select("key", "cb", F.col("mutated").cast("long").alias("mutated"))
+    long = genotype.with_fusions(genotypes(spark, sf, dense=False), fusion_cells(spark, sf))
+    return genotype.filter_matrix(long, MATRIX, dense=True).select("key", "cb", F.col("mutated").cast("long").alias("mutated"))
 
 
 @query
 def natural_sort(spark, sf):
-    return genotype.natural_rank(genotype.with_fusions(genotypes(spark, sf), fusion_cells(spark, sf)).select("key").distinct())
+    return genotype.natural_rank(variant_keys(spark, sf).union(fusion_cells(spark, sf).select("fusion")).distinct())
 
 
 @query
 def reannotate_cells(spark, sf):
-    return hccv.reannotate(genotypes(spark, sf), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
+    return hccv.reannotate(genotypes(spark, sf, dense=False), fusion_cells(spark, sf), adapter.barcodes(spark, sf), REANNOTATION).select("cb", "before", "cell_type", "n_covered", "n_mutated", "n_fusions")
 
 
 @query
