@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Multipliers of the two polynomial hashes; together they tell strings apart by 128 bits.
-MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Multiplier of the polynomial hash. Strings can be built on which any polynomial modulo 2 ** 64 agrees, so that it
+#: proposes equal strings and never decides.
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -25,14 +26,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hashes:
     """Hashes of any substrings of one byte string, by differences of a polynomial's prefix sums."""
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    _powers: tuple[np.ndarray, np.ndarray] | None = None
 
-    def __init__(self, data: np.ndarray, which: int = 0):
+    def __init__(self, data: np.ndarray):
         n = len(data)
-        if which not in Hashes._powers or n >= len(Hashes._powers[which][0]):
-            base, size = MULTIPLIERS[which], max(1 << 16, 2 * n)
-            Hashes._powers[which] = powers(base, size), powers(np.uint64(pow(int(base), -1, 1 << 64)), size)
-        up, self.down = Hashes._powers[which]
+        if Hashes._powers is None or n >= len(Hashes._powers[0]):
+            size = max(1 << 16, 2 * n)
+            Hashes._powers = powers(MULTIPLIER, size), powers(np.uint64(pow(int(MULTIPLIER), -1, 1 << 64)), size)
+        up, self.down = Hashes._powers
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=self.sums[1:])
 

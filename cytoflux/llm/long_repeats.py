@@ -8,10 +8,11 @@ stretches of text that they span.
 
 1. Every stretch becomes one row: hash of the anchor, hashes of the stretch, place. Anchors seen once drop out in an
    aggregation that combines before the shuffle.
-2. Stretches that agree as a whole (in 128 bits) are represented by the first; the others' suffixes all have a
-   previous factor. Where an anchor has one kind of stretch, that is all.
-3. The representatives of an anchor are compared inside their block: suffixes in order of their bytes, ties by
-   place, in which the previous and the next smaller place are neighbours (`factors`).
+2. Stretches that agree as a whole (in the 128 bits of a BLAKE2 digest) are represented by the first; the others' suffixes
+   all have a previous factor. Where an anchor has one kind of stretch, that is all.
+3. The representatives of an anchor are compared inside their block: suffixes in order of their bytes, ties by place, with
+   the bytes that neighbours share; from these, previous and next smaller places give the lengths of the longest previous
+   factors, greater places those of the next ones (`factors`). Factors of LENGTH bytes go.
 """
 
 from __future__ import annotations
@@ -52,7 +53,11 @@ def _stretches(docs: DataFrame, length: int, bits: int, whole: bool) -> DataFram
                 grams = of.runs(GRAM)
                 at, first, last = anchors(grams, length - GRAM + 1)
                 end = last + length
-                parts.append((grams[at] & kept, of.of(first, end) & kept, *((Hashes(data, 1).of(first, end), (first << 32) | end) if whole else ())))
+                if whole:
+                    digests = _digests(data, first, end)
+                    parts.append((grams[at] & kept, digests[:, 0] & kept, digests[:, 1], (first << 32) | end))
+                else:
+                    parts.append((grams[at] & kept, of.of(first, end) & kept))
                 keys += [key] * len(at) if whole else []
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * (4 if whole else 2)
             out = pd.DataFrame({n: c.view(np.int64) for n, c in zip([*KIND, "place"] if whole else KIND[:2], columns, strict=True)})
@@ -62,6 +67,13 @@ def _stretches(docs: DataFrame, length: int, bits: int, whole: bool) -> DataFram
     return docs.select("key", "text").mapInPandas(run, schema)
 
 
+def _digests(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two 64-bit halves of the BLAKE2 digest of each data[first:end]: strings that agree in both are taken for equal."""
+    view = memoryview(np.ascontiguousarray(data))
+    raw = b"".join([hashlib.blake2b(view[a:e], digest_size=16, key=b"long-repeats").digest() for a, e in zip(first.tolist(), end.tolist(), strict=True)])
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
+
+
 def _suffixes(lengths: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of stretches laid end to end: which one each suffix of `length` bytes or more belongs to, and where it starts."""
     n = np.maximum(lengths - length + 1, 0)
@@ -98,17 +110,18 @@ def _names(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def suffix_order(data: np.ndarray, at: np.ndarray, length: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(data: np.ndarray, at: np.ndarray, length: int, bits: int = 64, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Of the suffixes at the places `at`, ascending, those whose first `length` bytes may occur twice: their numbers in
     order of these bytes, ties by place, and the rank of the bytes, equal for equal ones.
 
     Suffixes whose hash no other one has are left out: they have no factor of that length. Of those with equal
     hashes one is ordered, and the others are compared with it byte by byte; any that differ are ordered themselves.
+    every: suffixes of any hash have a place in the order.
     """
     hashes = Hashes(data).runs(length)[at] & np.uint64((1 << bits) - 1)
     order = np.argsort(hashes, kind="stable")
     new = np.r_[True, hashes[order][1:] != hashes[order][:-1]] if len(order) else np.zeros(0, bool)
-    several = ~(new & np.r_[new[1:], True]) if len(order) else new
+    several = ~(new & np.r_[new[1:], True]) | every if len(order) else new
     order, new = order[several], new[several]
     words, one = _big_endian(data), np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     same = np.ones(len(order), bool)
@@ -123,14 +136,50 @@ def suffix_order(data: np.ndarray, at: np.ndarray, length: int, bits: int = 64)
     return order[by], rank[by]
 
 
-def factors(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which suffixes, in the order of `suffix_order`, have a previous factor of full length, and which a next one.
+def common_prefixes(data: np.ndarray, at: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
+    """How many bytes, `length` at most, the suffix at each place has in common with the one in front of it in the order; 0 for the first."""
+    out = np.where(np.r_[False, rank[1:] == rank[:-1]][: len(rank)], length, 0)
+    words, open_ = _big_endian(data), np.flatnonzero(np.r_[False, rank[1:] != rank[:-1]][: len(rank)])
+    for k in range(0, length if len(open_) else 0, WORD):
+        begin = min(k, length - WORD)
+        differ = words[at[open_] + begin] ^ words[at[open_ - 1] + begin]
+        here, x = open_[differ != 0], differ[differ != 0]
+        equal = np.zeros(len(here), np.int64)
+        for j in range(1, WORD):
+            equal += (x >> np.uint64(8 * (WORD - j))) == 0
+        out[here] = begin + equal
+        open_ = open_[differ == 0]
+    return out
+
 
-    Equal ranks stand in order of place: the previous smaller place with which a suffix shares the full length is the
-    one in front of it if their ranks agree, the next one that behind it.
+def _nearest(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The bytes that each suffix shares with the nearest one in front of it, in the order, whose place is smaller; 0 without one.
+
+    Pointers go to the suffix in front and, while its place is greater, on to where that one's pointer goes: all between have
+    greater places. The least common prefix on the way is what both share.
+    """
+    n = len(place)
+    to, shared = np.arange(-1, n - 1), common.copy()
+    open_ = np.flatnonzero(to >= 0)
+    open_ = open_[place[to[open_]] > place[open_]]
+    while len(open_):
+        over = to[open_]
+        shared_new, to_new = np.minimum(shared[open_], shared[over]), to[over]
+        shared[open_], to[open_] = shared_new, to_new
+        open_ = open_[to_new >= 0]
+        open_ = open_[place[to[open_]] > place[open_]]
+    return np.where(to >= 0, shared, 0)
+
+
+def factors(place: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of suffixes in order: the length of each one's longest previous factor, and of its longest next one, as far as `common` counts.
+
+    The longest previous factor is shared with the previous or the next smaller place in the order, the longest next
+    factor with the previous or the next greater one.
     """
-    again = rank[1:] == rank[:-1]
-    return np.r_[False, again][: len(rank)], np.r_[again, False][: len(rank)]
+    behind = np.r_[common[1:], 0][: len(common)][::-1]
+    longest = lambda p: np.maximum(_nearest(p, common), _nearest(p[::-1], behind)[::-1])
+    return longest(place), longest(-place)
 
 
 def _runs(owner: np.ndarray, at: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
@@ -148,10 +197,11 @@ def _compare(length: int, bits: int, keep_first: bool):
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows["bytes"].map(len).to_numpy()
         owner, at = _suffixes(sizes, length)
-        order, rank = suffix_order(np.frombuffer(b"".join(rows["bytes"]), np.uint8), at, length, bits)
-        previous, following = factors(rank)
+        data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+        order, rank = suffix_order(data, at, length, bits)
+        previous, following = factors(order, common_prefixes(data, at[order], rank, length))
         goes = np.zeros(len(at), bool)
-        goes[order] = previous if keep_first else previous | following
+        goes[order] = (previous >= length) | ((following >= length) & (not keep_first))
         begin, first = np.cumsum(sizes) - sizes, (rows["place"].to_numpy() >> 32)
         keys, out = rows["key"].to_numpy(), []
         for o, a, e in _runs(owner[goes], at[goes], length):
@@ -180,7 +230,7 @@ def _compare(length: int, bits: int, keep_first: bool):
 
 
 def _each_suffix(length: int):
-    """For blocks that are too large for a task: two hashes, key and start of every suffix."""
+    """For blocks that are too large for a task: digest, key and start of every suffix."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,7 +239,7 @@ def _each_suffix(length: int):
             sizes = batch["bytes"].map(len).to_numpy()
             owner, at = _suffixes(sizes, length)
             data = np.frombuffer(b"".join(batch["bytes"]), np.uint8)
-            h, check = (Hashes(data, i).runs(length)[at].view(np.int64) for i in (0, 1))
+            h, check = _digests(data, at, at + length).view(np.int64).T
             begin, first = np.cumsum(sizes) - sizes, (batch["place"].to_numpy() >> 32)
             yield pd.DataFrame({"h": h, "check": check, "key": batch["key"].to_numpy()[owner], "start": first[owner] + at - begin[owner]})
 

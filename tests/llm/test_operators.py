@@ -126,12 +126,37 @@ def test_suffix_order_and_factors():
         strings = [raw[i : i + 20] for i in order]
         assert [(s, i) for s, i in zip(strings, order)] == sorted((s, i) for s, i in zip(strings, order))
         assert all((a == b) == (x == y) for a, b, x, y in zip(strings, strings[1:], rank, rank[1:]))
-        previous, following = long_repeats.factors(rank)
-        assert {int(i) for i in order[previous]} == {i for i in at if raw.find(raw[i : i + 20]) < i}
-        assert {int(i) for i in order[following]} == {i for i in at if raw.rfind(raw[i : i + 20]) > i}
+        previous, following = long_repeats.factors(order, long_repeats.common_prefixes(data, at[order], rank, 20))
+        assert {int(i) for i in order[previous >= 20]} == {i for i in at if raw.find(raw[i : i + 20]) < i}
+        assert {int(i) for i in order[following >= 20]} == {i for i in at if raw.rfind(raw[i : i + 20]) > i}
     for alone in (at[:0], at[:1]):  # nothing to order
         order, rank = long_repeats.suffix_order(data, alone, 20)
-        assert not len(order) and not any(map(len, long_repeats.factors(rank)))
+        assert not len(order) and not any(map(len, long_repeats.factors(order, long_repeats.common_prefixes(data, alone[order], rank, 20))))
+
+
+@pytest.mark.parametrize("letters", [1, 2, 4, 26])
+def test_factor_lengths(letters):
+    """Longest previous and next factors of every place, capped, against a search for ever longer strings."""
+    data = np.random.default_rng(letters).integers(97, 97 + letters, 400).astype(np.uint8)
+    cap, raw = 30, data.tobytes()
+    at = np.arange(len(data) - cap + 1)
+    order, rank = long_repeats.suffix_order(data, at, cap, every=True)
+    previous, following = long_repeats.factors(order, long_repeats.common_prefixes(data, at[order], rank, cap))
+    known = lambda i, j: next((n for n in range(cap) if raw[i + n] != raw[j + n]), cap)
+    assert sorted(order) == list(at)
+    for i, p, f in zip(order, previous, following, strict=True):
+        assert p == max((known(i, j) for j in range(i)), default=0) and f == max((known(i, j) for j in range(i + 1, len(at))), default=0)
+
+
+@pytest.mark.parametrize("block", [1, 20_000])
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_long_repeats_of_thue_morse_words(spark, block, keep_first):
+    """Strings on which polynomials modulo 2 ** 64 agree are different in whole stretches, in blocks and in large blocks."""
+    a, b = thue_morse(2048)
+    texts = [a, b, f"x{a[:1024]}", f"y{b[:1024]}", f"{a[:300]}", "z" * 400 + b[5:900]]
+    df = odd(spark, texts)
+    want = brute.later_repeats(pairs(df)) if keep_first else brute.repeats(pairs(df))
+    assert by_id(long_repeats.remove_repeats(df, block=block, keep_first=keep_first), *REPEATS) == want
 
 
 @pytest.mark.parametrize("block", [1, 20_000])
