@@ -39,7 +39,7 @@ LONG, STEP = 96, 32
 #: Ids that are packed at once.
 SEGMENT = 1 << 20
 #: Pieces of text whose ids a worker remembers, and documents that are looked up at once.
-REMEMBERED, TEXTS = 1 << 20, 256
+REMEMBERED, TEXTS = 3 << 19, 256
 END_OF_DOCUMENT = 0
 END_RAW = array.array("I", [END_OF_DOCUMENT]).tobytes()
 
@@ -60,8 +60,7 @@ SPECIAL = "<|endoftext|>"
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer, which encodes every distinct piece of text once.
 
-    Such a tokenizer splits a text by `PIECES` and encodes the pieces one by one. A single space between other characters always
-    begins a piece, so that what stands between such spaces is looked up, then its pieces are; new pieces go to the tokenizer.
+    Such a tokenizer splits a text by `PIECES` and encodes the pieces one by one: known ones are looked up, new ones go to it together.
     A text that holds the special token or characters outside `OTHER`'s ranges is encoded as a whole.
     """
 
@@ -71,7 +70,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.pieces, self.chunks = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.pieces = Tokenizer.from_file(path), {}
         texts = [self.tokenizer.decode([i], skip_special_tokens=False) for i in range(self.tokenizer.get_vocab_size())]
         #: Per id: a sentence may end behind it; it holds a line break; it starts with white space; with a space.
         self.ends = np.array([t.rstrip().rstrip("\"')]”’»").endswith((".", "!", "?", "…", "。", "！", "？")) for t in texts])
@@ -102,25 +101,12 @@ class Encoder:
         self._learn_pieces(set().union(*pieces))
         return [b"".join(map(self.pieces.__getitem__, p)) for p in pieces]
 
-    def _learn_chunks(self, chunks: set[str]) -> None:
-        """What follows a single space: its ids with the space's. None: white space meets the space, so that it may begin no piece."""
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        new = list(chunks.difference(self.chunks))
-        self.chunks.update(zip(new, self._by_pieces([f" {c}" for c in new]), strict=True))
-        self.chunks.update((c, None) for c in new if not c or c[0].isspace() or c[-1].isspace())
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, then `END_OF_DOCUMENT`."""
+        plain = [k for k, t in enumerate(texts) if SPECIAL not in t and (t.isascii() or not OTHER.search(t))]
         raw: list[bytes | None] = [None] * len(texts)
-        chunks = [t.split(" ") for t in texts]
-        plain = [k for k, t in enumerate(texts) if chunks[k][0] and SPECIAL not in t and (t.isascii() or not OTHER.search(t))]
-        self._learn_chunks(set().union(*(chunks[k][1:] for k in plain)))
-        for k, first in zip(plain, self._by_pieces([chunks[k][0] for k in plain]), strict=True):
-            try:
-                raw[k] = b"".join([first, *map(self.chunks.__getitem__, chunks[k][1:])] if not chunks[k][0][-1].isspace() else [None])
-            except TypeError:
-                raw[k] = self._by_pieces([texts[k]])[0]
+        for k, of_text in zip(plain, self._by_pieces([texts[k] for k in plain]), strict=True):
+            raw[k] = of_text
         for k, text in enumerate(texts):
             if raw[k] is None:
                 raw[k] = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
