@@ -24,12 +24,31 @@ def primary() -> Column:
     return ~(F.col("is_secondary") | F.col("is_duplicate") | F.col("is_supplementary"))
 
 
+def at_most(rows: DataFrame, keys: tuple[str, ...], most: int, buckets: int = 1024) -> DataFrame:
+    """rows, with `most` of each key's rows, or all of them: the first ones in an order that a hash of the row fixes.
+
+    Keys are counted first, in an aggregation that combines before the shuffle; only rows of keys with too many are dealt
+    to buckets of their hashes, whose counts say which ones stay whole. Rows are numbered in the one bucket that the limit
+    falls into, so that no task holds a key.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n_")).where(F.col("n_") > most).select(*keys)
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    deep = rows.join(counted, list(keys), "left_semi").withColumn("order_", order).withColumn("bucket_", F.pmod("order_", F.lit(buckets)))
+    sizes = deep.groupBy(*keys, "bucket_").agg(F.count("*").alias("n_"))
+    before = Window.partitionBy(*keys).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)  # rows of buckets, not of keys
+    room = sizes.withColumn("room_", most - F.coalesce(F.sum("n_").over(before), F.lit(0))).where("room_ > 0")
+    dealt = deep.join(room, [*keys, "bucket_"])
+    nth = F.row_number().over(Window.partitionBy(*keys, "bucket_").orderBy("order_", *rows.columns))
+    partly = dealt.where("room_ < n_").withColumn("nth_", nth).where("nth_ <= room_")
+    kept = dealt.where("room_ >= n_").select(*rows.columns).unionByName(partly.select(*rows.columns))
+    return rows.join(counted, list(keys), "left_anti").select(*rows.columns).unionByName(kept)
+
+
 def pileup(read_base: DataFrame, params: Counting) -> DataFrame:
     """Read bases above the quality limits, with their allele class, without skipped ones and sites of unknown reference."""
     out = read_base.where((F.col("base_qual") >= params.min_bq) & (F.col("map_qual") >= params.min_mq) & (F.col("ref") != "N"))
     if params.max_depth is not None:
-        order = Window.partitionBy("chrom", "pos").orderBy("cb", "raw_base", "base_qual")
-        out = out.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= params.max_depth).drop("nth")
+        out = at_most(out, ("chrom", "pos"), params.max_depth)
     return out.withColumn("allele", token_class(F.col("raw_base"))).where("allele <> 'NA'")
 
 
