@@ -28,7 +28,8 @@ RULES: dict[str, tuple[float, float | None]] = {
     "long_words": (15.0, None),  # characters per word
 }
 STEPS, PRIOR, ACCURACY = 50, 0.85, 0.8
-#: Made-up votes of each rule, as a share of the rows, that hold the classes' names at any size of table.
+#: Made-up votes, as a share of each rule's own votes (one at least), and for the classes as a share of the rows, that hold
+#: the classes' names at any size of table.
 PSEUDO = 0.05
 
 
@@ -97,16 +98,17 @@ def votes(rules: dict[str, tuple[float, float | None]] = RULES) -> dict[str, Col
 def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[float]]:
     """EM for two classes: the share of good, and of each rule how often its votes are right. Abstaining says nothing.
 
-    Every accuracy starts, and is held by `PSEUDO` made-up votes a row, at `ACCURACY`, and the share of good at `PRIOR`,
-    so that the classes keep their names.
+    Every accuracy starts, and is held by `PSEUDO` made-up votes for each vote of the rule, at `ACCURACY`, and the share of good
+    at `PRIOR`, so that the classes keep their names.
     """
-    prior, accuracies, made_up = PRIOR, [ACCURACY] * n_rules, PSEUDO * max(sum(n for _, n in patterns), 1)
+    prior, accuracies, rows = PRIOR, [ACCURACY] * n_rules, max(sum(n for _, n in patterns), 1)
+    cast = [sum(n for p, n in patterns if p[k]) for k in range(n_rules)]
+    extra = [PSEUDO * max(c, 1) for c in cast]
     for _ in range(STEPS):
         weights = [(p, n, posterior(p, prior, accuracies)) for p, n in patterns]
-        prior = (sum(n * q for _, n, q in weights) + made_up * PRIOR) / (sum(n for _, n, _ in weights) + made_up)
+        prior = (sum(n * q for _, n, q in weights) + PSEUDO * rows * PRIOR) / (sum(n for _, n, _ in weights) + PSEUDO * rows)
         right = [sum(n * (q if p[k] > 0 else 1 - q) for p, n, q in weights if p[k]) for k in range(n_rules)]
-        cast = [sum(n for p, n, _ in weights if p[k]) for k in range(n_rules)]
-        accuracies = [(r + made_up * ACCURACY) / (c + made_up) for r, c in zip(right, cast, strict=True)]
+        accuracies = [(r + e * ACCURACY) / (c + e) for r, c, e in zip(right, cast, extra, strict=True)]
     return prior, accuracies
 
 

@@ -225,5 +225,6 @@ def expectation_maximisation(votes, steps, prior, accuracy, pseudo):
         of = [good(row) for row in votes]
         prior = (sum(of) + extra * start) / (len(votes) + extra)
         cast = [[(q if row[k] > 0 else 1 - q) for row, q in zip(votes, of) if row[k]] for k in range(n_rules)]
-        right = [min(max((sum(c) + extra * accuracy) / (len(c) + extra), 1e-6), 1 - 1e-6) for c in cast]
+        made = [pseudo * max(len(c), 1) for c in cast]
+        right = [min(max((sum(c) + m * accuracy) / (len(c) + m), 1e-6), 1 - 1e-6) for c, m in zip(cast, made)]
     return [good(row) for row in votes]

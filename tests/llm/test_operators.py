@@ -531,3 +531,41 @@ def test_words_decide_where_hashes_collide(monkeypatch):
     a, b = near_dup.word_runs("a b c d", 3), near_dup.word_runs("A b\tc e", 3)
     assert a == {(b"a", b"b", b"c"), (b"b", b"c", b"d")} and not near_dup.confirmed(a, b, 85) and near_dup.confirmed(a, set(a), 85)
     assert near_dup.word_runs("", 3) == set() and near_dup.word_runs("One", 3) == {(b"one",)}
+
+
+def plain_language(model, text):
+    """Nearest centroid by sums over a dictionary of trigrams, letter by letter."""
+    from collections import Counter
+    from math import log1p, sqrt
+
+    letters, gap = [], True
+    for c in (text or "").lower():
+        if c.isalnum() and not c.isdecimal():
+            letters.append(c)
+            gap = False
+        elif not gap:
+            letters.append(" ")
+            gap = True
+    if not any(c.isalpha() for c in letters):
+        return "und", 0.0
+    raw = f" {''.join(letters).strip()} ".encode("utf-8", "ignore")
+    counts = Counter((int.from_bytes(raw[i : i + 3], "big") * 2654435761 % (1 << 32)) >> 19 for i in range(len(raw) - 2))
+    weights = {d: log1p(n) * float(model.idf[d]) for d, n in counts.items()}
+    length = sqrt(sum(w * w for w in weights.values()))
+    cosines = [sum(w * float(centre[d]) for d, w in weights.items()) / length for centre in model.centres]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    return model.langs[best], min(1.0, max(0.0, cosines[best]))
+
+
+def test_language_against_plain_centroids(spark, docs):
+    """Every document of the query, with the same centroids and another way to compare with them."""
+    table = queries.table(spark, SF, "documents")
+    model = langid.train(table)
+    got = by_id(queries.op8_language_id(spark, SF), "lang_pred", "score")
+    for d, text in docs:
+        lang, score = plain_language(model, text)
+        assert got[d][0] == lang and abs(got[d][1] - score) < 1e-4
+    for text in ODD_TEXTS:
+        lang, score, _ = model.predict(text)
+        want = plain_language(model, text)
+        assert lang == want[0] and abs(score - want[1]) < 1e-4
