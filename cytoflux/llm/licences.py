@@ -96,10 +96,8 @@ class Template:
                 self.keys.append((len(self.words), len(self.words) + len(of_part)))
             self.words += of_part
         self.bits = {w: sum(1 << j for j, v in enumerate(self.words) if v == w) for w in set(self.words)}
-
-    def shown(self, tokens: list[str]) -> list[str]:
-        """The tokens with version numbers as #, where the template asks for any."""
-        return [("#" if w not in self.bits and VERSION.fullmatch(w) else w) for w in tokens] if "#" in self.bits else tokens
+        self.any_version = "#" in self.bits
+        assert not self.any_version or not any(map(VERSION.fullmatch, self.words)), "a version number and # in one template"
 
     def fits(self, tokens: list[str]) -> bool:
         """Whether the longest common subsequence is long enough, by Hyyro's bit-parallel recurrence."""
@@ -111,7 +109,8 @@ class Template:
 
 
 ALL_TEMPLATES = [Template(f, t) for f, some in TEMPLATES.items() for t in some] + [Template(f, f"[spdx license identifier {i}]") for f, some in IDENTIFIERS.items() for i in some]
-#: The templates of each family.
+#: Words of the key phrases, and the templates of each family.
+KEY_WORDS = frozenset(w for t in ALL_TEMPLATES for a, b in t.keys for w in t.words[a:b])
 BY_FAMILY = {f: [t for t in ALL_TEMPLATES if t.family == f] for f in TEMPLATES}
 
 
@@ -127,6 +126,7 @@ def slots(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS), pairs >> np.uint32(32 - BITS)
 
 
+@lru_cache(maxsize=1 << 12)
 def pieces(n: int) -> tuple[np.ndarray, np.ndarray]:
     """First and end token of the pieces of n tokens: of every length up to the first that holds them all."""
     spans = []
@@ -197,15 +197,17 @@ def occurrences(phrase: list[str], places: dict[str, list[int]], tokens: list[st
 
 def matches(tokens: list[str], templates: list[Template], allowed=None) -> list[tuple[str, int, int, int]]:
     """family, first and last place, and words of the templates' matches that nothing denies. allowed(template, place): whether to look there."""
-    shown = [("#" if VERSION.fullmatch(w) else w) for w in tokens]
     plain: dict[str, list[int]] = {}
     for i, w in enumerate(tokens):
-        plain.setdefault(w, []).append(i)
-    versions = [i for i, w in enumerate(shown) if w == "#"]
+        if w in KEY_WORDS or w[0] in "0123456789":
+            plain.setdefault(w, []).append(i)
+    shown, versions = list(tokens), sorted(i for w, at in plain.items() if VERSION.fullmatch(w) for i in at)
+    for i in versions:
+        shown[i] = "#"
+    numbered = plain | {"#": versions}
     out = []
     for t in templates:
-        any_version = "#" in t.bits
-        text, places = (t.shown(tokens), plain | {"#": versions}) if any_version else (tokens, plain)
+        text, places = (shown, numbered) if t.any_version else (tokens, plain)
         n, upto = len(t.words), 0
         begin, end = t.keys[-1]
         for at in occurrences(t.words[begin:end], places, text):
@@ -323,14 +325,15 @@ def grants(tokens: list[str], model: Model) -> tuple[list[tuple[str, float, int,
     proposed[:, at_unknown] = False
     if not proposed.any():
         return [], float(unknown.min())
-    # Per token, the families that some piece around it proposes.
-    edges = np.zeros((len(tokens) + 1, len(model.families)), np.int64)
-    np.add.at(edges, first, proposed)
-    np.subtract.at(edges, end, proposed)
-    looked = edges.cumsum(0) > 0
     index = {f: k for k, f in enumerate(model.families)}
     templates = [t for f in np.flatnonzero(proposed.any(0)) for t in BY_FAMILY[model.families[f]]]
-    met = matches(tokens, templates, lambda t, at: looked[max(at - SLACK, 0) : at + SLACK, index[t.family]].any())
+
+    def allowed(t: Template, at: int) -> bool:
+        """Whether a piece around the place proposes the family; pieces are in order of their first tokens, and no longer than the longest size."""
+        some = slice(*np.searchsorted(first, (at - SLACK - max(SIZES), at + SLACK)))
+        return bool((proposed[some, index[t.family]] & (end[some] > at - SLACK)).any())
+
+    met = matches(tokens, templates, allowed)
     out = []
     for family, low, high, _ in settled(met, tokens):
         q = model.whole(tokens[low : high + 1])
