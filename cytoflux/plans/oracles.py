@@ -143,6 +143,9 @@ def batch(size: str, name: str) -> str:
     return f"{name} AS (SELECT chain, any_value(b) / greatest(count(*) - 1, 1) * sum(pow(m - mean, 2)) AS {name} FROM (SELECT chain, step // b AS batch, any_value(b) AS b, any_value(mean) AS mean, avg(ll) AS m FROM (SELECT *, {size} AS b FROM t) WHERE (step // b + 1) * b <= n GROUP BY chain, step // b) GROUP BY chain)"
 
 
+TREE = "e AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_partkey // 2 ELSE p_partkey - 1 END AS parent, p_partkey AS child, p_size::BIGINT AS length FROM part WHERE p_partkey > 1)"
+
+
 def oracle_sql() -> dict[str, str]:
     counts = lambda kinds: ", ".join(f"{k}_{x.lower()}" for k in kinds for x in A6)
     trim = "CASE WHEN {c} BETWEEN 20 AND 29 THEN 30 ELSE {c} END + 2"
@@ -209,6 +212,11 @@ def oracle_sql() -> dict[str, str]:
         "interval_overlaps": f"WITH {REGIONS} SELECT a.chrom, a.\"start\", a.\"end\", b.\"start\" AS r_start, b.\"end\" AS r_end FROM genes a JOIN regions b ON a.chrom = b.chrom AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\"",
         "interval_overlap_count": f"WITH {REGIONS} SELECT a.chrom, a.\"start\", a.\"end\", count(b.\"start\") AS n FROM genes a LEFT JOIN regions b ON a.chrom = b.chrom AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\" GROUP BY ALL",
         "interval_subtract": f"WITH {REGIONS}, mr AS ({ISLANDS.format(gap=0, of='regions')}), h AS (SELECT a.chrom, a.\"start\", a.\"end\", b.\"start\" AS rs, b.\"end\" AS re FROM genes a JOIN mr b ON a.chrom = b.chrom AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\"), e AS (SELECT chrom, \"start\", \"end\", \"start\" AS s FROM genes UNION ALL SELECT chrom, \"start\", \"end\", re FROM h) SELECT chrom, s AS \"start\", coalesce((SELECT min(rs) FROM h WHERE h.chrom = e.chrom AND h.\"start\" = e.\"start\" AND h.\"end\" = e.\"end\" AND rs >= e.s), \"end\") AS \"end\" FROM e WHERE s < \"end\" AND NOT EXISTS (SELECT 1 FROM h WHERE h.chrom = e.chrom AND h.\"start\" = e.\"start\" AND h.\"end\" = e.\"end\" AND rs <= e.s AND re > e.s)",
+        "tree_collapse": f"WITH RECURSIVE {TREE}, u AS (SELECT parent AS node FROM e GROUP BY parent HAVING count(*) = 1 AND parent IN (SELECT child FROM e)), c AS (SELECT child, parent, length FROM e WHERE child NOT IN (SELECT node FROM u) UNION ALL SELECT c.child, e.parent, c.length + e.length FROM c JOIN u ON c.parent = u.node JOIN e ON e.child = c.parent) SELECT parent, child, length FROM c WHERE parent NOT IN (SELECT node FROM u)",
+        "tree_placement": f"""WITH RECURSIVE {TREE}, a AS (SELECT node, node AS ancestor, 0 AS distance FROM (SELECT child AS node FROM e UNION SELECT parent FROM e) UNION ALL SELECT a.node, e.parent, a.distance + 1 FROM a JOIN e ON a.ancestor = e.child),
+ m AS (SELECT DISTINCT l_orderkey AS "set", l_partkey AS node FROM lineitem WHERE l_partkey IN (SELECT node FROM a)), n AS (SELECT "set", count(*) AS n_members FROM m GROUP BY "set"), d AS (SELECT node AS ancestor, max(distance) AS depth FROM a GROUP BY node),
+ c AS (SELECT m."set", ancestor, count(*) AS n FROM m JOIN a ON m.node = a.node GROUP BY m."set", ancestor), b AS (SELECT "set", n_members, arg_max(ancestor, depth) AS node FROM c JOIN n USING ("set") JOIN d USING (ancestor) WHERE n = n_members GROUP BY "set", n_members)
+SELECT "set", b.node, n_members, (SELECT count(*) FROM a WHERE a.ancestor = b.node) AS n_under FROM b""",
         "tile_windows": f"WITH {GENES}, t AS (SELECT chrom, \"end\" AS e, unnest(range(\"start\", \"end\", 500)) AS s FROM genes) SELECT chrom, s AS \"start\", least(s + 500, e) AS \"end\" FROM t",
         "gene_counts": "SELECT p_brand AS gene, 'CB' || l_suppkey AS cb, sum(l_quantity)::BIGINT AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_partkey % 4 <> 0 GROUP BY ALL",
         "ari": f"WITH {CONT}, x AS (SELECT (SELECT sum(n * (n - 1) / 2) FROM n) AS both_, (SELECT sum(n * (n - 1) / 2) FROM a) AS pa, (SELECT sum(n * (n - 1) / 2) FROM b) AS pb, (SELECT sum(n) FROM n) AS t) SELECT round((both_ - pa * pb / (t * (t - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (t * (t - 1) / 2)), 6) AS ari FROM x",

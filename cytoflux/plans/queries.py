@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, posterior, reads
+from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, posterior, reads, trees
 from cytoflux.plans import adapter
 from cytoflux.plans.params import Annotation, Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 
@@ -506,6 +506,24 @@ def cluster_order(spark, sf):
     return metrics.cluster_order(clusterings(spark, sf).select("cell", F.col("pred").alias("cluster")))
 
 
+def tree(spark, sf):
+    """Every part but the first hangs on the one before it, or, each third one, on the part of half its number."""
+    k = F.col("p_partkey")
+    part = adapter.table(spark, sf, "part").where("p_partkey > 1")
+    return part.select(F.when(k % 3 == 0, F.floor(k / 2)).otherwise(k - 1).alias("parent"), k.alias("child"), F.col("p_size").cast("long").alias("length"))
+
+
+@query
+def tree_collapse(spark, sf):
+    return trees.collapse_unary(tree(spark, sf))
+
+
+@query
+def tree_placement(spark, sf):
+    members = adapter.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("set"), F.col("l_partkey").alias("node"))
+    return trees.place_sets(tree(spark, sf), members)
+
+
 CHAINS = Clustering(steps=24, chains=4, burn_in=0.33, psrf_cutoff=1.05, check_every=8)
 
 
