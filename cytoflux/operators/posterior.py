@@ -53,20 +53,23 @@ def sweep(data: DataFrame, assigned: DataFrame, thetas: DataFrame, params: Clust
     theta = F.coalesce(F.get("theta", F.col("cluster")), F.lit(a / (a + b)))
     there = F.when(F.col("value") == 1, theta * (1 - params.fn) / _present(theta, params)).otherwise(theta * params.fn / (1 - _present(theta, params)))
     drawn = known.select("chain", "mut", "cluster", (uniform(params.seed, F.lit("state"), at, "chain", "cell", "mut") < there).alias("there"))
-    of = lambda k: F.struct(F.lit(k).alias("k"), F.count_if((F.col("cluster") == k) & F.col("there")).alias("ones"), F.count_if((F.col("cluster") == k) & ~F.col("there")).alias("zeros"))
-    counted = drawn.groupBy("chain", "mut").agg(F.array(*map(of, range(clusters))).alias("counts"))
-    draw = lambda c: _clipped(beta(c["ones"] + a, c["zeros"] + b, params.seed, F.lit("theta"), at, F.col("chain"), F.col("mut"), c["k"]))
-    thetas = scratch.cut(counted.select("chain", "mut", F.transform("counts", draw).alias("theta")))
-
-    one = lambda k: _present(F.get("theta", F.lit(k)), params)
-    lls = data.join(thetas, "mut").groupBy("chain", "cell").agg(F.array(*[F.sum(F.log(F.when(F.col("value") == 1, one(k)).otherwise(1 - one(k)))) for k in range(clusters)]).alias("lls"))
+    counted = drawn.groupBy("chain", "mut", "cluster").agg(F.count_if("there").alias("ones"), F.count_if(~F.col("there")).alias("zeros"))
+    # At most a row a cluster; clusters without cells draw from the prior.
+    filled = counted.groupBy("chain", "mut").agg(F.map_from_entries(F.collect_list(F.struct("cluster", F.struct("ones", "zeros")))).alias("counts"))
+    none = F.struct(F.lit(0).cast("long").alias("ones"), F.lit(0).cast("long").alias("zeros"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(clusters - 1)), lambda k: F.struct(k.alias("k"), F.coalesce(F.try_element_at("counts", k), none).alias("n")))
+    draw = lambda c: _clipped(beta(c["n"]["ones"] + a, c["n"]["zeros"] + b, params.seed, F.lit("theta"), at, F.col("chain"), F.col("mut"), c["k"]))
+    thetas = scratch.cut(filled.select("chain", "mut", F.transform(every, draw).alias("theta")))
+
+    one = _present(F.col("theta"), params)
+    each = data.join(thetas.select("chain", "mut", F.posexplode("theta").alias("k", "theta")), "mut")
+    lls = each.groupBy("chain", "cell", "k").agg(F.sum(F.log(F.when(F.col("value") == 1, one).otherwise(1 - one))).alias("ll"))
     alpha = max(sum(params.dp_alpha), 1e-3) / clusters
     sizes = assigned.groupBy("chain").agg(F.array(*[F.count_if(F.col("cluster") == k) for k in range(clusters)]).alias("sizes"))
-    weights = sizes.select("chain", F.transform("sizes", lambda n, k: log_gamma(n + alpha, params.seed, F.lit("weight"), at, F.col("chain"), k)).alias("weights"))
-    scores = F.transform(F.zip_with("lls", "weights", lambda x, w: x + w), lambda x, k: x + gumbel(params.seed, F.lit("cluster"), at, F.col("chain"), F.col("cell"), k))
-    chosen = lls.join(weights, "chain").withColumn("scores", scores)
-    cluster = (F.array_position("scores", F.array_max("scores")) - 1).cast("int")
-    return chosen.select("chain", "cell", cluster.alias("cluster"), "lls").select("chain", "cell", "cluster", F.get("lls", F.col("cluster")).alias("ll")), thetas
+    weights = sizes.select("chain", F.posexplode(F.transform("sizes", lambda n, k: log_gamma(n + alpha, params.seed, F.lit("weight"), at, F.col("chain"), k))).alias("k", "weight"))
+    score = F.col("ll") + F.col("weight") + gumbel(params.seed, F.lit("cluster"), at, "chain", "cell", "k")
+    chosen = lls.join(weights, ["chain", "k"]).groupBy("chain", "cell").agg(F.max_by(F.struct("k", "ll"), F.struct(score, "k")).alias("x"))
+    return chosen.select("chain", "cell", F.col("x.k").alias("cluster"), F.col("x.ll").alias("ll")), thetas
 
 
 def chain_scores(trace: DataFrame) -> DataFrame:

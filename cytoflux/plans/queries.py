@@ -524,7 +524,7 @@ def tree_placement(spark, sf):
     return trees.place_sets(tree(spark, sf), members)
 
 
-CHAINS = Clustering(steps=24, chains=4, burn_in=0.33, psrf_cutoff=1.05, check_every=8)
+CHAINS = Clustering(steps=10, chains=4, burn_in=0.33, psrf_cutoff=1.05, check_every=5)
 
 
 def chains(spark, sf):
