@@ -79,3 +79,28 @@ def test_a_hundred_thousand_cells(spark):
     got = {r.key: r.line.split("\t") for r in lines.collect()}
     assert len(header.split("\t")) == 100_001 and set(got) == {"k1", "k2", "k3"} and all(len(x) == 100_001 for x in got.values())
     assert got["k1"][1:].count("1") == 10_000 and got["k1"][8] == "1" and set(got["k2"][1:]) == {"."}
+
+
+def test_dense_rows_are_not_shuffled(spark):
+    rows = spark.createDataFrame([(f"k{k}", k) for k in range(7)], "key string, n int")
+    cells = spark.createDataFrame([(f"c{c}", "x") for c in range(300)], "cb string, cell_type string")
+    covered = spark.createDataFrame([("k1", "c5"), ("k1", "c5"), ("k1", "c299"), ("k3", "other"), ("k99", "c1")], "key string, cb string")
+    every = genotype.uncovered(rows, cells, covered, ["key"], width=16)
+    want = {(f"k{k}", k, f"c{c}", "x") for k in range(7) for c in range(300)} - {("k1", 1, "c5", "x"), ("k1", 1, "c299", "x")}
+    assert {tuple(r) for r in every.collect()} == want and every.count() == len(want)
+    assert genotype.uncovered(rows, cells.limit(0), covered, ["key"]).count() == genotype.uncovered(rows.limit(0), cells, covered, ["key"]).count() == 0
+    above = every._jdf.queryExecution().executedPlan().toString().split("Generate inline", 1)
+    assert len(above) == 2 and "Exchange" not in above[0] and "Join" not in above[0]
+
+
+def test_tasks_follow_the_reads(spark, monkeypatch):
+    """However well rows compress, a task gets no more of them as tables grow."""
+    reads = spark.range(20_000).select(F.concat(F.lit("chr"), (F.col("id") % 5).cast("string")).alias("chrom"), (F.col("id") % 1000).alias("pos"), F.substring(F.lit("AGT"), (F.col("id") % 3 + 1).cast("int"), F.lit(1)).alias("ref"), F.lit("C").alias("raw_base"), F.lit(30).alias("base_qual"), F.lit(60).alias("map_qual"), F.concat(F.lit("c"), (F.col("id") % 50).cast("string"), F.lit("-1")).alias("cb"), *[F.lit(False).alias(f"is_{k}") for k in ("reverse", "secondary", "duplicate", "supplementary")])
+    variants = reads.select("chrom", "pos", F.lit("A").alias("ref"), F.col("raw_base").alias("alt")).distinct()
+    cells = spark.range(50).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("cb"), F.lit("x").alias("cell_type"))
+    monkeypatch.setattr(genotype, "ROWS", 1000)
+    for most in (10, 10_000):
+        monkeypatch.setattr(genotype, "BROADCAST", most)
+        found = genotype.genotype_cells(variants, reads, cells, dense=False)
+        assert found.agg(F.sum("dp")).first()[0] == 20_000
+        assert found.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum("dp").alias("n")).agg(F.max("n")).first()[0] < 4000
