@@ -89,7 +89,7 @@ def test_dense_rows_are_not_shuffled(spark):
     want = {(f"k{k}", k, f"c{c}", "x") for k in range(7) for c in range(300)} - {("k1", 1, "c5", "x"), ("k1", 1, "c299", "x")}
     assert {tuple(r) for r in every.collect()} == want and every.count() == len(want)
     assert genotype.uncovered(rows, cells.limit(0), covered, ["key"]).count() == genotype.uncovered(rows.limit(0), cells, covered, ["key"]).count() == 0
-    above = every._jdf.queryExecution().executedPlan().toString().split("Generate inline", 1)
+    above = every._jdf.queryExecution().executedPlan().toString().split("Generate posexplode", 1)
     assert len(above) == 2 and "Exchange" not in above[0] and "Join" not in above[0]
 
 
