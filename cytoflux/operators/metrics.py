@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cytoflux.sources.scratch import cut
+
 EPSILON = 1e-9
+#: Possible pairs of cells that one task pairs.
+TASK_PAIRS = 4_000_000
 
 
 def _pairs(n: Column) -> Column:
@@ -66,15 +70,33 @@ def error_rates(pred: DataFrame, data: DataFrame) -> DataFrame:
     return joined.agg(rate(1, 0).alias("fn"), rate(0, 1).alias("fp"))
 
 
-def coclustering(trace: DataFrame) -> DataFrame:
+def coclustering(trace: DataFrame, width: int = 1024) -> DataFrame:
     """cell_a < cell_b and similarity: the share of samples in which both are in one cluster. trace: sample, cell, cluster.
 
-    Cells of a cluster meet pair by pair, which is the result asked for: cells squared.
+    Cells with the same way through the samples are one profile. Profiles meet pair by pair and are counted; their cells, in slices of about
+    `width`, are then paired without another shuffle of the pairs, which are the result asked for: cells squared.
     """
     n = trace.select("sample").distinct().count()
-    other = trace.select("sample", "cluster", F.col("cell").alias("cell_b"))
-    met = trace.withColumnRenamed("cell", "cell_a").join(other, ["sample", "cluster"]).where("cell_a < cell_b")
-    return met.groupBy("cell_a", "cell_b").agg(F.round(F.count("*") / F.lit(max(n, 1)), 6).alias("similarity"))
+    step = F.struct("sample", "cluster")
+    by_cell = trace.where("cell IS NOT NULL AND sample IS NOT NULL AND cluster IS NOT NULL").groupBy("cell").agg(F.sort_array(F.collect_list(step)).alias("way"))
+    cells = cut(by_cell.select("cell", F.sha2(F.to_json("way"), 256).alias("digest"), "way"))
+    profiles = cut(cells.groupBy("digest").agg(F.min("cell").alias("profile"), F.first("way").alias("way"), F.count("*").alias("n")))
+    ways = profiles.select("profile", F.explode("way").alias("x")).select("profile", "x.sample", "x.cluster")
+    met = ways.withColumnRenamed("profile", "p").join(ways.withColumnRenamed("profile", "q"), ["sample", "cluster"]).where("p <= q").groupBy("p", "q").agg(F.count("*").alias("both"))
+    # Every pair of profiles with its slices of cells; tasks get about as many pairs of cells each.
+    sized = cells.join(profiles.select("digest", "profile", (F.floor((F.col("n") - 1) / width) + 1).cast("int").alias("slices")), "digest")
+    sliced = sized.groupBy("profile", F.pmod(F.xxhash64("cell"), "slices").cast("int").alias("slice")).agg(F.collect_list("cell").alias("cells"))
+    sliced = cut(sliced)
+    side = lambda key, name: sliced.select(F.col("profile").alias(key), F.col("slice").alias(f"{name}_slice"), F.col("cells").alias(name))
+    total = profiles.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, -(-total * total // TASK_PAIRS))
+    slices = met.join(sliced.select(F.col("profile").alias("p"), F.col("slice").alias("a_slice")), "p").join(sliced.select(F.col("profile").alias("q"), F.col("slice").alias("b_slice")), "q")
+    dealt = slices.where("p < q OR a_slice <= b_slice").repartition(tasks, "p", "q", "a_slice", "b_slice")
+    paired = dealt.join(side("p", "a"), ["p", "a_slice"]).join(side("q", "b"), ["q", "b_slice"])
+    paired = paired.select("p", "q", "a_slice", "b_slice", "both", F.explode("a").alias("a"), "b").select("p", "q", "a_slice", "b_slice", "both", "a", F.explode("b").alias("b"))
+    # Inside one slice each pair stands there both ways.
+    once = paired.where("a <> b").where("p < q OR a_slice < b_slice OR a < b")
+    return once.select(F.least("a", "b").alias("cell_a"), F.greatest("a", "b").alias("cell_b"), F.round(F.col("both") / F.lit(max(n, 1)), 6).alias("similarity"))
 
 
 def shared_pairs(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:

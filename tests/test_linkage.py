@@ -94,3 +94,16 @@ def test_best_cut_has_the_greatest_mpear(spark):
 def test_query(spark):
     rows = REGISTRY["ward_clusters"](spark, "/root/testdata/sf0.001").collect()
     assert rows and len({r.cell for r in rows}) == len(rows) and len({(r.k, r.mpear) for r in rows}) == 1 and len({r.cluster for r in rows}) == rows[0].k
+
+
+def test_pairs_of_cells_are_not_shuffled(spark):
+    rows = random_trace(5, 90, 4, 0.1)
+    at = {(s, c): k for s, c, k in rows}
+    both = {(a, b): sum(at[s, a] == at[s, b] for s in range(4)) for a in range(90) for b in range(a + 1, 90)}
+    for width in (3, 1024):
+        found = metrics.coclustering(frame(spark, rows), width)
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == {(a, b, n / 4) for (a, b), n in both.items() if n}
+    above = found._jdf.queryExecution().executedPlan().toString().split("Generate explode", 1)
+    assert len(above) == 2 and "Exchange" not in above[0] and "Aggregate" not in above[0]
+    assert metrics.coclustering(frame(spark, rows).limit(0)).count() == 0
