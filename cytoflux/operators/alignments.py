@@ -13,6 +13,8 @@ OPERATION = r"(\d+)([MIDNSHP=X])"
 ON_REFERENCE, ON_READ, MATCHES = ("M", "D", "N", "=", "X"), ("M", "I", "S", "=", "X"), ("M", "=", "X")
 #: Operations that are folded at a time. A fold copies what it has so far, so that blocks keep the cost of long CIGARs linear.
 BLOCK = 128
+#: Bases of the reads that one task turns into read bases.
+TASK_BASES = 500_000
 PLACED = "array<struct<op:string,n:int,at:int,from:int>>"
 
 
@@ -56,6 +58,11 @@ def qualities(qual: Column, phred_text: bool) -> Column:
     return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33) if phred_text else qual
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is generated, so that Spark computes it once a row and copies it into no other expression."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def read_bases(reads: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per read and covered reference place: the columns of reads but cigar, seq and qual, with pos moved to the
     place, and raw_base and base_qual.
@@ -71,7 +78,8 @@ def read_bases(reads: DataFrame, block: int = BLOCK) -> DataFrame:
     reads = reads.where(F.col("pos").isNotNull() & F.col("cigar").isNotNull() & F.col("seq").isNotNull() & (F.col("seq") != "*"))
     kept = [F.col(f"`{c}`") for c in reads.columns if c not in ("cigar", "seq", "qual")]
     phred_text = dict(reads.dtypes)["qual"] == "string"
-    prepared = reads.select(*kept, place(operations(F.col("cigar")), block).alias("_ops"), F.split("seq", "").alias("_bases"), qualities(F.col("qual"), phred_text).alias("_quals"))
+    placed = once(once(reads, "_listed", operations(F.col("cigar"))), "_ops", place(F.col("_listed"), block))
+    prepared = once(once(placed, "_bases", F.split("seq", "")), "_quals", qualities(F.col("qual"), phred_text)).select(*kept, "_ops", "_bases", "_quals")
     following = F.slice("_ops", F.lit(2), F.greatest(F.size("_ops") - 1, F.lit(0)))
     pairs = F.filter(F.zip_with("_ops", following, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda p: p["x"]["op"].isin("D", *MATCHES) | ((p["x"]["op"] == "N") & (p["y"]["op"] == "I")))
     part = lambda values, x: F.slice(values, x["from"] + 1, F.when(x["op"].isin(*MATCHES), x["n"]).otherwise(1))
@@ -83,7 +91,7 @@ def read_bases(reads: DataFrame, block: int = BLOCK) -> DataFrame:
         behind = F.when(y["op"] == "I", inserted).when((y["op"] == "D") & (x["op"] != "D"), deleted).otherwise("")
         return F.struct(x["op"].alias("op"), x["n"].alias("n"), x["at"].alias("at"), part(F.col("_bases"), x).alias("bases"), part(F.col("_quals"), x).alias("quals"), behind.alias("behind"))
 
-    segments = prepared.select(*kept, F.explode(F.transform(pairs, segment)).alias("_s"))
+    segments = once(once(prepared, "_pairs", pairs), "_segments", F.transform("_pairs", segment)).select(*kept, F.explode("_segments").alias("_s"))
     places = segments.select(*kept, "_s", F.explode(F.sequence(F.when(F.col("_s.op") == "N", F.col("_s.n") - 1).otherwise(0), F.col("_s.n") - 1)).alias("_o"))
     matched = F.col("_s.op").isin(*MATCHES)
     base = F.when(matched, F.get("_s.bases", F.col("_o"))).when(F.col("_s.op") == "D", "*").otherwise(F.when(F.col("is_reverse"), "<").otherwise(">"))
@@ -97,7 +105,41 @@ def read_bases(reads: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def with_reference(bases: DataFrame, chunks: DataFrame, size: int, flank: int = 5) -> DataFrame:
     """bases plus ref, the upper-case reference base (N where the reference has none). chunks: see `reference_context`."""
-    before = F.when(F.col("chunk") > 0, flank).otherwise(0)
     joined = bases.withColumn("chunk", F.floor((F.col("pos") - 1) / size)).join(chunks.select("chrom", "chunk", "seq"), ["chrom", "chunk"], "left")
-    base = F.upper(F.substring("seq", (F.col("pos") - F.col("chunk") * size + before).cast("int"), F.lit(1)))
-    return joined.withColumn("ref", F.when(base != "", base).otherwise("N")).drop("chunk", "seq")
+    return _referred(joined, "seq", size, flank).drop("chunk", "seq")
+
+
+def _referred(bases: DataFrame, seq: str, size: int, flank: int) -> DataFrame:
+    before = F.when(F.col("chunk") > 0, flank).otherwise(0)
+    base = F.upper(F.substring(seq, (F.col("pos") - F.col("chunk") * size + before).cast("int"), F.lit(1)))
+    return bases.withColumn("ref", F.when(base != "", base).otherwise("N"))
+
+
+def dealt_by_chunk(reads: DataFrame, size: int, tasks: int) -> DataFrame:
+    """reads with chunk, a row for each chunk of `size` places that they cover, dealt to tasks by (chrom, chunk).
+
+    A read is smaller than its read bases, so that reads are shuffled, once, and what groups read bases by chunk and place needs no
+    other shuffle. chunk: floor((pos - 1) / size), as in `with_reference`.
+    """
+    chunk = lambda at: F.floor((F.col("pos") + at - 1) / size)
+    last = lambda x: x["at"] + x["n"] - 1
+    # An intron gives no place, but for its last one before an insertion.
+    placed = once(once(reads, "_listed", operations(F.col("cigar"))), "_ops", place(F.col("_listed")))
+    covering = F.filter("_ops", lambda x: (x["n"] > 0) & x["op"].isin("D", "N", *MATCHES))
+    touched = F.transform(covering, lambda x: F.sequence(F.when(x["op"] == "N", chunk(last(x))).otherwise(chunk(x["at"])), chunk(last(x))))
+    chunks = once(placed, "_chunks", F.array_distinct(F.flatten(touched))).select(*reads.columns, F.explode("_chunks").alias("chunk"))
+    return chunks.repartition(tasks, "chrom", "chunk")
+
+
+def bases_by_chunk(reads: DataFrame, size: int, chunks: DataFrame | None = None, flank: int = 5) -> DataFrame:
+    """`read_bases` plus chunk, dealt by (chrom, chunk); with chunks also ref, as from `with_reference`: reads meet their chunk before they become bases.
+
+    There are as many tasks as the reads' bases ask for. All reads of a chunk meet in one task.
+    """
+    tasks = max(1, -(-(reads.agg(F.sum(F.length("seq"))).first()[0] or 0) // TASK_BASES))
+    dealt = dealt_by_chunk(reads, size, tasks)
+    if chunks is not None:
+        own = chunks.select("chrom", "chunk", F.col("seq").alias("ref_seq_"))
+        dealt = dealt.join(own.repartition(tasks, "chrom", "chunk").hint("merge"), ["chrom", "chunk"], "left")
+    bases = read_bases(dealt).where(F.floor((F.col("pos") - 1) / size) == F.col("chunk"))
+    return bases if chunks is None else _referred(bases, "ref_seq_", size, flank).drop("ref_seq_")

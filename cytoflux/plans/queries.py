@@ -100,14 +100,14 @@ def pileup_counts(spark, sf):
 
 @query
 def alignment_tokens(spark, sf):
-    tokens = alignments.read_bases(adapter.alignments(spark, sf))
-    return tokens.groupBy("sample_id", "chrom", "pos", "raw_base").agg(F.count("*").alias("n"), F.sum("base_qual").alias("bq"), F.countDistinct("cb").alias("nc"))
+    tokens = alignments.bases_by_chunk(adapter.alignments(spark, sf), adapter.CHUNK)
+    return tokens.groupBy("chunk", "sample_id", "chrom", "pos", "raw_base").agg(F.count("*").alias("n"), F.sum("base_qual").alias("bq"), F.countDistinct("cb").alias("nc")).drop("chunk")
 
 
 @query
 def alignment_pileup(spark, sf):
-    bases = alignments.with_reference(alignments.read_bases(adapter.alignments(spark, sf)), adapter.reference_chunks(spark, sf), adapter.CHUNK)
-    return pileup.flat(pileup.count_bases(bases, COUNTING)).select("chrom", "pos", "ref", "cell_type", "dp", "nc", *[f"{k}_{x.lower()}" for k in pileup.KINDS for x in alleles.ALLELES])
+    bases = alignments.bases_by_chunk(adapter.alignments(spark, sf), adapter.CHUNK, adapter.reference_chunks(spark, sf))
+    return pileup.flat(pileup.count_bases(bases, COUNTING, keys=("chunk",))).select("chrom", "pos", "ref", "cell_type", "dp", "nc", *[f"{k}_{x.lower()}" for k in pileup.KINDS for x in alleles.ALLELES])
 
 
 @query

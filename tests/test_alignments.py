@@ -122,3 +122,21 @@ def test_context_and_bases_from_a_file(spark, tmp_path, monkeypatch):
     assert {(r.pos, r.ref) for r in bases.collect()} == {(p, seq[p - 1]) for p in [*range(48, 54), 1999, 2000]} | {(2001, "N"), (2002, "N")}
     counted = pileup.count_bases(bases, Counting(min_bq=20, min_mq=60, min_dp=5, min_cc=5))
     assert {(r.pos, r.ref, r.dp, r.nc) for r in counted.collect()} == {(p, seq[p - 1], 6, 6) for p in range(48, 54)}
+
+
+def test_bases_by_chunk_shuffle_reads_alone(spark, monkeypatch):
+    monkeypatch.setattr(alignments, "TASK_BASES", 1000)
+    rng = random.Random(8)
+    cigars = ["20M", "5S8M2I5M", "6M3D14M", "7M900N13M", "7M40N2I11M", "3H4S10M1P2I4M2P", "20S", "*", None, "4M0D16M", "1M2000N1I1M30N17M"]
+    rows = [(k, rng.choice(["chr1", "chr2"]), rng.choice([-3, 0, 1, 7, 48, 50, 51, 399, None]), rng.choice(cigars), "ACGTA" * 4, [rng.randrange(41) for _ in range(20)], rng.random() < 0.5, "c") for k in range(300)]
+    df = spark.createDataFrame(rows, READS)
+    chunks = spark.createDataFrame([(c, k, "ACGTN" * 12) for c in ("chr1", "chr2") for k in range(0, 40, 2)], "chrom string, chunk long, seq string")
+    whole = alignments.read_bases(df)
+    for size in (1, 50, 5000):
+        dealt = alignments.bases_by_chunk(df, size)
+        assert sorted(map(str, dealt.drop("chunk").select(whole.columns).collect())) == sorted(map(str, whole.collect())) and dealt.where(f"chunk <> floor((pos - 1) / {size})").count() == 0
+    want, got = alignments.with_reference(whole, chunks, 50), alignments.bases_by_chunk(df, 50, chunks)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and want.where("ref <> 'N'").count()
+    counted = dealt.groupBy("chunk", "chrom", "pos", "raw_base").agg(F.count("*"), F.countDistinct("cb"))
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert alignments.bases_by_chunk(df.limit(0), 50, chunks).count() == 0
