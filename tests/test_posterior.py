@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cytoflux.functions import variates
 from cytoflux.operators import posterior
 from cytoflux.plans.params import Clustering
+from cytoflux.sources import scratch
 
 
 @pytest.mark.parametrize("shape", [0.05, 0.4, 1.0, 2.5, 40.0])
@@ -98,3 +99,19 @@ def test_stop_by_psrf_and_growth(spark, tmp_path):
     assert grown.agg(F.max("step")).first()[0] == 5
     assert posterior.Run(spark, folder).state(5, "theta").select(F.size("theta")).first()[0] in (4, 8)
     assert posterior.sample_posterior(matrix(spark, values).limit(0), never, clusters=2).count() == 0
+
+
+def broadcast_cells(df):
+    """What is broadcast with a column of cells, as the plan has it."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return [b for a, b in itertools.pairwise(lines) if "BroadcastExchange" in a and "cell#" in b]
+
+
+def test_cells_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Small files may hold many rows: a broadcast by their size had all values or clusters of cells in the driver."""
+    found, write, cut = [], posterior.Run.write, scratch.Scratch.cut
+    monkeypatch.setattr(posterior.Run, "write", lambda self, step, assigned, thetas: (found.extend(broadcast_cells(assigned) + broadcast_cells(thetas)), write(self, step, assigned, thetas)))
+    monkeypatch.setattr(scratch.Scratch, "cut", lambda self, df: (found.extend(broadcast_cells(df)), cut(self, df))[1])
+    trace = posterior.sample_posterior(matrix(spark), Clustering(steps=2, chains=2, burn_in=0.0, seed=2), clusters=20, folder=str(tmp_path / "run"))
+    assert not found
+    assert trace.count() == 16 and trace.agg(F.max("cluster")).first()[0] < 20
