@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoflux.functions import variates
-from cytoflux.operators import posterior
+from cytoflux.operators import metrics, posterior
 from cytoflux.plans.params import Clustering
 from cytoflux.sources import scratch
 
@@ -115,3 +115,10 @@ def test_cells_are_never_broadcast(spark, tmp_path, monkeypatch):
     trace = posterior.sample_posterior(matrix(spark), Clustering(steps=2, chains=2, burn_in=0.0, seed=2), clusters=20, folder=str(tmp_path / "run"))
     assert not found
     assert trace.count() == 16 and trace.agg(F.max("cluster")).first()[0] < 20
+
+
+def test_samples_of_cells_are_not_broadcast(spark):
+    samples = spark.createDataFrame([(s, c, c % 2) for s in "ab" for c in range(4)], "sample string, cell int, cluster int")
+    shared = metrics.shared_pairs(samples, samples.withColumnRenamed("sample", "other"), ["sample"], ["other"])
+    assert not broadcast_cells(shared) and "SortMergeJoin" in shared._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, shared.collect())) == [(s, o, 2.0) for s in "ab" for o in "ab"]
