@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from cytoflux.operators import trees
+from cytoflux.sources import scratch
 
 
 def random_tree(seed, n):
@@ -64,3 +65,18 @@ def test_one_chain_and_no_tree(spark):
     two = spark.createDataFrame([(0, 1, 1), (10, 11, 1)], "parent int, child int, length int")
     members = spark.createDataFrame([("a", 1), ("a", 11), ("b", 11)], "set string, node int")
     assert [(r.set, r.node) for r in trees.place_sets(two, members).collect()] == [("b", 11)]
+
+
+def test_tables_of_placing_have_a_row_a_node(spark, monkeypatch):
+    """A row for each node and ancestor, or for each member and ancestor, would be 1,891 here."""
+    edges = spark.createDataFrame([(k, k + 1, 1) for k in range(60)], "parent int, child int, length int")
+    members = spark.createDataFrame([("all", k) for k in range(61)] + [("two", 40), ("two", 60), ("two", 60), (None, 3)], "set string, node int")
+    sizes, write = [], scratch._write
+    monkeypatch.setattr(scratch, "_write", lambda df: (out := write(df), sizes.append(out[0].count()))[0])
+    assert {tuple(r) for r in trees.place_sets(edges, members).collect()} == {("all", 0, 61, 61), ("two", 40, 2, 21)}
+    assert max(sizes) <= 61
+
+
+def test_a_cycle_is_an_error(spark):
+    with pytest.raises(ValueError, match="cycle"):
+        trees.number_nodes(spark.createDataFrame([(0, 1), (1, 0)], "parent int, child int"))
