@@ -118,7 +118,7 @@ def test_cells_are_never_broadcast(spark, tmp_path, monkeypatch):
 
 
 def test_samples_of_cells_are_not_broadcast(spark):
-    samples = spark.createDataFrame([(s, c, c % 2) for s in "ab" for c in range(4)], "sample string, cell int, cluster int")
+    samples = scratch.cut(spark.createDataFrame([(s, c, c % 2) for s in "ab" for c in range(4)], "sample string, cell int, cluster int"))
     shared = metrics.shared_pairs(samples, samples.withColumnRenamed("sample", "other"), ["sample"], ["other"])
     assert not broadcast_cells(shared) and "SortMergeJoin" in shared._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, shared.collect())) == [(s, o, 2.0) for s in "ab" for o in "ab"]
