@@ -122,3 +122,46 @@ def test_samples_of_cells_are_not_broadcast(spark):
     shared = metrics.shared_pairs(samples, samples.withColumnRenamed("sample", "other"), ["sample"], ["other"])
     assert not broadcast_cells(shared) and "SortMergeJoin" in shared._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, shared.collect())) == [(s, o, 2.0) for s in "ab" for o in "ab"]
+
+
+def test_queries_run_all_sweeps(spark, monkeypatch):
+    """Both queries ran 10 sweeps of the 1000 that the defaults, and the method, ask for."""
+    from cytoflux.plans import queries
+
+    asked = []
+    monkeypatch.setattr(posterior, "sample_posterior", lambda data, params=None, *a, **k: asked.append(params or Clustering()))
+    queries.chains(spark, "/root/testdata/sf0.001")
+    assert asked == [Clustering()] and Clustering().steps == 1000 and Clustering().psrf_cutoff is None
+
+
+@pytest.mark.parametrize("scores", [1, 1_000_000])
+def test_sweeps_in_one_job_and_in_many_draw_the_same(spark, tmp_path, monkeypatch, scores):
+    from cytoflux.operators import sweeps
+
+    values = [[1, 1, 1, 0, 0, None]] * 5 + [[0, 0, None, 1, 1, 1]] * 7
+    params = Clustering(steps=7, chains=2, burn_in=0.0, seed=4, check_every=3)
+    want = {tuple(r) for r in posterior.sample_posterior(matrix(spark, values), params, clusters=3).select("chain", "step", "cell", "cluster").collect()}
+    monkeypatch.setattr(sweeps, "SCORES", scores)
+    got = posterior.sample_posterior(matrix(spark, values), params, clusters=3)
+    assert {tuple(r) for r in got.select("chain", "step", "cell", "cluster").collect()} == want and got.count() == 7 * 2 * 12
+    # Beyond PROFILES numbers the run goes on with tables, from the steps that are there.
+    monkeypatch.setattr(posterior, "PROFILES", 60)
+    grown = posterior.sample_posterior(matrix(spark, values), Clustering(steps=7, chains=2, burn_in=0.0, seed=4, check_every=3), clusters=2)
+    assert grown.count() == 7 * 2 * 12 and {r.step for r in grown.select("step").distinct().collect()} == set(range(1, 8))
+
+
+@pytest.mark.parametrize(("table", "part"), [(1 << 22, 8192), (100, 5)])
+def test_consensus_by_slices_of_samples(spark, monkeypatch, table, part):
+    from cytoflux.operators import clustering
+
+    rng = np.random.default_rng(6)
+    rows = [(c, s, i, int(x)) for c in range(2) for s in range(9) for i, x in enumerate(np.where(rng.random(23) < 0.3, rng.integers(0, 4, 23), np.arange(23) % 4))]
+    trace = spark.createDataFrame(rows, "chain int, step int, cell int, cluster int")
+    samples = trace.select(F.concat_ws(":", "chain", "step").alias("sample"), "cell", "cluster")
+    ids = {r.sample: k for k, r in enumerate(samples.select("sample").distinct().orderBy("sample").collect())}
+    monkeypatch.setattr(clustering, "TABLE", table)
+    monkeypatch.setattr(clustering, "CELLS", part)
+    want = metrics.shared_pairs(samples, samples.withColumnRenamed("sample", "other"), ["sample"], ["other"]).groupBy("sample").agg(F.sum("pairs").alias("pairs"))
+    assert {r.sample: r.pairs for r in clustering.together(samples, ids, 4).collect()} == {r.sample: r.pairs for r in want.collect()}
+    found = sorted(map(tuple, clustering.consensus(trace).collect()))
+    assert len(found) == 23 and found == sorted(map(tuple, clustering.consensus(trace.unionByName(trace.limit(0))).collect()))
