@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cytoflux.functions import alleles, betabinom
-from cytoflux.operators import alignments, calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, posterior, reads, trees
+from cytoflux.operators import calling, clustering, cohort, fusion, genotype, hccv, intervals, linkage, metrics, pileup, posterior, read_blocks, reads, trees
 from cytoflux.plans import adapter
 from cytoflux.plans.params import Annotation, Calling, Clustering, Counting, Final, Fusion, Genotype, Hccv, Matrix, Reannotation
 
@@ -100,14 +100,13 @@ def pileup_counts(spark, sf):
 
 @query
 def alignment_tokens(spark, sf):
-    tokens = alignments.bases_by_chunk(adapter.alignments(spark, sf), adapter.CHUNK)
-    return tokens.groupBy("chunk", "sample_id", "chrom", "pos", "raw_base").agg(F.count("*").alias("n"), F.sum("base_qual").alias("bq"), F.countDistinct("cb").alias("nc")).drop("chunk")
+    return read_blocks.count_tokens(adapter.alignments(spark, sf), adapter.CHUNK)
 
 
 @query
 def alignment_pileup(spark, sf):
-    bases = alignments.bases_by_chunk(adapter.alignments(spark, sf), adapter.CHUNK, adapter.reference_chunks(spark, sf))
-    return pileup.flat(pileup.count_bases(bases, COUNTING, keys=("chunk",))).select("chrom", "pos", "ref", "cell_type", "dp", "nc", *[f"{k}_{x.lower()}" for k in pileup.KINDS for x in alleles.ALLELES])
+    counted = read_blocks.count_pileup(adapter.alignments(spark, sf), adapter.CHUNK, adapter.reference_chunks(spark, sf), COUNTING)
+    return pileup.flat(counted).select("chrom", "pos", "ref", "cell_type", "dp", "nc", *[f"{k}_{x.lower()}" for k in pileup.KINDS for x in alleles.ALLELES])
 
 
 @query

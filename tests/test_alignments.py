@@ -140,3 +140,33 @@ def test_bases_by_chunk_shuffle_reads_alone(spark, monkeypatch):
     counted = dealt.groupBy("chunk", "chrom", "pos", "raw_base").agg(F.count("*"), F.countDistinct("cb"))
     assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert alignments.bases_by_chunk(df.limit(0), 50, chunks).count() == 0
+
+
+def odd_reads(seed):
+    rng = random.Random(seed)
+    cigars = ["20M", "5S8M2I5M", "6M3D14M", "7M900N13M", "7M40N2I11M", "3H4S10M1P2I4M2P", "20S", "*", None, "4M0D16M", "1M2000N1I1M30N17M", "25M", "3M2I1D4M", "M5Q4M", "12M0I8M"]
+    rows = []
+    for k in range(600):
+        seq = rng.choice(["ACGTA" * 4, "acgtn" * 4, "ACGRU", "", "*", None, "AC-+" * 5])
+        qual = rng.choice([[rng.randrange(41) for _ in range(20)], [30] * 6, [None, 7, 40, None, 39], [], None])
+        rows.append((k, rng.choice(["chr1", "chr2", None]), rng.choice([-3, 0, 1, 7, 48, 50, 51, 399, None]), rng.choice(cigars), seq, qual, rng.choice([True, False, None]), rng.choice(["c1-1", "c2-1", "c3", None]), rng.choice(["s", "t", None]), rng.choice(["x", "y", None]), rng.choice([60, 60, 60, 3, None]), rng.random() < 0.1))
+    return rows
+
+
+@pytest.mark.parametrize(("bases", "size"), [(500_000, 50), (7, 50), (60, 1), (60, 5000)])
+def test_blocks_count_as_rows_do(spark, monkeypatch, bases, size):
+    from cytoflux.operators import read_blocks
+
+    monkeypatch.setattr(read_blocks, "BASES", bases)
+    monkeypatch.setattr(read_blocks, "TASK_BASES", 3000)
+    df = spark.createDataFrame(odd_reads(size), READS + ", sample_id string, cell_type string, map_qual int, is_secondary boolean").withColumns({c: F.lit(False) for c in ("is_duplicate", "is_supplementary")})
+    for reads in (df, df.withColumn("qual", F.array_join(F.transform("qual", lambda q: F.char(q + 33)), ""))):
+        want = alignments.read_bases(reads).groupBy("sample_id", "chrom", "pos", "raw_base").agg(F.count("*").alias("n"), F.sum("base_qual").alias("bq"), F.countDistinct("cb").alias("nc"))
+        got = read_blocks.count_tokens(reads, size)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count()
+    chunks = spark.createDataFrame([(c, k, "ACGTNacgtr"[:: 1 - 2 * (k % 2)] * (size // 10 + 2)) for c in ("chr1", "chr2") for k in range(-4, 3000 // size + 1) if k % 3 != 2], "chrom string, chunk long, seq string")
+    bases_ = alignments.with_reference(alignments.read_bases(df), chunks, size)
+    for params in (Counting(min_bq=5, min_mq=60, min_dp=1, min_cc=1), Counting(min_bq=0, min_mq=0, min_dp=3, min_cc=2, min_ac=2)):
+        want, got = pileup.count_bases(bases_, params), read_blocks.count_pileup(df, size, chunks, params)
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and want.count()
+    assert read_blocks.count_tokens(df.limit(0), size).count() == read_blocks.count_pileup(df.limit(0), size, chunks).count() == 0
