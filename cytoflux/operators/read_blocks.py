@@ -30,7 +30,11 @@ def _characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, str]:
     """Code points of all texts, where each begins (and the end), and one text of all. An empty text is one character 0, as Spark splits it into one piece."""
     texts = texts.cast(pa.string()).fill_null("")
     texts = pc.if_else(pc.equal(texts, ""), "\0", texts)
-    text, starts = "".join(texts.to_pylist()), np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else [0, 0]
+    text = texts.buffers()[2][int(ends[0]) : int(ends[-1])].to_pybytes().decode() if ends[-1] > ends[0] else ""
     points = np.frombuffer(text.encode("ascii"), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
     return points, starts, text
 
@@ -185,12 +189,12 @@ class Passing:
         self.group = self.cell = self.keys = None
         self.classes = classes
 
-    def add(self, groups: list[tuple], group: np.ndarray, cells: list[tuple], cell: np.ndarray, key: np.ndarray, counts: np.ndarray, sums: list[np.ndarray]):
-        """Yields (group, keys, sums, distinct cells) of groups that are over. groups, cells: the names of their numbers."""
+    def add(self, groups: list[tuple], group: np.ndarray, cells: list[tuple], cell_count: int, cell: np.ndarray, key: np.ndarray, counts: np.ndarray, sums: list[np.ndarray]):
+        """Yields (group, keys, sums) of groups that are over. groups: the names of their numbers; cells: those of the first one and, if there are others, of the last."""
         span = int(key.max(initial=0)) + 1
         both, inverse = np.unique(group * span + key, return_inverse=True)
         total = np.stack([np.bincount(inverse, weights=s, minlength=len(both)) for s in sums], axis=1).astype(np.int64)
-        seen = np.unique(cell[counts] * len(both) + inverse[counts]) if len(both) else np.zeros(0, np.int64)
+        seen = _distinct(cell[counts] * len(both) + inverse[counts]) if len(both) else np.zeros(0, np.int64)
         whose, what = np.divmod(seen, max(len(both), 1))
         known = both % span
         place = known[what] // self.classes
@@ -205,7 +209,8 @@ class Passing:
         elif len(cells) == 1:
             self.seen = known[what]
         if len(cells) > 1:
-            self.seen = known[what[whose == len(cells) - 1]]
+            last = int(cell_count) - 1
+            self.seen = known[what[whose == last]]
         self.cell = cells[-1]
         total = np.column_stack([total, np.bincount(what, minlength=len(both)), firsts])
         cuts = np.searchsorted(both, np.arange(len(groups) + 1) * span)
@@ -225,11 +230,22 @@ class Passing:
             yield self.group, self.keys, self.values
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def _names(batch: pa.RecordBatch, columns: list[str], runs: np.ndarray) -> list[tuple]:
     rows = pa.array(np.flatnonzero(np.diff(runs, prepend=-1)))
     return list(zip(*(batch.column(c).take(rows).to_pylist() for c in columns), strict=True))
 
 
+def _ends(batch: pa.RecordBatch, columns: list[str], runs: np.ndarray) -> list[tuple]:
+    """The names of the first run and, if there are others, of the last."""
+    rows = [0, batch.num_rows - 1] if runs[-1] else [0]
+    return [tuple(batch.column(c)[r].as_py() for c in columns) for r in rows]
+
+
 def _dealt(reads: DataFrame, size: int, keep: list[str]) -> tuple[DataFrame, int]:
     known = reads.where(F.col("pos").isNotNull() & F.col("cigar").isNotNull() & F.col("seq").isNotNull() & (F.col("seq") != "*")).select(*keep)
     tasks = max(1, -(-(known.agg(F.sum(F.length("seq"))).first()[0] or 0) // TASK_BASES))
@@ -269,7 +285,7 @@ def count_tokens(reads: DataFrame, size: int, group: str = "sample_id") -> DataF
                 known, has_cell = p.quality != MISSING, part.column("cb").is_valid().to_numpy(zero_copy_only=False)
                 key = (p.pos - 1) % size * TOKENS + (numbers[p.token] if len(numbers) else 0)
                 sums = [np.ones(len(key)), np.where(known, p.quality, 0), known]
-                yield from rows(passing.add(_names(part, names, by_group), by_group[p.read], _names(part, [*names, "cb"], by_cell), by_cell[p.read], key, has_cell[p.read], sums))
+                yield from rows(passing.add(_names(part, names, by_group), by_group[p.read], _ends(part, [*names, "cb"], by_cell), by_cell.max(initial=-1) + 1, by_cell[p.read], key, has_cell[p.read], sums))
         yield from rows(passing.end())
 
     return ordered.mapInArrow(counted, f"`{group}` {dict(reads.dtypes)[group]}, chrom string, pos long, raw_base string, n long, bq long, nc long")
@@ -340,7 +356,7 @@ def count_pileup(reads: DataFrame, size: int, chunks: DataFrame, params: Countin
                 used, reverse = (part.column(c).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)[read] for c in ("used", "is_reverse"))
                 stranded = part.column("is_reverse").is_valid().to_numpy(zero_copy_only=False)[read]
                 sums = [np.ones(len(read)), used, np.where(used, quality, 0), used & reverse, used & stranded & ~reverse]
-                yield from rows(passing.add(_names(part, names, by_group), by_group[read], _names(part, [*names, "cb"], by_cell), by_cell[read], (pos - 1) % size * len(CLASSES) + kind, used, sums))
+                yield from rows(passing.add(_names(part, names, by_group), by_group[read], _ends(part, [*names, "cb"], by_cell), by_cell.max(initial=-1) + 1, by_cell[read], (pos - 1) % size * len(CLASSES) + kind, used, sums))
             # A group that may go on is of the last chunk that reads have come for; later ones have no reads yet.
             for key in list(refs):
                 if passing.group is not None and key != passing.group[:2] and (not marked.num_rows or key != (marked.column("chrom")[-1].as_py(), marked.column("chunk")[-1].as_py())):
