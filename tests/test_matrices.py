@@ -104,3 +104,26 @@ def test_tasks_follow_the_reads(spark, monkeypatch):
         found = genotype.genotype_cells(variants, reads, cells, dense=False)
         assert found.agg(F.sum("dp")).first()[0] == 20_000
         assert found.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum("dp").alias("n")).agg(F.max("n")).first()[0] < 4000
+
+
+def test_dense_rows_shuffle_no_slices(spark, monkeypatch):
+    """With few cells, rows are multiplied by slices behind the shuffle, and covered cells are shuffled once."""
+    rows = spark.createDataFrame([(f"k{k}", k) for k in range(7)], "key string, n int")
+    cells = spark.createDataFrame([(f"c{c}", "x") for c in range(300)], "cb string, cell_type string")
+    covered = spark.createDataFrame([("k1", "c5"), ("k1", "c5"), ("k1", "c299"), ("k3", "other"), ("k99", "c1")], "key string, cb string")
+    every = genotype.uncovered(rows, cells, covered, ["key"], width=16)
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "slice_" not in "".join(line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "key" in line)
+    monkeypatch.setattr(genotype, "CELLS", 10)
+    want = genotype.uncovered(rows, cells, covered, ["key"], width=16)
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, want.collect())) and every.count() == 7 * 300 - 2
+
+
+def test_reads_of_a_dense_grid_are_shuffled_once(spark):
+    flags = {f"is_{k}": F.lit(False) for k in ("reverse", "secondary", "duplicate", "supplementary")}
+    reads = spark.range(400).select(F.lit("chr1").alias("chrom"), (F.col("id") % 10).alias("pos"), F.lit("A").alias("ref"), F.lit("C").alias("raw_base"), F.lit(30).alias("base_qual"), F.lit(60).alias("map_qual"), F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("cb")).withColumns(flags)
+    variants = spark.range(12).select(F.lit("chr1").alias("chrom"), F.col("id").alias("pos"), F.lit("A").alias("ref"), F.lit("C").alias("alt"))
+    cells = spark.range(9).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("cb"), F.lit("x").alias("cell_type"))
+    grid = genotype.genotype_cells(variants, reads, cells)
+    assert grid.count() == grid.select("key", "cb").distinct().count() == 12 * 9 and grid.agg(F.sum("dp")).first()[0] == 400
+    assert "raw_base" not in grid._jdf.queryExecution().optimizedPlan().toString()
