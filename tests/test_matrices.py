@@ -127,3 +127,10 @@ def test_reads_of_a_dense_grid_are_shuffled_once(spark):
     grid = genotype.genotype_cells(variants, reads, cells)
     assert grid.count() == grid.select("key", "cb").distinct().count() == 12 * 9 and grid.agg(F.sum("dp")).first()[0] == 400
     assert "raw_base" not in grid._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dense_filter_reads_its_rows_once(spark):
+    """The fusions of the result came from all genotypes once more, with their shuffle of the reads."""
+    long = spark.createDataFrame(long_matrix(3, 30, 40), "key string, cb string, mutated int").repartition(3, "key").withColumn("mutated", F.col("mutated") + 0)
+    plan = genotype.filter_matrix(long, Matrix(5, 4), dense=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "Relation" in plan
